@@ -1,6 +1,6 @@
 """Imports every query module so the registry is complete."""
 
-from labelgraph.plans import q_ontology  # noqa: F401
+from labelgraph.plans import q_ontology, q_samples  # noqa: F401
 from labelgraph.plans.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
