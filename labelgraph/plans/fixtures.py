@@ -114,8 +114,10 @@ def with_fixtures(sql: str, *names: str) -> str:
                 ordered.append(dep)
         if n not in ordered:
             ordered.append(n)
-    ctes = ",\n".join(f"{n} AS ({FX_SQL[n].strip()})" for n in ordered)
     body = sql.strip()
+    if not ordered:
+        return body
+    ctes = ",\n".join(f"{n} AS ({FX_SQL[n].strip()})" for n in ordered)
     head = body[:15].upper()
     if head.startswith("WITH RECURSIVE "):
         return f"WITH RECURSIVE {ctes},\n{body[15:]}"
