@@ -50,17 +50,27 @@ def canonical_path(path: Column | str) -> Column:
     return F.when(out == F.lit(""), F.lit(".")).otherwise(out)
 
 
-def check_entries(entries: DataFrame, entry: str = "entry", image_key: str = "questionImage", label_key: str = "labels") -> DataFrame:
+def check_entries(
+    entries: DataFrame,
+    entry: str = "entry",
+    image_key: str = "questionImage",
+    label_key: str = "labels",
+    from_valid_file: bool = False,
+) -> DataFrame:
     """Per-entry validation: adds ``image`` (joined path, original form), ``image_path``
     (canonical, the join key), ``labels_json`` and ``reason`` (NULL when the entry passes
-    every check except the image-exists test)."""
+    every check except the image-exists test).
+
+    ``from_valid_file``: entries were exploded from a file that decoded, so an element whose
+    text is not JSON was a JSON string (``from_json`` unquotes strings): not an object.
+    """
     e = F.col(entry)
     is_obj = F.json_object_keys(e).isNotNull()
     has_both = F.coalesce(has_key(e, image_key) & has_key(e, label_key), F.lit(False))
     rel = F.get_json_object(e, f"$.{image_key}")
     img = join_path(dirname("meta_path"), rel)
     reason = (
-        F.when(~json_is_valid(e), "bad_json")
+        F.when(~json_is_valid(e), "not_an_object" if from_valid_file else "bad_json")
         .when(~F.coalesce(is_obj, F.lit(False)), "not_an_object")
         .when(~has_both, "missing_field")
         .when(rel.isNull() | (rel == F.lit("")) | F.startswith(F.ltrim(rel), F.lit("{")) | F.startswith(F.ltrim(rel), F.lit("[")), "bad_image")
@@ -82,9 +92,9 @@ def image_exists(checked: DataFrame, images: DataFrame, keep: bool = True) -> Da
     return checked.join(listing, "image_path", how)
 
 
-def accept_and_reject(entries: DataFrame, images: DataFrame) -> tuple[DataFrame, DataFrame]:
+def accept_and_reject(entries: DataFrame, images: DataFrame, from_valid_file: bool = False) -> tuple[DataFrame, DataFrame]:
     """Split entries into accepted rows and a reject table ``(meta_path, pos, reason)``."""
-    checked = check_entries(entries)
+    checked = check_entries(entries, from_valid_file=from_valid_file)
     passed = checked.where(F.col("reason").isNull())
     accepted = image_exists(passed, images, keep=True)
     missing = image_exists(passed, images, keep=False).withColumn("reason", F.lit("image_not_found"))

@@ -241,3 +241,25 @@ def qa_ordered(spark, sf):
 @query("qa_counts", _QA_FULL_SQL + "SELECT part, count(*) AS n FROM qa_full GROUP BY part", FX)
 def qa_counts(spark, sf):
     return Q.qa_counts(Q.qa_full(tri(spark, sf), V))
+
+
+# ---- RDF/XML scan (SRC-01): serialise the fixture graph, scan it back ---------------------------
+FIXTURE_PREDICATES = {
+    "p:type": "ref",
+    "p:partOfArea": "ref",
+    "p:partOfScope": "ref",
+    "p:partOfAbility": "ref",
+    "p:expandsArea": "ref",
+    "p:isDefinedBy": "literal",
+    "p:comment": "literal",
+}
+
+
+@query("triple_scan", "SELECT DISTINCT s, p, o, o_kind FROM fx_triples", FX)
+def triple_scan(spark, sf):
+    from labelgraph.session import scratch_path
+    from labelgraph.sources.rdf import scan_rdfxml, write_rdfxml
+
+    path = scratch_path(spark, "rdfxml")
+    write_rdfxml(tri(spark, sf), path)
+    return scan_rdfxml(spark, path, FIXTURE_PREDICATES, prefixes={"p": ""}).select("s", "p", "o", "o_kind")

@@ -231,5 +231,5 @@ SELECT reason, count(*) AS n FROM all_rejects GROUP BY reason
 def entries_reject_report(spark, sf):
     ex = explode_entries(meta_files(spark, sf))
     ok = ex.where(F.col("file_reason").isNull()).select("meta_path", "pos", "entry")
-    acc, rej = S.accept_and_reject(ok, images(spark, sf))
+    acc, rej = S.accept_and_reject(ok, images(spark, sf), from_valid_file=True)
     return S.reject_report(rej.unionByName(S.file_rejects(ex)), acc)
