@@ -22,21 +22,23 @@ def broadcast_if_small(df: DataFrame, max_rows: int = MAX_ROWS_FOR_BROADCAST) ->
 
 
 def closure(edges: DataFrame, child: str = "child", parent: str = "parent", max_depth: int | None = None) -> DataFrame:
-    """Transitive closure ``(child, ancestor, depth)`` with the minimum depth of each pair."""
-    e = edges.select(F.col(child).alias("_c"), F.col(parent).alias("_p")).distinct()
-    e = cut_lineage(e)
-    known = cut_lineage(e.select(F.col("_c").alias("child"), F.col("_p").alias("ancestor"), F.lit(1).alias("depth")))
-    frontier = known
+    """Transitive closure ``(child, ancestor, depth)`` with the minimum depth of each pair.
+
+    One reliable checkpoint per level (the new pairs); the known set is the union of the
+    checkpointed levels, so every plan stays shallow and a lost executor recomputes one level.
+    """
+    e = cut_lineage(edges.select(F.col(child).alias("_c"), F.col(parent).alias("_p")).distinct())
+    frontier = cut_lineage(e.select(F.col("_c").alias("child"), F.col("_p").alias("ancestor"), F.lit(1).alias("depth")))
+    known = frontier
     depth = 1
     while max_depth is None or depth < max_depth:
         step = frontier.join(e, frontier["ancestor"] == e["_c"]).select(
             frontier["child"], e["_p"].alias("ancestor"), F.lit(depth + 1).alias("depth")
         )
-        new = step.distinct().join(known.select("child", "ancestor"), ["child", "ancestor"], "left_anti")
-        new = cut_lineage(new)
+        new = cut_lineage(step.distinct().join(known.select("child", "ancestor"), ["child", "ancestor"], "left_anti"))
         if new.isEmpty():
             break
-        known = cut_lineage(known.unionByName(new))
+        known = known.unionByName(new)
         frontier = new
         depth += 1
     return known

@@ -80,16 +80,23 @@ def json_list_size(c: Column | str) -> Column:
     return F.coalesce(F.json_array_length(col_(c)), F.lit(0))
 
 
+def long_form(df: DataFrame, key: str, lists: dict[str, Column]) -> DataFrame:
+    """``(key, dim, term, pos)`` from one string-array column per dimension, in one explode
+    (a single pass over ``df``, no union of per-dimension copies)."""
+    empty = F.array().cast("array<string>")
+
+    def tag(d: str):
+        return lambda t, i: F.struct(F.lit(d).alias("dim"), t.alias("term"), i.alias("pos"))
+
+    parts = [F.transform(F.coalesce(arr, empty), tag(d)) for d, arr in lists.items()]
+    out = df.select(key, F.explode(F.concat(*parts)).alias("_x")).select(key, "_x.dim", "_x.term", "_x.pos")
+    return out.where(F.col("term").isNotNull())
+
+
 def long_labels(parsed: DataFrame) -> DataFrame:
     """Parsed responses -> ``(sample_id, dim, term, pos)`` (pos is the 0-based list index)."""
-    outs = []
-    for dim, c in zip(K.DIM_NAMES, ("areas", "scopes", "abilities")):
-        arr = F.from_json(F.col(c), "array<string>")
-        outs.append(parsed.select("sample_id", F.lit(dim).alias("dim"), F.posexplode_outer(arr).alias("pos", "term")).where(F.col("term").isNotNull()))
-    out = outs[0]
-    for o in outs[1:]:
-        out = out.unionByName(o)
-    return out
+    cols = {dim: F.from_json(F.col(c), "array<string>") for dim, c in zip(K.DIM_NAMES, ("areas", "scopes", "abilities"))}
+    return long_form(parsed, "sample_id", cols)
 
 
 # ---- long-form label clean-up ------------------------------------------------------------

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from labelgraph import constants as K
 from labelgraph.operators.sequence import sequence_number
+from labelgraph.session import cut_lineage
 
 
 def _h32(seed: str, *parts: Column | str) -> Column:
@@ -59,8 +60,12 @@ def distractors(labels: DataFrame, definitions: DataFrame, k: int = 3, seed: str
 def samples(labels: DataFrame, definitions: DataFrame, answers: DataFrame, k: int = 3, seed: str = K.DEFAULT_SEED) -> DataFrame:
     """Per sample: oracle + distractor definitions in hash order joined as one context text.
 
-    The collected group per sample holds at most ``|labels| + k`` definitions.
+    The collected group per sample holds at most ``|labels| + k`` definitions. The label and
+    definition tables are each read several times, so they are materialised once in the
+    shared folder instead of being recomputed per use.
     """
+    labels = cut_lineage(labels)
+    definitions = cut_lineage(definitions)
     o = oracle(labels, definitions).select("sample", "term", "definition", F.lit(True).alias("is_oracle"))
     d = distractors(labels, definitions, k, seed).select("sample", "term", "definition", F.lit(False).alias("is_oracle"))
     docs = o.unionByName(d).dropDuplicates(["sample", "term"])

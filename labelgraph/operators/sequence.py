@@ -43,6 +43,14 @@ def sequence_number(
     stats = ranged.groupBy(_PID, *groups).agg(F.count(F.lit(1)).alias("_cnt"), F.min(_IDX).alias("_first"))
     w = Window.partitionBy(*groups).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.select(_PID, *groups, "_first", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_offset"))
+    if not groups:
+        # one row per range partition: bounded by ``n`` by construction, so broadcast it
+        stats = F.broadcast(stats)
+    else:
+        # (partition, group) rows: at most #groups + n; broadcast only after a counted check
+        from labelgraph.operators.graph import broadcast_if_small
+
+        stats = broadcast_if_small(cut_lineage(stats))
     out = ranged.join(stats, [_PID, *groups], "inner")
     seq = F.lit(start) + F.col("_offset") + F.col(_IDX) - F.col("_first")
     return out.withColumn(col, seq.cast("long")).drop(_PID, _IDX, "_first", "_offset")

@@ -85,24 +85,33 @@ SELECT doc_id, CAST(1+floor(n_chars/2000) AS INT) AS n_pages FROM documents
 FX_DEPS = {"fx_meta_files": ["fx_entries"]}
 
 
+# Lazy DataFrames (plans, not data) memoised per session and folder: reading a parquet
+# footer and analysing a fixture is driver work that every query would otherwise repeat.
+_TABLES: dict[tuple[int, str], dict[str, DataFrame]] = {}
+_FIXTURES: dict[tuple[int, str, str], DataFrame] = {}
+
+
 def register_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Register the driver's parquet tables as temp views; return them by name."""
-    out = {}
-    for t in TABLES:
-        df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet")
+    key = (id(spark), sf_dir.rstrip("/"))
+    if key not in _TABLES:
+        _TABLES[key] = {t: spark.read.parquet(f"{key[1]}/{t}.parquet") for t in TABLES}
+    out = _TABLES[key]
+    for t, df in out.items():
         df.createOrReplaceTempView(t)
-        out[t] = df
     return out
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Build fixture view ``name`` over ``sf_dir`` (registers base tables and dependencies)."""
-    register_tables(spark, sf_dir)
-    for dep in FX_DEPS.get(name, []):
-        spark.sql(FX_SQL[dep]).createOrReplaceTempView(dep)
-    df = spark.sql(FX_SQL[name])
-    df.createOrReplaceTempView(name)
-    return df
+    key = (id(spark), sf_dir.rstrip("/"), name)
+    if key not in _FIXTURES:
+        register_tables(spark, sf_dir)
+        for dep in FX_DEPS.get(name, []):
+            fixture(spark, sf_dir, dep).createOrReplaceTempView(dep)
+            register_tables(spark, sf_dir)
+        _FIXTURES[key] = spark.sql(FX_SQL[name])
+    return _FIXTURES[key]
 
 
 def with_fixtures(sql: str, *names: str) -> str:

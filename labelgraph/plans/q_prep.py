@@ -10,6 +10,7 @@ from labelgraph.functions import chat as C
 from labelgraph.functions.text import WS_CLASS, ws_tokens
 from labelgraph.operators import media as M
 from labelgraph.operators import ontology as O
+from labelgraph.operators import predictions as P
 from labelgraph.operators import qa as Q
 from labelgraph.operators import raft as R
 from labelgraph.operators import samples as S
@@ -270,8 +271,7 @@ def _raft_inputs(spark, sf):
     acc = acc.where(F.startswith("labels_json", F.lit("{")))
     schema = "struct<Areas: array<string>, Scopes: array<string>, Abilities: array<string>>"
     lj = acc.select(F.col("meta_path").alias("sample"), F.from_json("labels_json", schema).alias("l"), F.col("labels_json").alias("answer"))
-    parts = [lj.select("sample", F.lit(d).alias("dim"), F.explode(F.col("l")[key]).alias("term")) for d, key in zip(K.DIM_NAMES, K.LABEL_KEYS)]
-    labels = parts[0].unionByName(parts[1]).unionByName(parts[2]).where(F.col("term").isNotNull())
+    labels = P.long_form(lj, "sample", {d: F.col("l")[key] for d, key in zip(K.DIM_NAMES, K.LABEL_KEYS)})
     t = fixture(spark, sf, "fx_triples")
     ct = O.concept_text(t, O.Vocab.bare()).where(F.length("text") > 0)
     defs = ct.groupBy(F.col("name").alias("term")).agg(F.min("text").alias("definition"))

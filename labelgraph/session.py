@@ -16,8 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "labelgraph") -> SparkSession:
-    """A local session for tests and benchmarks (UI off, AQE on, UTC)."""
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, app: str = "labelgraph", checkpoint_dir: str | None = None
+) -> SparkSession:
+    """A local session for tests and benchmarks (UI off, AQE on, UTC).
+
+    ``spark.checkpoint.dir`` is a launch-time setting; a private temp folder is used when none
+    is given (local runs only; on a cluster it names a shared folder).
+    """
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -27,10 +33,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("LABELGRAPH_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.variant.allowDuplicateKeys", "true")
     )
+    builder = builder.config(CHECKPOINT_CONF, checkpoint_dir or tempfile.mkdtemp(prefix="labelgraph-ckpt-"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -38,14 +46,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 def shared_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder, choosing a local one only if unset."""
-    path = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    path = sc.getConf().get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if not path:
-        # Unset: this is a local/test session, so a private temp folder is acceptable.
+        # Unset: only a local/test session gets here, so a private temp folder is acceptable.
         path = tempfile.mkdtemp(prefix="labelgraph-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, path)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(path)
-    return path.rstrip("/")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(path)
+    return (sc.getCheckpointDir() or path).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -15,8 +15,6 @@ def spark():
     from labelgraph.session import local_session, shared_dir
 
     s = local_session(4, shuffle_partitions=8, app="labelgraph-tests")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="lg-test-ckpt-"))
     shared_dir(s)
     yield s
     s.stop()
