@@ -130,7 +130,8 @@ def prune_ancestors(labels: DataFrame, closure_names: DataFrame) -> DataFrame:
     no per-sample collection, and a hot sample is spread over many terms.
     """
     cl = closure_names.where(F.col("child") != F.col("ancestor")).select(F.col("child").alias("term"), "ancestor").distinct()
-    anc = labels.select("sample_id", "dim", "term").join(cl, "term").select("sample_id", "dim", F.col("ancestor").alias("term")).distinct()
+    # no distinct: the anti join only needs existence, duplicates on its right side are free
+    anc = labels.select("sample_id", "dim", "term").join(cl, "term").select("sample_id", "dim", F.col("ancestor").alias("term"))
     return labels.join(anc, ["sample_id", "dim", "term"], "left_anti")
 
 

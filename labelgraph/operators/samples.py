@@ -47,7 +47,11 @@ def canonical_path(path: Column | str) -> Column:
     segs = F.aggregate(F.split(p, "/"), F.array().cast("array<string>"), step)
     body = F.array_join(segs, "/")
     out = F.when(absolute, F.concat(F.lit("/"), body)).otherwise(body)
-    return F.when(out == F.lit(""), F.lit(".")).otherwise(out)
+    folded = F.when(out == F.lit(""), F.lit(".")).otherwise(out)
+    # fast path: most paths have no '.', '..' or empty segment and are returned as they are;
+    # only the rest pay for the (interpreted) fold
+    needs_fold = F.rlike(p, F.lit(r"(^|/)\.{1,2}(/|$)|//|/$|^$"))
+    return F.when(needs_fold, folded).otherwise(p)
 
 
 def check_entries(
@@ -93,13 +97,20 @@ def image_exists(checked: DataFrame, images: DataFrame, keep: bool = True) -> Da
 
 
 def accept_and_reject(entries: DataFrame, images: DataFrame, from_valid_file: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Split entries into accepted rows and a reject table ``(meta_path, pos, reason)``."""
+    """Split entries into accepted rows and a reject table ``(meta_path, pos, reason)``.
+
+    One left join against the distinct listing flags image existence; both outputs are
+    filters of that one joined frame, so a plan using both shares its exchanges.
+    """
     checked = check_entries(entries, from_valid_file=from_valid_file)
-    passed = checked.where(F.col("reason").isNull())
-    accepted = image_exists(passed, images, keep=True)
-    missing = image_exists(passed, images, keep=False).withColumn("reason", F.lit("image_not_found"))
-    rejected = checked.where(F.col("reason").isNotNull()).unionByName(missing)
-    return accepted, rejected.select("meta_path", "pos", "reason")
+    listing = images.select(canonical_path("path").alias("image_path")).distinct().withColumn("_exists", F.lit(True))
+    flagged = checked.join(listing, "image_path", "left")
+    exists = F.coalesce(F.col("_exists"), F.lit(False))
+    ok = F.col("reason").isNull()
+    accepted = flagged.where(ok & exists).drop("_exists")
+    reason = F.when(~ok, F.col("reason")).otherwise(F.lit("image_not_found"))
+    rejected = flagged.where(~(ok & exists)).select("meta_path", "pos", reason.alias("reason"))
+    return accepted, rejected
 
 
 def assign_ids(accepted: DataFrame, fmt: str = K.SAMPLE_ID_FORMAT) -> DataFrame:
