@@ -84,6 +84,11 @@ SELECT doc_id, CAST(1+floor(n_chars/2000) AS INT) AS n_pages FROM documents
 # fixture -> fixtures it reads (besides base tables)
 FX_DEPS = {"fx_meta_files": ["fx_entries"]}
 
+# Fixtures stored once per session as parquet in the shared folder, like the production
+# layout: the triple table partitioned by predicate so ``p = ...`` filters prune whole folders.
+# The first query that uses one pays for the write; later queries read the stored table.
+MATERIALISED = {"fx_triples": ["p"], "fx_predictions": []}
+
 
 # Lazy DataFrames (plans, not data) memoised per session and folder: reading a parquet
 # footer and analysing a fixture is driver work that every query would otherwise repeat.
@@ -110,7 +115,17 @@ def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         for dep in FX_DEPS.get(name, []):
             fixture(spark, sf_dir, dep).createOrReplaceTempView(dep)
             register_tables(spark, sf_dir)
-        _FIXTURES[key] = spark.sql(FX_SQL[name])
+        df = spark.sql(FX_SQL[name])
+        if name in MATERIALISED:
+            from labelgraph.session import scratch_path
+
+            path = scratch_path(spark, name)
+            w = df.write.mode("overwrite")
+            if MATERIALISED[name]:
+                w = w.partitionBy(*MATERIALISED[name])
+            w.parquet(path)
+            df = spark.read.schema(df.schema).parquet(path).select(*df.columns)
+        _FIXTURES[key] = df
     return _FIXTURES[key]
 
 
