@@ -39,18 +39,24 @@ def split_hash(df: DataFrame, key: str, seed: str = K.DEFAULT_SEED, eval_per_mil
     return df.withColumn("split", F.when(bucket1000(key, seed=seed) < eval_per_mille, "eval").otherwise("train"))
 
 
+MAX_TIES_TO_DRIVER = 10_000
+
+
 def smallest_k_condition(df: DataFrame, score: Column, tiebreak: Column, k: int) -> Column:
     """Condition selecting exactly the ``k`` rows with the smallest (score, tiebreak).
 
     Three histogram passes over 16-bit slices of the 48-bit score (each histogram has at most
-    65,536 rows), then the rows sharing the final score are ordered by ``tiebreak``; these are
-    hash collisions only, a bounded handful. ``tiebreak`` must be unique per row.
+    65,536 rows), then the rows sharing the final score are ranked by ``tiebreak``: collected
+    when their counted number is small (hash collisions only), otherwise numbered on the
+    cluster with :func:`sequence_number` so only the one threshold row reaches the driver.
+    ``tiebreak`` must be unique per row for the count to be exact.
     """
     if k <= 0:
         return F.lit(False)
     cur = df.select(score.alias("_s"), tiebreak.alias("_t"))
     remaining = k
     prefix = 0
+    tied = 0
     for shift in (32, 16, 0):
         b = F.shiftright(F.col("_s"), shift).bitwiseAND(0xFFFF)
         hist = sorted((r[0], r[1]) for r in cur.groupBy(b.alias("b")).count().collect())
@@ -58,7 +64,7 @@ def smallest_k_condition(df: DataFrame, score: Column, tiebreak: Column, k: int)
         chosen = None
         for bv, c in hist:
             if cum + c >= remaining:
-                chosen = bv
+                chosen, tied = bv, c
                 break
             cum += c
         if chosen is None:  # fewer rows than k: everything qualifies
@@ -66,8 +72,14 @@ def smallest_k_condition(df: DataFrame, score: Column, tiebreak: Column, k: int)
         remaining -= cum
         prefix = (prefix << 16) | int(chosen)
         cur = cur.where(b == F.lit(chosen))
-    ties = sorted(r[0] for r in cur.select("_t").collect())
-    t_thr = ties[remaining - 1]
+    if tied <= MAX_TIES_TO_DRIVER:
+        ties = sorted(r[0] for r in cur.select("_t").collect())
+        t_thr = ties[remaining - 1]
+    else:
+        from labelgraph.operators.sequence import sequence_number
+
+        ranked = sequence_number(cur.select("_t"), ["_t"], col="_r")
+        t_thr = ranked.where(F.col("_r") == remaining - 1).first()["_t"]
     return (score < F.lit(prefix)) | ((score == F.lit(prefix)) & (tiebreak <= F.lit(t_thr)))
 
 

@@ -49,7 +49,7 @@ def concept_definition(spark, sf):
 @query(
     "concept_comments",
     f"""WITH {CONCEPT_CTES}
-    SELECT c.iri, coalesce(len(m.comments), 0) AS n_comments, array_to_string(m.comments, chr(30)) AS comments
+    SELECT c.iri, CAST(coalesce(len(m.comments), 0) AS INTEGER) AS n_comments, array_to_string(m.comments, chr(30)) AS comments
     FROM concepts c LEFT JOIN cmts m ON c.iri = m.iri""",
     FX,
 )
@@ -71,7 +71,7 @@ def concept_dim(spark, sf):
 @query(
     "concept_text",
     f"""WITH {CONCEPT_CTES}
-    SELECT iri, has_text_source, text, len(rest) AS n_rest, array_to_string(rest, chr(30)) AS rest FROM ctext""",
+    SELECT iri, has_text_source, text, CAST(len(rest) AS INTEGER) AS n_rest, array_to_string(rest, chr(30)) AS rest FROM ctext""",
     FX,
 )
 def concept_text(spark, sf):
@@ -139,7 +139,7 @@ def label_json_q(spark, sf):
 @query(
     "children_per_parent",
     f"""WITH {CONCEPT_CTES}
-    SELECT parent, count(*) AS n_children,
+    SELECT parent, CAST(count(*) AS INTEGER) AS n_children,
            array_to_string(list_sort(list({lname_sql('child')})), ',') AS children
     FROM edges GROUP BY parent""",
     FX,

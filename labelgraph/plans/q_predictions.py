@@ -69,7 +69,7 @@ def _json_by_dim(dim_col: str = "dim") -> str:
         f"'{key}': coalesce(list(term ORDER BY pos, term) FILTER (WHERE {dim_col} = '{d}'), []::VARCHAR[])"
         for d, key in zip(K.DIM_NAMES, K.LABEL_KEYS)
     ]
-    return "to_json({" + ", ".join(parts) + "})"
+    return "CAST(to_json({" + ", ".join(parts) + "}) AS VARCHAR)"
 
 
 @query(
@@ -159,8 +159,8 @@ _MIN = K.MIN_COUNTS
 
 @query(
     "pred_min_counts",
-    f"""WITH {_PARSE}, c AS (SELECT sample_id, coalesce(json_array_length(areas), 0) AS n_areas,
-      coalesce(json_array_length(scopes), 0) AS n_scopes, coalesce(json_array_length(abilities), 0) AS n_abilities
+    f"""WITH {_PARSE}, c AS (SELECT sample_id, CAST(coalesce(json_array_length(areas), 0) AS INTEGER) AS n_areas,
+      CAST(coalesce(json_array_length(scopes), 0) AS INTEGER) AS n_scopes, CAST(coalesce(json_array_length(abilities), 0) AS INTEGER) AS n_abilities
       FROM parsed WHERE has_labels)
     SELECT *, n_areas >= {_MIN['Area']} AND n_scopes >= {_MIN['Scope']} AND n_abilities >= {_MIN['Ability']} AS meets_min FROM c""",
     ("fx_responses",),

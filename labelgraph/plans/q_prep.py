@@ -154,7 +154,7 @@ def _tokenised(spark, sf):
 
 @query(
     "tok_truncate_pad",
-    f"WITH {_TOK} SELECT doc_id, n_tokens, n_real, array_to_string(input_ids, ' ') AS input_ids, list_sum(mask) AS mask_sum FROM padded",
+    f"WITH {_TOK} SELECT doc_id, CAST(n_tokens AS INTEGER) AS n_tokens, CAST(n_real AS INTEGER) AS n_real, array_to_string(input_ids, ' ') AS input_ids, CAST(list_sum(mask) AS BIGINT) AS mask_sum FROM padded",
 )
 def tok_truncate_pad(spark, sf):
     t = _tokenised(spark, sf)
@@ -176,7 +176,7 @@ def tok_labels(spark, sf):
 @query(
     "tok_batch_pad",
     f"""WITH {_TOK}, b AS (SELECT doc_id, doc_id // {BATCH} AS batch, len(ids) AS n FROM ids)
-    SELECT doc_id, batch, max(n) OVER (PARTITION BY batch) AS batch_len, max(n) OVER (PARTITION BY batch) AS padded_len FROM b""",
+    SELECT doc_id, batch, CAST(max(n) OVER (PARTITION BY batch) AS INTEGER) AS batch_len, CAST(max(n) OVER (PARTITION BY batch) AS INTEGER) AS padded_len FROM b""",
 )
 def tok_batch_pad(spark, sf):
     t = _tokenised(spark, sf)
@@ -236,7 +236,7 @@ def frame_manifest(spark, sf):
 
 @query(
     "page_manifest",
-    """SELECT doc_id, page_no, 'pages/' || doc_id || '/page_' || page_no || '.png' AS path FROM (
+    """SELECT doc_id, CAST(page_no AS INTEGER) AS page_no, 'pages/' || doc_id || '/page_' || page_no || '.png' AS path FROM (
       SELECT doc_id, unnest(range(1, n_pages + 1)) AS page_no FROM fx_pages WHERE n_pages > 0)""",
     ("fx_pages",),
 )

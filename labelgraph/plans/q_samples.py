@@ -152,7 +152,7 @@ def sample_ids(spark, sf):
     return S.assign_ids(acc).select("meta_path", "pos", "id")
 
 
-@query("conversation_struct", with_entries("SELECT id, to_json(conversations) AS conversations_json FROM samples"), FE)
+@query("conversation_struct", with_entries("SELECT id, CAST(to_json(conversations) AS VARCHAR) AS conversations_json FROM samples"), FE)
 def conversation_struct(spark, sf):
     s = S.training_samples(entries(spark, sf), images(spark, sf))
     return s.select("id", F.to_json("conversations").alias("conversations_json"))

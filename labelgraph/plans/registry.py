@@ -76,4 +76,4 @@ def label_json_sql(dim: str, names: str) -> str:
     parts = []
     for d, key in zip(K.DIM_NAMES, K.LABEL_KEYS):
         parts.append(f"'{key}': CASE WHEN {dim} = '{d}' THEN {names} ELSE []::VARCHAR[] END")
-    return "to_json({" + ", ".join(parts) + "})"
+    return "CAST(to_json({" + ", ".join(parts) + "}) AS VARCHAR)"

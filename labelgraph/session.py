@@ -49,7 +49,12 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     path = sc.getConf().get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if not path:
-        # Unset: only a local/test session gets here, so a private temp folder is acceptable.
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                f"{CHECKPOINT_CONF} is not set: on a cluster it must name a folder every executor can "
+                "read (DFS or object store); labelgraph writes checkpoints and intermediate tables there"
+            )
+        # Unset on a local master (tests): a private temp folder is acceptable here only.
         path = tempfile.mkdtemp(prefix="labelgraph-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 TURN = T.StructType([T.StructField("from", T.StringType()), T.StructField("value", T.StringType())])
@@ -16,17 +17,22 @@ SAMPLE_SCHEMA = T.StructType(
 QA_SCHEMA = T.StructType([T.StructField("instruction", T.StringType()), T.StructField("output", T.StringType())])
 
 
-def write_jsonl(df: DataFrame, path: str, single_file: bool = False, skip_empty: bool = True) -> bool:
-    """Overwrite ``path`` with one JSON object per line (a directory of part files).
+def write_jsonl(df: DataFrame, path: str, single_file: bool = False, skip_empty: bool = True) -> int:
+    """Overwrite ``path`` with one JSON object per line (a directory of part files); returns
+    the number of rows written, counted by an ``observe`` metric during the write itself (no
+    second pass over the data).
 
     ``single_file`` coalesces to one part (only for small outputs). With ``skip_empty`` an
-    empty frame writes nothing and returns False, like the original's "no output when empty".
+    empty frame writes nothing and returns 0, like the original's "no output when empty"
+    (``isEmpty`` stops at the first row).
     """
     if skip_empty and df.isEmpty():
-        return False
-    out = df.coalesce(1) if single_file else df
+        return 0
+    obs = Observation("jsonl_rows")
+    out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    out = out.coalesce(1) if single_file else out
     out.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
-    return True
+    return int(obs.get["rows"])
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -62,22 +62,36 @@ def _entries(name: str, kind: str, iri: str) -> Column:
     return F.coalesce(F.transform(c, f), F.array().cast(f"array<{_OUT}>"))
 
 
+TRIPLE_SCHEMA = "s string, p string, o string, o_kind string, o_datatype string, pos int"
+
+
 def scan_rdfxml(
-    spark: SparkSession, path: str, predicates: dict[str, str], prefixes: dict[str, str] | None = None, distinct: bool = True
+    spark: SparkSession,
+    path: str,
+    predicates: dict[str, str],
+    prefixes: dict[str, str] | None = None,
+    distinct: bool = True,
+    missing_ok: bool = True,
 ) -> DataFrame:
     """Read RDF/XML into the triple table ``(s, p, o, o_kind, o_datatype, pos)``.
 
     ``predicates`` maps element names (``prefix:local``) to a kind; ``prefixes`` expands them
     (defaults: rdf, rdfs, owl, xsd). ``pos`` is the position among same-predicate elements.
+    A missing path gives an empty table when ``missing_ok`` (the original prints and stops).
     """
     pre = {**DEFAULT_PREFIXES, **(prefixes or {})}
-    raw = (
-        spark.read.format("xml")
-        .option("rowTag", "rdf:Description")
-        .option("ignoreSurroundingSpaces", "false")
-        .schema(description_schema(predicates))
-        .load(path)
-    )
+    try:
+        raw = (
+            spark.read.format("xml")
+            .option("rowTag", "rdf:Description")
+            .option("ignoreSurroundingSpaces", "false")
+            .schema(description_schema(predicates))
+            .load(path)
+        )
+    except Exception as e:  # noqa: BLE001  (PATH_NOT_FOUND is an AnalysisException)
+        if missing_ok and "PATH_NOT_FOUND" in str(e):
+            return spark.createDataFrame([], TRIPLE_SCHEMA)
+        raise
     subject = F.coalesce(F.col("`_rdf:about`"), F.concat(F.lit("_:"), F.col("`_rdf:nodeID`")))
     parts = F.concat(*[_entries(n, k, expand(n, pre)) for n, k in predicates.items()])
     t = raw.select(subject.alias("s"), F.explode(parts).alias("t")).select("s", "t.*").where(F.col("o").isNotNull())

@@ -47,6 +47,11 @@ def test_triple_scan_shapes(spark):
     assert ws.o == "   "
 
 
+def test_triple_scan_missing_file(spark):
+    t = scan_rdfxml(spark, os.path.join(DATA, "no-such-file.rdf"), PREDICATES)
+    assert t.count() == 0 and t.columns == ["s", "p", "o", "o_kind", "o_datatype", "pos"]
+
+
 def test_qa_from_rdf(spark):
     t = triples(spark)
     v = O.Vocab.for_namespace(NS)
@@ -114,10 +119,10 @@ def test_empty_guard_and_jsonl(spark):
     ex = explode_entries(files).where(F.col("file_reason").isNull()).select("meta_path", "pos", "entry")
     samples = S.training_samples(ex, imgs).select("id", "image", "conversations")
     out = tempfile.mkdtemp(prefix="lg-jsonl-")
-    assert jsonl.write_jsonl(samples, out + "/samples")
+    assert jsonl.write_jsonl(samples, out + "/samples") == 5
     back = jsonl.read_samples(spark, out + "/samples")
     assert back.count() == 5
-    assert not jsonl.write_jsonl(samples.limit(0), out + "/empty")
+    assert jsonl.write_jsonl(samples.limit(0), out + "/empty") == 0
     assert not os.path.exists(out + "/empty")
 
 

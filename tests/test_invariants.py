@@ -73,3 +73,19 @@ def test_distractors_exact_count(spark):
     per = d.groupBy("sample").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("term").alias("u"))
     assert per.where("n <> 5 OR u <> 5").count() == 0
     assert d.join(labels, ["sample", "term"], "left_semi").count() == 0
+
+
+def test_smallest_k_many_ties_distributed(spark, monkeypatch):
+    monkeypatch.setattr(SP, "MAX_TIES_TO_DRIVER", 10)
+    df = spark.range(0, 3000).withColumn("score", F.lit(5).cast("long"))
+    for k in (1, 999, 3000):
+        assert df.where(SP.smallest_k_condition(df, F.col("score"), F.col("id"), k)).count() == k
+
+
+def test_chunked_range_matches_sequence(spark):
+    from labelgraph.operators.media import chunked_range
+
+    df = spark.createDataFrame([(1, 0), (2, 1), (3, 10_000), (4, 7)], "m int, n int")
+    got = sorted((r.m, r.x) for r in chunked_range(df, "m", F.col("n"), 0, 3, "x", chunk=5).collect())
+    want = sorted((m, x) for m, n in [(1, 0), (2, 1), (3, 10_000), (4, 7)] for x in range(0, n, 3))
+    assert got == want
