@@ -12,18 +12,14 @@ from labelgraph.functions.text import col_
 def json_is_valid(c: Column | str) -> Column:
     """Strict validity close to Python's ``json.loads`` (whole text must be one JSON value).
 
-    ``try_parse_json`` alone ignores trailing text, so the value is also parsed inside an
-    array and an object wrapper and the array must hold exactly one element. NULL -> false.
+    ``try_parse_json`` alone ignores trailing text, so the value is parsed inside an array
+    wrapper (which must hold exactly one element) and inside an object wrapper: trailing text
+    breaks at least one of them. NULL -> false.
     """
     v = col_(c)
     as_array = F.concat(F.lit("["), v, F.lit("]"))
     as_object = F.concat(F.lit('{"v":'), v, F.lit("}"))
-    ok = (
-        F.try_parse_json(v).isNotNull()
-        & F.try_parse_json(as_array).isNotNull()
-        & F.try_parse_json(as_object).isNotNull()
-        & (F.json_array_length(as_array) == 1)
-    )
+    ok = F.try_parse_json(as_array).isNotNull() & (F.json_array_length(as_array) == 1) & F.try_parse_json(as_object).isNotNull()
     return F.coalesce(ok, F.lit(False))
 
 

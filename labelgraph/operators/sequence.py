@@ -9,6 +9,7 @@ the rows is spread over many range partitions, so no task sees more than its sha
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,10 +36,14 @@ def sequence_number(
     keys = groups + list(order_cols)
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    # the range partitioner samples its input in a separate pass before the shuffle; persist
+    # the input so that pass does not recompute the upstream pipeline (spills to disk if large)
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    ranged = src.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     pid = F.spark_partition_id()
     ranged = ranged.select("*", pid.alias(_PID), (F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)).alias(_IDX))
     ranged = cut_lineage(ranged)
+    src.unpersist()
 
     stats = ranged.groupBy(_PID, *groups).agg(F.count(F.lit(1)).alias("_cnt"), F.min(_IDX).alias("_first"))
     w = Window.partitionBy(*groups).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
