@@ -18,6 +18,9 @@ from labelgraph.session import cut_lineage
 _PID, _IDX = "_seq_pid", "_seq_idx"
 
 
+ROWS_PER_PARTITION = 2_000_000
+
+
 def sequence_number(
     df: DataFrame,
     order_cols: list[str],
@@ -25,6 +28,7 @@ def sequence_number(
     col: str = "seq",
     start: int = 0,
     num_partitions: int | None = None,
+    rows_per_partition: int = ROWS_PER_PARTITION,
 ) -> DataFrame:
     """Add ``col`` = ``start`` + rank of the row in ``order_cols`` order (within ``group_cols``).
 
@@ -35,10 +39,16 @@ def sequence_number(
     groups = list(group_cols or [])
     keys = groups + list(order_cols)
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # the range partitioner samples its input in a separate pass before the shuffle; persist
     # the input so that pass does not recompute the upstream pipeline (spills to disk if large)
     src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if num_partitions:
+        n = num_partitions
+    else:
+        # size the range partitioning from the row count (which fills the persisted input the
+        # sampling pass reads anyway), capped by the session's shuffle partitions
+        cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        n = max(1, min(cap, -(-src.count() // rows_per_partition)))
     ranged = src.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     pid = F.spark_partition_id()
     ranged = ranged.select("*", pid.alias(_PID), (F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)).alias(_IDX))

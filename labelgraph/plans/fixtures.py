@@ -92,13 +92,18 @@ MATERIALISED = {"fx_triples": ["p"], "fx_predictions": []}
 
 # Lazy DataFrames (plans, not data) memoised per session and folder: reading a parquet
 # footer and analysing a fixture is driver work that every query would otherwise repeat.
-_TABLES: dict[tuple[int, str], dict[str, DataFrame]] = {}
-_FIXTURES: dict[tuple[int, str, str], DataFrame] = {}
+_TABLES: dict[tuple[str, str], dict[str, DataFrame]] = {}
+_FIXTURES: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _session_key(spark: SparkSession) -> str:
+    """Application id + session object: a stopped and restarted session never reuses plans."""
+    return f"{spark.sparkContext.applicationId}:{id(spark)}"
 
 
 def register_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Register the driver's parquet tables as temp views; return them by name."""
-    key = (id(spark), sf_dir.rstrip("/"))
+    key = (_session_key(spark), sf_dir.rstrip("/"))
     if key not in _TABLES:
         _TABLES[key] = {t: spark.read.parquet(f"{key[1]}/{t}.parquet") for t in TABLES}
     out = _TABLES[key]
@@ -109,7 +114,7 @@ def register_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Build fixture view ``name`` over ``sf_dir`` (registers base tables and dependencies)."""
-    key = (id(spark), sf_dir.rstrip("/"), name)
+    key = (_session_key(spark), sf_dir.rstrip("/"), name)
     if key not in _FIXTURES:
         register_tables(spark, sf_dir)
         for dep in FX_DEPS.get(name, []):
