@@ -89,7 +89,8 @@ def cardinality_violations(targets: DataFrame, term_types: DataFrame, rules: lis
     One partial aggregation per subject; rules become columns, never a cross join.
     Output ``(subject, class, n, min_n, max_n)`` for each broken rule.
     """
-    typed = targets.select("subject", "term").distinct().join(term_types.select("term", "class").distinct(), "term", "left")
+    types = broadcast_if_small(term_types.select("term", "class").distinct())
+    typed = targets.select("subject", "term").distinct().join(types, "term", "left")
     aggs = [F.count_distinct(F.when(F.col("class") == F.lit(c), F.col("term"))).alias(f"n_{i}") for i, (c, _, _) in enumerate(rules)]
     per = typed.groupBy("subject").agg(*aggs)
     checks = []

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from labelgraph import constants as K
 from labelgraph.functions.json import has_key, json_is_valid
 from labelgraph.functions.text import col_, strip
+from labelgraph.operators.graph import broadcast_if_small
 
 
 # ---- responses ------------------------------------------------------------------------------
@@ -113,26 +114,35 @@ def vocabulary(concept_types: DataFrame) -> DataFrame:
 
 
 def unknown_terms(labels: DataFrame, vocab: DataFrame) -> DataFrame:
-    """Labels whose term is not an ontology term at all."""
-    return labels.join(vocab.select("term").distinct(), "term", "left_anti")
+    """Labels whose term is not an ontology term at all (vocabulary broadcast after a size check)."""
+    return labels.join(broadcast_if_small(vocab.select("term").distinct()), "term", "left_anti")
 
 
 def wrong_dimension(labels: DataFrame, vocab: DataFrame) -> DataFrame:
     """Labels whose term exists but not under the stated dimension."""
-    known = labels.join(vocab.select("term").distinct(), "term", "left_semi")
-    return known.join(vocab, ["term", "dim"], "left_anti")
+    known = labels.join(broadcast_if_small(vocab.select("term").distinct()), "term", "left_semi")
+    return known.join(broadcast_if_small(vocab), ["term", "dim"], "left_anti")
 
 
 def prune_ancestors(labels: DataFrame, closure_names: DataFrame) -> DataFrame:
-    """Drop a term when one of its descendants is in the same (sample, dim) list.
+    """Drop a term when one of its descendants is in the same (sample, dim) list; also dedupes
+    (first position kept).
 
-    ``closure_names(child, ancestor)`` by term name. Two joins keyed by (sample, dim, term):
-    no per-sample collection, and a hot sample is spread over many terms.
+    One aggregation instead of a self join: every label row, plus one "covered" row per
+    ancestor of each label (closure broadcast after a size check), grouped by
+    (sample, dim, term). A term survives when it is present and never covered. Partial
+    aggregation runs before the single shuffle, and a hot sample is spread over its terms.
     """
     cl = closure_names.where(F.col("child") != F.col("ancestor")).select(F.col("child").alias("term"), "ancestor").distinct()
-    # no distinct: the anti join only needs existence, duplicates on its right side are free
-    anc = labels.select("sample_id", "dim", "term").join(cl, "term").select("sample_id", "dim", F.col("ancestor").alias("term"))
-    return labels.join(anc, ["sample_id", "dim", "term"], "left_anti")
+    cl = broadcast_if_small(cl)
+    own = labels.select("sample_id", "dim", "term", "pos", F.lit(True).alias("_own"))
+    covered = labels.select("sample_id", "dim", "term").join(cl, "term").select(
+        "sample_id", "dim", F.col("ancestor").alias("term"), F.lit(None).cast(own.schema["pos"].dataType).alias("pos"), F.lit(False).alias("_own")
+    )
+    g = own.unionByName(covered).groupBy("sample_id", "dim", "term").agg(
+        F.min("pos").alias("pos"), F.max("_own").alias("_present"), F.min("_own").alias("_all_own")
+    )
+    return g.where(F.col("_present") & F.col("_all_own")).select("sample_id", "dim", "term", "pos")
 
 
 def clean_json(labels: DataFrame) -> DataFrame:
@@ -151,8 +161,8 @@ def verdicts(parsed: DataFrame, vocab: DataFrame, min_counts: dict[str, int] | N
     mins = min_counts if min_counts is not None else K.MIN_COUNTS
     lab = long_labels(parsed)
     flags = (
-        lab.join(vocab.select("term", F.lit(True).alias("_known")).distinct(), "term", "left")
-        .join(vocab.select("term", "dim", F.lit(True).alias("_dim_ok")).distinct(), ["term", "dim"], "left")
+        lab.join(broadcast_if_small(vocab.select("term", F.lit(True).alias("_known")).distinct()), "term", "left")
+        .join(broadcast_if_small(vocab.select("term", "dim", F.lit(True).alias("_dim_ok")).distinct()), ["term", "dim"], "left")
         .groupBy("sample_id")
         .agg(
             F.max(F.col("_known").isNull()).alias("any_unknown"),

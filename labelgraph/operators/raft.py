@@ -52,7 +52,9 @@ def distractors(labels: DataFrame, definitions: DataFrame, k: int = 3, seed: str
         F.explode(F.sequence(F.lit(0), m - 1)).alias("j"),
     )
     draws = draws.select("sample", "j", ((F.col("b") + F.col("j").cast("long") * F.col("a")) % c).alias("idx"))
-    cand = draws.join(idx, "idx").join(labels.select("sample", "term").distinct(), ["sample", "term"], "left_anti")
+    from labelgraph.operators.graph import broadcast_if_small
+
+    cand = draws.join(broadcast_if_small(idx), "idx").join(labels.select("sample", "term").distinct(), ["sample", "term"], "left_anti")
     w = Window.partitionBy("sample").orderBy("j")  # group size <= k + |labels|
     return cand.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).select("sample", "j", "term", "definition")
 

@@ -40,7 +40,7 @@ def pred_dedupe(spark, sf):
 
 @query("pred_prune_ancestors", f"WITH RECURSIVE {CONCEPT_CTES}, {_DD}, {_PRUNE} SELECT sample_id, dim, term, pos FROM pruned", FP)
 def pred_prune_ancestors(spark, sf):
-    return P.prune_ancestors(P.dedupe(preds(spark, sf)), closure_names(spark, sf))
+    return P.prune_ancestors(preds(spark, sf), closure_names(spark, sf))
 
 
 @query(
@@ -81,7 +81,7 @@ def _json_by_dim(dim_col: str = "dim") -> str:
 )
 def pred_clean_json(spark, sf):
     v = vocab(spark, sf)
-    pruned = P.prune_ancestors(P.dedupe(preds(spark, sf)), closure_names(spark, sf))
+    pruned = P.prune_ancestors(preds(spark, sf), closure_names(spark, sf))
     clean = pruned.join(v, ["term", "dim"], "left_semi")
     return P.clean_json(clean)
 
