@@ -19,7 +19,7 @@ from labelgraph.operators import tokens as T
 from labelgraph.plans.fixtures import fixture, register_tables
 from labelgraph.plans.q_samples import CHECK_CTES, entries, images
 from labelgraph.plans.q_ontology import _QA_FULL_SQL
-from labelgraph.plans.registry import CONCEPT_CTES, WS, query, strip_sql
+from labelgraph.plans.registry import CONCEPT_CTES, query, strip_sql
 
 # the stage-2 system prompt is an input file in practice; this one is ours
 PROMPT = "Classify the learning material in the image with terms from the ontology."
@@ -347,5 +347,3 @@ def chat_dataset(spark, sf):
     both = tr.unionByName(ev)
     return both.select("id", "split", C.training_layout(F.lit(PROMPT), "answer").alias("text"))
 
-
-WS_SQL = WS  # re-exported for tests
