@@ -36,15 +36,18 @@ def local_name(c: Column | str) -> Column:
     return F.substring_index(col_(c), "#", -1)
 
 
+# Python's whitespace set as a compact class with ranges (same members as PY_WHITESPACE)
+WS_RANGES = r"[ \x{9}-\x{D}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+
+
 def ws_tokens(c: Column | str) -> Column:
     """Python ``str.split()`` with no argument: runs of whitespace, no empty tokens.
 
-    Every Unicode whitespace character is first mapped to a space with ``translate`` (a
-    per-character table lookup), so the split pattern is the cheap literal `` +`` instead of a
-    29-member character class; same tokens, about half the time.
+    One split on runs of the whitespace class (written with ranges, which the regex engine
+    matches faster than a 29-member list), then the empty strings that leading/trailing
+    whitespace leave at the ends are removed.
     """
-    spaced = F.trim(F.translate(col_(c), K.PY_WHITESPACE, " " * len(K.PY_WHITESPACE)))
-    return F.when(spaced == F.lit(""), F.array().cast("array<string>")).otherwise(F.split(spaced, " +"))
+    return F.array_remove(F.split(col_(c), WS_RANGES + "+"), "")
 
 
 def example_prefix_if_missing(c: Column | str) -> Column:

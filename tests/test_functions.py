@@ -68,3 +68,11 @@ def test_chat_layouts(spark):
 
 def test_read_prompt(spark):
     assert read_prompt(spark, os.path.join(DATA, "prompt.txt")) == open(os.path.join(DATA, "prompt.txt")).read()
+
+
+def test_ws_class_equals_python_isspace(spark):
+    # every code point up to U+3000 (the largest whitespace one): 'a<c>b' splits like Python
+    rows = [(i, "a" + chr(i) + "b") for i in range(1, 0x3001) if not 0xD800 <= i <= 0xDFFF]
+    df = spark.createDataFrame(rows, "i int, v string")
+    got = {r.i: r.n for r in df.select("i", F.size(ws_tokens("v")).alias("n")).collect()}
+    assert all(got[i] == len(v.split()) for i, v in rows)
