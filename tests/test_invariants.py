@@ -89,3 +89,14 @@ def test_chunked_range_matches_sequence(spark):
     got = sorted((r.m, r.x) for r in chunked_range(df, "m", F.col("n"), 0, 3, "x", chunk=5).collect())
     want = sorted((m, x) for m, n in [(1, 0), (2, 1), (3, 10_000), (4, 7)] for x in range(0, n, 3))
     assert got == want
+
+
+def test_hot_group_spread_over_partitions(spark):
+    # a group with a third of all rows must not land in one task when numbered per group
+    df = spark.range(0, 30_000).withColumn("g", F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 97 + 1))
+    out = sequence_number(df, ["id"], group_cols=["g"], num_partitions=8)
+    per_task = out.where("g = 0").groupBy(F.spark_partition_id().alias("pid")).count().collect()
+    assert len(per_task) >= 2  # spread in proportion to its share (a third of 8 ranges)
+    assert max(r["count"] for r in per_task) <= 30_000 // 8 * 1.5  # no task holds the whole group
+    mx = out.where("g = 0").agg(F.max("seq")).first()[0]
+    assert mx == 10_000 - 1
