@@ -98,6 +98,37 @@ def scan_rdfxml(
     return t.dropDuplicates(["s", "p", "o", "o_kind"]) if distinct else t
 
 
+def discover_predicates(spark: SparkSession, path: str, sampling_ratio: float = 1.0) -> dict[str, str]:
+    """Opt-in discovery of predicate elements and their kinds with Spark's XML schema inference
+    (one extra pass over the sampled input). Library scans take the explicit mapping instead.
+
+    An element that occurs both as plain text and with ``rdf:resource`` cannot be typed by one
+    column and raises; pass ``predicates`` explicitly for such files.
+    """
+    inferred = (
+        spark.read.format("xml")
+        .option("rowTag", "rdf:Description")
+        .option("samplingRatio", str(sampling_ratio))
+        .load(path)
+        .schema
+    )
+    kinds: dict[str, str] = {}
+    for f in inferred.fields:
+        if f.name.startswith("_"):
+            continue
+        t = f.dataType.elementType if isinstance(f.dataType, T.ArrayType) else f.dataType
+        if not isinstance(t, T.StructType):
+            kinds[f.name] = "literal"
+            continue
+        names = set(t.fieldNames())
+        has_ref = bool(names & {"_rdf:resource", "_rdf:nodeID"})
+        has_text = "_VALUE" in names
+        if has_ref and has_text:
+            raise ValueError(f"element {f.name} is both a literal and a reference; pass predicates explicitly")
+        kinds[f.name] = "ref" if has_ref else "typed"
+    return kinds
+
+
 def _xml_escape(c: Column) -> Column:
     out = F.replace(c, F.lit("&"), F.lit("&amp;"))
     for a, b in (("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("\r", "&#13;")):

@@ -47,6 +47,12 @@ def test_triple_scan_shapes(spark):
     assert ws.o == "   "
 
 
+def test_discover_predicates(spark):
+    from labelgraph.sources.rdf import discover_predicates
+
+    assert discover_predicates(spark, os.path.join(DATA, "onto.rdf")) == PREDICATES
+
+
 def test_triple_scan_missing_file(spark):
     t = scan_rdfxml(spark, os.path.join(DATA, "no-such-file.rdf"), PREDICATES)
     assert t.count() == 0 and t.columns == ["s", "p", "o", "o_kind", "o_datatype", "pos"]
