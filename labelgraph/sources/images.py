@@ -6,13 +6,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from labelgraph.sources.paths import qualified_root, relative_to_root
+
 
 def list_images(spark: SparkSession, root: str, pattern: str = "*.{png,jpg,jpeg}") -> DataFrame:
     """``(path, length)`` with ``path`` relative to ``root``'s parent, prefixed by its last element."""
-    df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
-    base = root.rstrip("/")
-    prefix = base.rsplit("/", 1)[-1]
-    import re
-
-    rel = F.regexp_replace(F.col("path"), r"^(file:)?/*" + re.escape(base.lstrip("/")) + "/", "")
-    return df.select(F.concat(F.lit(prefix + "/"), rel).alias("path"), "length")
+    df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(qualified_root(root))
+    return df.select(relative_to_root(F.col("path"), root).alias("path"), "length")

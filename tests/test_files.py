@@ -94,6 +94,13 @@ def test_meta_scan_and_images(spark):
     assert "data/img/7.png" in listed and len(listed) == 6
 
 
+def test_relative_root(spark):
+    rel = os.path.relpath(os.path.join(DATA, "tree", "data"), os.getcwd())
+    files, imgs = scan_meta_files(spark, rel), list_images(spark, rel)
+    assert sorted(r.meta_path for r in files.collect())[0] == "data/w/sub/meta.json"
+    assert "data/img/7.png" in {r.path for r in imgs.collect()}
+
+
 def test_build_with_rejects(spark):
     files, imgs = _tree(spark)
     ex = explode_entries(files)
