@@ -17,7 +17,11 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def local_session(
-    cores: int | str = "*", shuffle_partitions: int = 8, app: str = "labelgraph", checkpoint_dir: str | None = None
+    cores: int | str = "*",
+    shuffle_partitions: int = 8,
+    app: str = "labelgraph",
+    checkpoint_dir: str | None = None,
+    event_log_dir: str | None = None,
 ) -> SparkSession:
     """A local session for tests and benchmarks (UI off, AQE on, UTC).
 
@@ -39,6 +43,9 @@ def local_session(
         .config("spark.sql.variant.allowDuplicateKeys", "true")
     )
     builder = builder.config(CHECKPOINT_CONF, checkpoint_dir or tempfile.mkdtemp(prefix="labelgraph-ckpt-"))
+    if event_log_dir:
+        # stage/task timings without the UI: Spark's JSON event log in a scratch folder
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
