@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelgraph import constants as K
-from labelgraph.functions.json import has_key, json_is_valid
+from labelgraph.functions.json import json_is_valid
 from labelgraph.functions.text import col_, strip
 from labelgraph.operators.graph import broadcast_if_small
 
@@ -46,22 +46,26 @@ def parse_response(df: DataFrame, answer: str = "answer") -> DataFrame:
     list under any accepted key spelling), ``shape`` and the key-presence flags."""
     a = F.col(answer)
     valid = json_is_valid(a)
-    obj = valid & F.json_object_keys(a).isNotNull()
+    keys = F.when(valid, F.json_object_keys(a))  # parsed once; NULL unless a valid object
+    obj = keys.isNotNull()
+
+    def any_key(*names: str) -> Column:
+        # built-in array test (no lambda), false when not an object
+        return F.coalesce(F.arrays_overlap(keys, F.array(*[F.lit(n) for n in names])), F.lit(False))
 
     def lists(plural: str, singular: str) -> Column:
         return F.when(obj, _first_present(a, [f"$.{plural}", f"$.{singular}", f"$.labels.{plural}", f"$.labels.{singular}"]))
 
-    has_err = F.coalesce(obj & (has_key(a, "Error") | has_key(a, "error")), F.lit(False))
-    label_keys = [*K.LABEL_KEYS, *K.LABEL_KEYS_SINGULAR, "labels"]
-    has_lab = F.coalesce(obj & F.exists(F.json_object_keys(a), lambda k: k.isin(*label_keys)), F.lit(False))
+    has_err = any_key("Error", "error")
+    has_lab = any_key(*K.LABEL_KEYS, *K.LABEL_KEYS_SINGULAR, "labels")
     shape = (
         F.when(~valid, "invalid")
         .when(~obj, "not_object")
         .when(has_err & has_lab, "mixed")
         .when(has_err, "error")
-        .when(has_key(a, "labels"), "nested")
-        .when(F.exists(F.json_object_keys(a), lambda k: k.isin(*K.LABEL_KEYS)), "plural")
-        .when(F.exists(F.json_object_keys(a), lambda k: k.isin(*K.LABEL_KEYS_SINGULAR)), "singular")
+        .when(any_key("labels"), "nested")
+        .when(any_key(*K.LABEL_KEYS), "plural")
+        .when(any_key(*K.LABEL_KEYS_SINGULAR), "singular")
         .otherwise("other")
     )
     return df.select(
