@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelgraph.llm import quality_rules, url_filter
+from labelgraph.llm import decontaminate, mixing, quality_rules, sharding, token_blocks, url_filter
 from labelgraph.llm.common import only, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,44 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+# ---- 2: benchmark decontamination --------------------------------------------------------
+_TEXT_WORDS = r"regexp_extract_all(translate(coalesce({t}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@query(
+    "op2_decontaminate",
+    rf"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, {_TEXT_WORDS.format(t='text')} AS w FROM documents),
+items AS (SELECT item_id, {_TEXT_WORDS.format(t='text')} AS w FROM benchmark),
+wins AS (
+  SELECT DISTINCT item_id, n, list_slice(w, i, i + n - 1) AS win
+  FROM (SELECT item_id, w, least(13, len(w)) AS n, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM items WHERE len(w) > 0)),
+lens AS (SELECT DISTINCT n FROM wins),
+spots AS (
+  SELECT rid, i, n, list_slice(w, i, i + n - 1) AS win
+  FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs JOIN lens ON len(w) >= n)),
+hits AS (SELECT rid, i, n, item_id FROM spots JOIN wins USING (n, win)),
+words AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS p FROM hits) GROUP BY rid),
+ids AS (SELECT rid, list(DISTINCT CAST(item_id AS VARCHAR)) AS l FROM hits WHERE item_id IS NOT NULL GROUP BY rid)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(len(l), 0) AS n_items,
+  sha256(coalesce(array_to_string(list_sort(l), ','), '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * n_hit >= len(w) AS contaminated
+FROM docs LEFT JOIN words USING (rid) LEFT JOIN ids USING (rid)
+""",
+)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+# ---- 4: sharding -------------------------------------------------------------------------
+SHARDS = 40
+
+
+@query("op4_sharding")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(only(read_table(spark, sf_dir, "documents"), "doc_id", "text"), SHARDS)
+
+
 # ---- 7: URL filters ----------------------------------------------------------------------
 URL_RULES = [
     ("com", "/", "allow"),
@@ -100,3 +138,61 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = only(read_table(spark, sf_dir, "documents"), "doc_id", "text")
     led = quality_rules.ledger(quality_rules.measure(docs))
     return quality_rules.apply_policy(led).select("doc_id", *LEDGER_COLS, "base_failed", "kept", "failed_bits")
+
+
+# ---- 9: mixing sources -------------------------------------------------------------------
+#: Water level: words per weight once the sources that reach their limit first are filled up.
+_MIX_SQL = f"""
+docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, source, len({WORDS_SQL.format(t='text')}) AS size,
+    CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))), 1, 15) AS BIGINT) AS h
+  FROM documents),
+src AS (
+  SELECT source, sum(size) AS s, (ARRAY[3, 1, 2])[CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS INT) + 1] AS w
+  FROM docs GROUP BY source),
+ranked AS (
+  SELECT *, sum(2 * s) OVER o - 2 * s AS capped_before, sum(w) OVER () - (sum(w) OVER o - w) AS w_left
+  FROM src WINDOW o AS (ORDER BY 2.0 * s / w, source ROWS UNBOUNDED PRECEDING)),
+lev AS (SELECT *, ((SELECT 1.5 * sum(s) FROM src) - capped_before) / w_left AS level FROM ranked),
+water AS (SELECT arg_min(level, 2.0 * s / w) FILTER (level * w <= 2 * s) AS level FROM lev),
+target AS (SELECT source, CAST(s AS BIGINT) AS source_size, CAST(least(2 * s, w * coalesce(level, 1e300)) AS DOUBLE) AS target FROM src, water)
+"""
+
+
+@query(
+    "op9_mixing",
+    f"""
+WITH {_MIX_SQL},
+run AS (
+  SELECT d.*, t.source_size, t.target, CASE WHEN source_size > 0 THEN least(2, floor(target / source_size)) ELSE 0 END AS whole,
+    sum(size) OVER (PARTITION BY d.source ORDER BY h, size, rid ROWS UNBOUNDED PRECEDING) - size AS before
+  FROM docs d JOIN target t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+  CAST(size * (whole + CASE WHEN whole < 2 AND 2 * before + size <= 2 * (target - whole * source_size) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM run
+""",
+)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(only(read_table(spark, sf_dir, "documents"), "doc_id", "text", "source"))
+    return mixed.select(
+        "doc_id",
+        F.col("mix_size").alias("size"),
+        F.col("mix_source_size").alias("source_size"),
+        F.col("mix_target").alias("target"),
+        (F.col("mix_size") * F.col("mix_copies")).cast("long").alias("taken"),
+    )
+
+
+# ---- 10: token ids -----------------------------------------------------------------------
+TOKENIZER, END_ID = "word_bpe_49k.json", 2
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
+@query("op10_token_blocks")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_blocks.encode_documents(read_table(spark, sf_dir, "documents"), tokenizer_path(), END_ID)
