@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelgraph.llm import decontaminate, mixing, quality_rules, sharding, token_blocks, url_filter
+from labelgraph.llm import decontaminate, jaccard_join, mixing, quality_rules, sharding, token_blocks, url_filter
 from labelgraph.llm.common import only, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,6 +69,37 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(only(read_table(spark, sf_dir, "documents"), "doc_id", "text"), SHARDS)
 
 
+# ---- 6: n-gram Jaccard join --------------------------------------------------------------
+_SHINGLE_SQL = rf"""
+docs AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sh AS (
+  SELECT DISTINCT rid, list_slice(w, i, i + least(5, len(w)) - 1) AS s
+  FROM (SELECT rid, w, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS i FROM docs WHERE len(w) > 0)),
+n AS (SELECT rid, count(*) AS n FROM sh GROUP BY rid),
+shared AS (SELECT a.rid AS x, b.rid AS y, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.rid < b.rid GROUP BY 1, 2),
+link AS (
+  SELECT x, y FROM shared JOIN n nx ON nx.rid = x JOIN n ny ON ny.rid = y WHERE 100 * c >= 75 * (nx.n + ny.n - c)),
+sides AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link)
+"""
+
+
+@query(
+    "op6_jaccard_join",
+    f"""
+WITH RECURSIVE {_SHINGLE_SQL},
+reach(x, y) AS (SELECT x, y FROM sides UNION SELECT r.x, s.y FROM reach r JOIN sides s ON r.y = s.x)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(least(d.doc_id, min(o.doc_id)), d.doc_id, min(o.doc_id)) AS component_id
+FROM docs d LEFT JOIN n ON n.rid = d.rid LEFT JOIN reach r ON r.x = d.rid LEFT JOIN docs o ON o.rid = r.y
+GROUP BY d.rid, d.doc_id, n.n
+""",
+)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_components(read_table(spark, sf_dir, "documents"))
+
+
 # ---- 7: URL filters ----------------------------------------------------------------------
 URL_RULES = [
     ("com", "/", "allow"),
