@@ -38,6 +38,12 @@ def mix64(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
+def span_hashes(b: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """One hash for each span of bytes, A-Z as a-z: a polynomial from running sums over all bytes."""
+    run = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[b] * _power_table(_MULT, len(b)), dtype=np.uint64)])
+    return mix64((run[ends] - run[starts]) * _power_table(_INV, len(b))[starts])
+
+
 def word_hashes(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """One hash for each word between ASCII white space, A-Z lower-cased; byte starts and ends."""
     if not text:
@@ -47,9 +53,7 @@ def word_hashes(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     space = np.concatenate([[True], _SPACE[b], [True]])
     edge = np.flatnonzero(space[1:] != space[:-1])
     starts, ends = edge[::2], edge[1::2]
-    run = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[b] * _power_table(_MULT, len(b)), dtype=np.uint64)])
-    h = (run[ends] - run[starts]) * _power_table(_INV, len(b))[starts]
-    return mix64(h), starts, ends
+    return span_hashes(b, starts, ends), starts, ends
 
 
 def shingle_hashes(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:

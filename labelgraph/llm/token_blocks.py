@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from labelgraph.llm.common import stored
+from labelgraph.llm.shingles import span_hashes
 from labelgraph.session import scratch_path
 
 MAGIC = b"PFORTOK1"
@@ -37,6 +38,8 @@ PERCENTILES = (50, 75, 90, 95, 99, 100)
 FILE_BYTES = 24 << 20
 #: Bytes of blocks gathered before they leave the Python worker.
 PART_BYTES = 1 << 20
+#: Texts whose words are looked up together.
+TEXTS_AT_ONCE = 1024
 #: Entries of a worker's cache of encoded words; it starts anew when full.
 CACHE_WORDS = 1_000_000
 _HEAD, _BLOCK, _FOOT = struct.Struct("<8sII"), struct.Struct("<IBBHH"), struct.Struct("<QQQQ8s")
@@ -159,17 +162,26 @@ def read_file(data: bytes) -> tuple[int, list[int | None], np.ndarray, np.ndarra
 
 
 # ---- encoding ----------------------------------------------------------------------------
-_WS = re.compile(r"[ \t\n\r]+")
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]*)")
+# Texts of ASCII and Latin-1 letters are cut into the tokenizer's words here: after lower-casing,
+# runs of letters, single digits, and runs of anything else but white space (which U+001C to U+001F
+# are not to it). Special tokens and its contractions need the tokenizer's own pattern.
+_OTHER = re.compile("[^\x00-\x7fÀ-ÖØ-öø-ÿ]|<[|]|'(?:s|t|re|ve|m|ll|d)", re.IGNORECASE)
+_CHUNKS = re.compile(rb"[^\x09-\x0d ]+")
+_LETTER, _DIGIT, _REST, _SPACE = 1, 2, 3, 0
+_CLASS = np.full(256, _REST, dtype=np.uint8)
+_CLASS[97:123] = _CLASS[128:] = _LETTER
+_CLASS[48:58] = _DIGIT
+_CLASS[[9, 10, 11, 12, 13, 32]] = _SPACE
 
 
 class WordEncoder:
-    """Encodes texts with a tokenizer whose words never reach across white space.
+    """Encodes texts with a lower-casing tokenizer whose words never reach across white space.
 
     Such a tokenizer (white space dropped before the merges, a mark at each word's end) gives a
-    text the ids of its white-space-separated chunks one after the other, so every chunk is
-    encoded once and cached. Letters followed by punctuation are two words of it; many of the
-    former are encoded in one call and told apart by the end marks.
+    text the ids of its words one after the other, so every word is encoded once and cached as the
+    bytes of its ids. The words of many texts are found together: one hash each, and only distinct
+    ones (told apart by 64-bit hashes) are looked up. Texts with other characters than ASCII and
+    Latin-1 letters are cut at ASCII white space, and the tokenizer sees each such chunk whole.
     """
 
     def __init__(self, path: str):
@@ -182,57 +194,77 @@ class WordEncoder:
         self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
         for token, i in vocab.items():
             self.ends[i] = token.endswith("</w>")
-        self.chunks: dict[str, list[int]] = {}
-        self.pieces: dict[str, list[int]] = {}
-
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, missing: list[str]) -> None:
-        if len(self.chunks) > CACHE_WORDS:
-            self.chunks.clear()
-            self.pieces.clear()
-        whole, split, letters = [], [], {}
-        for chunk in missing:
-            m = _PLAIN.fullmatch(chunk)
-            if m is None:
-                whole.append(chunk)
-                continue
-            word, marks = m[1].lower(), m[2]
-            split.append((chunk, word, marks))
-            if word not in self.pieces:
-                letters[word] = None
-            if marks and marks not in self.pieces:
-                whole.append(marks)
-                self.pieces[marks] = []
+        self.known: dict[bytes, bytes] = {}
+        probe = "It is a TEST, caf\u00e9 (42)!"
+        # another kind of tokenizer: every text is encoded whole
+        self.by_words = self._whole([probe])[0] == self._many([probe])[0]
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        found = self.tok.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+
+    def _learn(self, missing: list[bytes]) -> None:
+        """Encode new words; all that are letters in one call, told apart by the marks at their ends."""
+        words = [w.decode("utf-8", "surrogatepass") for w in missing]
+        letters = [i for i, w in enumerate(words) if w.isalpha()]
         if letters:
-            ids = self._encode([" ".join(letters)])[0]
-            ends = (np.flatnonzero(self.ends[np.asarray(ids)]) + 1).tolist()
-            if len(ends) == len(letters):
-                at = 0
-                for word, end in zip(letters, ends):
-                    self.pieces[word] = ids[at:end]
-                    at = end
-            else:  # a tokenizer without end marks: one by one
-                self.pieces.update(zip(letters, self._encode(list(letters))))
-        for text, ids in zip(whole, self._encode(whole)):
-            if text in self.pieces:
-                self.pieces[text] = ids
-            self.chunks[text] = ids
-        for chunk, word, marks in split:
-            self.chunks[chunk] = self.pieces[word] + self.pieces[marks] if marks else self.pieces[word]
-
-    def __call__(self, text: str | None) -> list[int]:
-        if not text:
-            return []
-        parts = _WS.split(text)
-        missing = [p for p in set(parts) if p not in self.chunks]
-        if missing:
-            self._learn(missing)
-        out: list[int] = []
-        known = self.chunks
-        for p in parts:
-            out += known[p]
+            raw = self._whole([" ".join([words[i] for i in letters])])[0]
+            ends = ((np.flatnonzero(self.ends[np.frombuffer(raw, "<u4")]) + 1) * 4).tolist()
+            found = [raw[i:j] for i, j in zip([0, *ends], ends)]
+            if len(found) != len(letters):
+                found = self._whole([words[i] for i in letters])
+            self.known.update(zip([missing[i] for i in letters], found))
+        rest = [i for i, w in enumerate(words) if not w.isalpha()]
+        if rest:
+            self.known.update(zip([missing[i] for i in rest], self._whole([words[i] for i in rest])))
+
+    def _lookup(self, words: list[bytes]) -> list[bytes]:
+        found = list(map(self.known.get, words))
+        if None in found:
+            self._learn(list({w for w, f in zip(words, found) if f is None}))
+            found = list(map(self.known.get, words))
+        return found
+
+    def _many(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts that are cut by classes of bytes, all texts at once."""
+        raw = [t.lower().encode() for t in texts]
+        edges = np.cumsum([0] + [len(r) + 1 for r in raw])
+        text = b" ".join(raw)
+        b = np.frombuffer(text, dtype=np.uint8)
+        kind = np.concatenate([[_SPACE], _CLASS[b], [_SPACE]])
+        cut = (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+        at = np.flatnonzero(cut)
+        word = kind[1:][at] != _SPACE
+        starts, ends = at[word], np.append(at[1:], len(b))[word]
+        if not len(starts):
+            return [b""] * len(texts)
+        _, first, which = np.unique(span_hashes(b, starts, ends), return_index=True, return_inverse=True)
+        ids = self._lookup([text[i:j] for i, j in zip(starts[first].tolist(), ends[first].tolist())])
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        off = np.cumsum(size) - size
+        own = size[which]
+        before = np.concatenate([[0], np.cumsum(own)])
+        take = np.repeat(off[which] - before[:-1], own) + np.arange(before[-1])
+        out = flat[take].tobytes()
+        bound = (before[np.searchsorted(starts, edges)] * 4).tolist()
+        return [out[i:j] for i, j in zip(bound, bound[1:])]
+
+    def __call__(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers; none for null."""
+        if not self.by_words:
+            return self._whole([t or "" for t in texts])
+        if len(self.known) > CACHE_WORDS:
+            self.known.clear()
+        out: list[bytes] = [b""] * len(texts)
+        plain = []
+        for i, t in enumerate(texts):
+            if t and _OTHER.search(t):
+                out[i] = b"".join(self._lookup(_CHUNKS.findall(t.encode("utf-8", "surrogatepass"))))
+            elif t:
+                plain.append(i)
+        for i, ids in zip(plain, self._many([texts[i] for i in plain])):
+            out[i] = ids
         return out
 
 
@@ -248,7 +280,7 @@ def word_encoder(path: str) -> WordEncoder:
 
 # ---- Spark -------------------------------------------------------------------------------
 def write_tokens(
-    docs: DataFrame, path: str, encoder: Callable[[], Callable[[str | None], list[int]]], end_id: int, key: str = "doc_id"
+    docs: DataFrame, path: str, encoder: Callable[[], Callable[[list[str | None]], list[bytes]]], end_id: int, key: str = "doc_id"
 ) -> None:
     """Encode ``text``, append ``end_id`` and write the files of ``path`` in ascending ``key`` order.
 
@@ -265,12 +297,13 @@ def write_tokens(
 
     def encode(batches):
         parts, enc = FileParts(TaskContext.get().partitionId()), encoder()
+        last = struct.pack("<I", end_id)
         for batch in batches:
-            for k, t in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = enc(t.as_py())
-                ids.append(end_id)
-                for part in parts.add(k, np.array(ids, dtype=np.uint32)):
-                    yield pa.RecordBatch.from_arrays([pa.array([part], pa.binary())], names=["part"])
+            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                some = batch.slice(at, TEXTS_AT_ONCE)
+                for k, raw in zip(some.column(0).to_pylist(), enc(some.column(1).to_pylist())):
+                    for part in parts.add(k, np.frombuffer(raw + last, "<u4")):
+                        yield pa.RecordBatch.from_arrays([pa.array([part], pa.binary())], names=["part"])
         for part in parts.close():
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.binary())], names=["part"])
 
