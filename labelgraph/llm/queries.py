@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelgraph.llm import decontaminate, jaccard_join, mixing, quality_rules, sharding, token_blocks, url_filter
+from labelgraph.llm import decontaminate, jaccard_join, mixing, quality_rules, sharding, token_blocks, url_filter, warc
 from labelgraph.llm.common import only, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,6 +69,29 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(only(read_table(spark, sf_dir, "documents"), "doc_id", "text"), SHARDS)
 
 
+# ---- 5: WARC archives --------------------------------------------------------------------
+@query(
+    "op5_warc",
+    """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT h, min(page_id) AS m FROM p WHERE strlen(h) >= 100 GROUP BY h HAVING count(*) > 1)
+SELECT page_id, strlen(p.h) AS payload_bytes, sha256(p.h) AS payload_digest,
+  CASE WHEN m IS NOT NULL AND page_id IS DISTINCT FROM m THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN m IS NOT NULL AND page_id IS DISTINCT FROM m THEN m END AS refers_to
+FROM p LEFT JOIN d ON p.h = d.h
+""",
+)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.round_trip(only(read_table(spark, sf_dir, "pages"), "page_id", "url", "html"))
+    return read.select(
+        F.col("page").cast("long").alias("page_id"),
+        F.col("size").alias("payload_bytes"),
+        F.col("digest").alias("payload_digest"),
+        F.col("type").alias("record_type"),
+        F.col("refers").cast("long").alias("refers_to"),
+    )
+
+
 # ---- 6: n-gram Jaccard join --------------------------------------------------------------
 _SHINGLE_SQL = rf"""
 docs AS (
