@@ -8,13 +8,16 @@ the prefixes' inverted lists hold every link. Two relations between sets skip mo
   block is skipped when no entry of it can reach the overlap that a probe needs.
 * Answer level: in each list the set with the smallest share of rare shingles is the pivot, the
   likely original of its near copies. Every entry is compared with the pivot first; entries that
-  the pivot's answers already connect need no comparison among themselves. What is left of long
+  the pivot's answers already connect need no comparison among themselves. Before texts are
+  fetched, bitmaps of the sets rule out pairs that only share a chance shingle. What is left of long
   lists is compared in tiles, where the overlaps of a set are derived from its pivot's overlaps:
   |C & B| = |C & P| - |C & (P - B)| + |C & (B - P)|, and B differs from P in few shingles.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -61,6 +64,26 @@ def needed_overlap(a, b):
     return -(-NUM * (a + b) // (NUM + DEN))
 
 
+def bitmap(s: np.ndarray) -> bytes:
+    """Two bits or more for each element, a power of two in all; elements set the bit of their low bits."""
+    bits = np.zeros(1 << max(6, (2 * len(s)).bit_length()), dtype=bool)
+    bits[(s & np.uint64(len(bits) - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def bitmaps_allow(a: bytes, na: int, b: bytes, nb: int) -> bool:
+    """Whether two sets can be a link: every bit that only one bitmap has is an element that only
+    one set has. The wider bitmap is folded to the width of the other."""
+    x, y, wide = int.from_bytes(a, "little"), int.from_bytes(b, "little"), 8 * max(len(a), len(b))
+    least = 8 * min(len(a), len(b))
+    if len(a) > len(b):
+        x, y = y, x
+    while wide > least:
+        wide //= 2
+        y = (y >> wide) | (y & ((1 << wide) - 1))
+    return (x ^ y).bit_count() <= na + nb - 2 * needed_overlap(na, nb)
+
+
 def is_link(a: np.ndarray, b: np.ndarray) -> bool:
     small, large = (a, b) if len(a) <= len(b) else (b, a)
     if not len(small) or DEN * len(small) < NUM * len(large):
@@ -83,7 +106,8 @@ def unpack(p: Column) -> tuple[Column, Column]:
 
 # ---- pass 1: sets, ids, repeated shingles -----------------------------------------------
 def _sets(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """A row k, th (text hash), node, n for every document; and token, n for repeated shingles."""
+    """A row k, th (text hash), node, n, bits for every document; and token, n for repeated shingles.
+    A task gives the bitmap of equal sets once."""
     src = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("t"), F.xxhash64(F.col(f"`{text}`")).alias("th"))
     key_type = src.schema["k"].dataType.simpleString()
 
@@ -98,32 +122,34 @@ def _sets(docs: DataFrame, key: str, text: str) -> DataFrame:
                 u, c = u[top], c[top]
             none = pa.nulls(len(u))
             return pa.RecordBatch.from_arrays(
-                [none.cast(kind), none.cast(pa.int64()), none.cast(pa.int64()), pa.array(c, pa.int64()), pa.array(u.view(np.int64))],
-                names=["k", "th", "node", "n", "token"],
+                [none.cast(kind), none.cast(pa.int64()), none.cast(pa.int64()), pa.array(c, pa.int64()), pa.array(u.view(np.int64)), none.cast(pa.binary())],
+                names=["k", "th", "node", "n", "token", "bits"],
             )
 
         for batch in batches:
             kind = batch.schema.field(0).type
-            nodes, counts = [], []
+            nodes, counts, bits = [], [], []
             for t in batch.column(1):
                 s = shingle_set(t.as_py())
                 node = node_of(s)
                 nodes.append(node)
                 counts.append(len(s))
+                bits.append(None if node in seen or not node else bitmap(s))
                 if node not in seen:
                     seen.add(node)
                     held.append(s)
                     size += len(s)
             n = len(nodes)
-            cols = [batch.column(0), batch.column(2), pa.array(nodes, pa.int64()), pa.array(counts, pa.int64()), pa.nulls(n, pa.int64())]
-            yield pa.RecordBatch.from_arrays(cols, names=["k", "th", "node", "n", "token"])
+            cols = [batch.column(0), batch.column(2), pa.array(nodes, pa.int64()), pa.array(counts, pa.int64())]
+            cols += [pa.nulls(n, pa.int64()), pa.array(bits, pa.binary())]
+            yield pa.RecordBatch.from_arrays(cols, names=["k", "th", "node", "n", "token", "bits"])
             if size >= COUNT_CHUNK:
                 yield report()
                 held, size, seen = [], 0, set()
         if held:
             yield report()
 
-    return src.mapInArrow(scan, f"k {key_type}, th long, node long, n long, token long")
+    return src.mapInArrow(scan, f"k {key_type}, th long, node long, n long, token long, bits binary")
 
 
 def _order(found: DataFrame):
@@ -262,6 +288,21 @@ def spark_bits(nodes: np.ndarray) -> np.ndarray:
     return np.array(out, dtype=np.int64)
 
 
+def _possible(pairs: DataFrame, bits: DataFrame) -> DataFrame:
+    """The pairs (a, b) that the sets' bitmaps allow; drops nearly all that share a chance shingle."""
+    left = bits.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("bits").alias("bits_a"))
+    right = bits.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bits_b"))
+    full = pairs.select("a", "b").join(left, "a").join(right, "b")
+
+    def check(batches):
+        for batch in batches:
+            rows = zip(*[batch.column(c).to_pylist() for c in ("bits_a", "na", "bits_b", "nb")])
+            take = pa.array([i for i, r in enumerate(rows) if bitmaps_allow(*r)], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("a").take(take), batch.column("b").take(take)], names=["a", "b"])
+
+    return full.mapInArrow(check, "a long, b long")
+
+
 def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sets are a link; both texts meet in a join on the nodes."""
     left = texts.select(F.col("node").alias("b"), F.col("body").alias("body_b"))
@@ -285,14 +326,12 @@ def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _open_pairs(lists: DataFrame) -> DataFrame:
-    """What pivots left open. Short lists: pairs (a, b) of unconnected entries that can be links,
-    job null. Long lists: their entries (job = pivot, a = node), to be compared in tiles.
-
-    Rows come with ``root``, the entry's component so far, sorted by token and set size.
+    """Besides the pairs with pivots. Short lists: pairs (a, b) of entries that can be links, job
+    null. Long lists: their entries (job = pivot, a = node), to be compared in tiles.
     """
     by_token = lists.repartition("token").sortWithinPartitions("token", "n", "node")
 
-    def pairs(node, root, n, pos):
+    def pairs(node, n, pos):
         """Entries by ascending size: for each, whole blocks of larger ones are skipped by their
         least size and their greatest rest behind the position."""
         m = len(node)
@@ -307,7 +346,7 @@ def _open_pairs(lists: DataFrame) -> DataFrame:
                 if min(rest[i], most[k]) < needed_overlap(n[i], max(n[i], least[k])):
                     continue
                 j = np.arange(max(i + 1, edges[k]), min(m, edges[k] + SKIP_BLOCK))
-                j = j[(root[j] != root[i]) & _reachable(n[i], pos[i], n[j], pos[j])]
+                j = j[_reachable(n[i], pos[i], n[j], pos[j])]
                 out.extend((node[i], node[x]) for x in j)
         return out
 
@@ -315,10 +354,10 @@ def _open_pairs(lists: DataFrame) -> DataFrame:
         last, rows, job = None, [], False
 
         def close():
-            if len(rows) < 2 or len({r[1] for r in rows}) < 2:
+            if len(rows) < 2:
                 return []
-            node, root, n, pos = (np.array(x) for x in zip(*[r[:4] for r in rows]))
-            return [(None, min(a, b), max(a, b)) for a, b in pairs(node, root, n, pos)]
+            node, n, pos = (np.array(x) for x in zip(*[r[:3] for r in rows]))
+            return [(None, min(a, b), max(a, b)) for a, b in pairs(node, n, pos)]
 
         def batch_of(out):
             j, a, b = zip(*out) if out else ((), (), ())
@@ -327,7 +366,7 @@ def _open_pairs(lists: DataFrame) -> DataFrame:
         for batch in batches:
             out = []
             cols = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
-            for token, node, root, n, pos, pivot in zip(*cols):
+            for token, node, n, pos, pivot in zip(*cols):
                 if token != last:
                     if not job:
                         out.extend(close())
@@ -335,16 +374,16 @@ def _open_pairs(lists: DataFrame) -> DataFrame:
                 if job:
                     out.append((pivot, node, None))
                     continue
-                rows.append((node, root, n, pos, pivot))
+                rows.append((node, n, pos, pivot))
                 if len(rows) > SHORT_LIST:
                     job = True
-                    out.extend((r[4], r[0], None) for r in rows)
+                    out.extend((r[3], r[0], None) for r in rows)
                     rows = []
             yield batch_of(out)
         if not job:
             yield batch_of(close())
 
-    cols = by_token.select("token", "node", "root", "n", "pos", "pivot")
+    cols = by_token.select("token", "node", "n", "pos", "pivot")
     return cols.mapInArrow(scan, "job long, a long, b long")
 
 
@@ -473,20 +512,25 @@ def _named(docs: DataFrame, key: str, text: str) -> DataFrame:
     fits = (DEN * F.least("n", "p_n") >= NUM * F.greatest("n", "p_n")) & (
         F.least(F.col("n") - F.col("pos"), F.col("p_n") - F.col("p_pos")) * (NUM + DEN) >= NUM * (F.col("n") + F.col("p_n"))
     )
-    # answer level, first part: everything against its pivot
-    firsts = stored(lists.filter(fits).select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), "join-pairs")
-    wanted = lists.select("node").unionByName(lists.select(F.col("pivot").alias("node"))).distinct()
+    bits = found.filter("bits is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))
+    bits = stored(bits, "join-bits")
+    with_pivot = lists.filter(fits).select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+    with_pivot = stored(_possible(with_pivot, bits), "join-pivot-pairs")
+    beside = stored(_open_pairs(lists).distinct(), "join-beside")
+    others = stored(_possible(beside.filter("job is null"), bits), "join-other-pairs")
+    jobs = beside.filter("job is not null").select("job", F.col("a").alias("node"))
+    ends = [df.select(F.col(c).alias("node")) for df, c in ((with_pivot, "a"), (with_pivot, "b"), (others, "a"), (others, "b"), (jobs, "job"), (jobs, "node"))]
+    wanted = reduce(DataFrame.union, ends).distinct()
     texts = stored(_texts_of(docs, text, wanted), "join-texts")
-    links = stored(_verify(firsts, texts), "join-links")
+    # answer level, first part: everything against its pivot
+    links = stored(_verify(with_pivot, texts), "join-links")
     roots = stored(components(links), "join-roots")
     # second part: what the pivots left unconnected
-    rooted = lists.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    ends = rooted.groupBy("token").agg(F.min("root").alias("r1"), F.max("root").alias("r2"))
-    rooted = rooted.join(ends.filter("r1 <> r2").select("token"), "token")
-    opened = stored(_open_pairs(rooted), "join-open")
-    more = _verify(opened.filter("job is null").select("a", "b").distinct(), texts)
-    size = lists.groupBy("node").agg(F.max("n").alias("n"))
-    jobs = opened.filter("job is not null").select("job", F.col("a").alias("node")).distinct()
+    for end in ("a", "b"):
+        own = roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
+        others = others.join(own, end, "left").withColumn(f"root_{end}", F.coalesce(f"root_{end}", end))
+    more = _verify(others.filter("root_a <> root_b").select("a", "b"), texts)
+    size = bits.select("node", "n")
     jobs = jobs.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).join(size, "node")
     more = more.unionByName(_tiles(stored(jobs, "join-jobs"), texts))
     joined = components(links.unionByName(more))
