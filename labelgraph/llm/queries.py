@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelgraph.llm import decontaminate, jaccard_join, mixing, quality_rules, sharding, token_blocks, url_filter, warc
+from labelgraph.llm import decontaminate, jaccard_join, mixing, paragraph_dedup, quality_rules, sharding, token_blocks, url_filter, warc
 from labelgraph.llm.common import only, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,13 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+# ---- 1: substring dedup ------------------------------------------------------------------
+@query("op1_paragraph_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = paragraph_dedup.repeated_passages(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "start", "end", "n_words", F.col("kept").alias("kept_doc_id"))
+
+
 # ---- 2: benchmark decontamination --------------------------------------------------------
 _TEXT_WORDS = r"regexp_extract_all(translate(coalesce({t}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
