@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelgraph.llm import decontaminate, jaccard_join, mixing, paragraph_dedup, quality_rules, sharding, token_blocks, url_filter, warc
+from labelgraph.llm import chat_repair, decontaminate, jaccard_join, mixing, paragraph_dedup, quality_rules, sharding, token_blocks, url_filter, warc
 from labelgraph.llm.common import only, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,6 +67,12 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+# ---- 3: chat formatting ------------------------------------------------------------------
+@query("op3_chat_repair")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_repair.repair_conversations(read_table(spark, sf_dir, "conversations"))
+
+
 # ---- 4: sharding -------------------------------------------------------------------------
 SHARDS = 40
 
