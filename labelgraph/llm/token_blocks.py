@@ -23,6 +23,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -38,10 +39,12 @@ PERCENTILES = (50, 75, 90, 95, 99, 100)
 FILE_BYTES = 24 << 20
 #: Bytes of blocks gathered before they leave the Python worker.
 PART_BYTES = 1 << 20
-#: Texts whose words are looked up together.
-TEXTS_AT_ONCE = 1024
-#: Entries of a worker's cache of encoded words; it starts anew when full.
-CACHE_WORDS = 1_000_000
+#: Characters of texts whose words are looked up together.
+CHARS_AT_ONCE = 1 << 19
+#: Entries and ids of a worker's cache of encoded words (some 30 bytes a word); it starts anew when full.
+CACHE_WORDS, CACHE_IDS = 3_000_000, 16_000_000
+#: Entries of the cache's recent part, which is sorted anew whenever words are added.
+RECENT_WORDS = 40_000
 _HEAD, _BLOCK, _FOOT = struct.Struct("<8sII"), struct.Struct("<IBBHH"), struct.Struct("<QQQQ8s")
 
 
@@ -50,7 +53,7 @@ def encode_block(ids: np.ndarray) -> bytes:
     """One block of up to 65,535 unsigned 32-bit ids."""
     base = int(ids.min())
     rest = (ids - np.uint32(base)).astype(np.uint32)
-    ordered = np.sort(rest)
+    ordered = np.sort(rest.astype(np.uint16), kind="stable") if rest.max() < 1 << 16 else np.sort(rest)
     best = None
     for p in PERCENTILES:
         width = int(ordered[min(len(ordered) - 1, len(ordered) * p // 100)]).bit_length()
@@ -60,9 +63,11 @@ def encode_block(ids: np.ndarray) -> bytes:
             best = (size, width, wide)
     _, width, wide = best
     at = np.flatnonzero(rest >> np.uint32(width)) if width < 32 else np.zeros(0, dtype=np.int64)
-    low = rest.view(np.uint8).reshape(-1, 4)
-    bits = np.unpackbits(low, axis=1, bitorder="little")[:, :width]
-    packed = np.packbits(bits.reshape(-1), bitorder="little").tobytes()
+    if width == 16:  # two bytes for each id are the same bits
+        packed = rest.astype("<u2").tobytes()
+    else:
+        bits = np.unpackbits(rest.view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")[:, :width]
+        packed = np.packbits(bits.reshape(-1), bitorder="little").tobytes()
     return b"".join(
         [_BLOCK.pack(base, width, 0, len(rest), wide), packed, at.astype("<u2").tobytes(), rest[at].astype("<u4").tobytes()]
     )
@@ -72,11 +77,14 @@ def decode_block(data: memoryview, at: int) -> np.ndarray:
     base, width, _, n, wide = _BLOCK.unpack_from(data, at)
     at += _BLOCK.size
     size = (n * width + 7) // 8
-    bits = np.zeros((n, 32), dtype=np.uint8)
-    if width:
-        raw = np.unpackbits(np.frombuffer(data, np.uint8, size, at), bitorder="little")
-        bits[:, :width] = raw[: n * width].reshape(n, width)
-    rest = np.packbits(bits, axis=1, bitorder="little").view("<u4").reshape(-1).copy()
+    if width == 16:
+        rest = np.frombuffer(data, "<u2", n, at).astype(np.uint32)
+    else:
+        bits = np.zeros((n, 32), dtype=np.uint8)
+        if width:
+            raw = np.unpackbits(np.frombuffer(data, np.uint8, size, at), bitorder="little")
+            bits[:, :width] = raw[: n * width].reshape(n, width)
+        rest = np.packbits(bits, axis=1, bitorder="little").view("<u4").reshape(-1).copy()
     at += size
     rest[np.frombuffer(data, "<u2", wide, at)] = np.frombuffer(data, "<u4", wide, at + 2 * wide)
     return rest + np.uint32(base)
@@ -174,18 +182,58 @@ _CLASS[48:58] = _DIGIT
 _CLASS[[9, 10, 11, 12, 13, 32]] = _SPACE
 
 
+class WordCache:
+    """Ids of words by the words' 64-bit hashes: sorted hashes with the place of the ids in one array."""
+
+    def __init__(self):
+        self.flat, self.used = np.zeros(1 << 16, dtype=np.uint32), 0
+        none = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        self.parts = [none, none]  # settled, recent: hashes, starts, sizes
+
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and size of each hash's ids; size -1 when it isn't there."""
+        start, size = np.zeros(len(h), np.int64), np.full(len(h), -1, np.int64)
+        for hashes, starts, sizes in self.parts:
+            if len(hashes):
+                at = np.searchsorted(hashes, h)
+                at[at == len(hashes)] = 0
+                hit = hashes[at] == h
+                start[hit], size[hit] = starts[at[hit]], sizes[at[hit]]
+        return start, size
+
+    def add(self, h: np.ndarray, ids: list[bytes]) -> None:
+        new = np.frombuffer(b"".join(ids), "<u4")
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        if self.used + len(new) > len(self.flat):
+            self.flat = np.concatenate([self.flat[: self.used], np.zeros(self.used + 2 * len(new), np.uint32)])
+        self.flat[self.used : self.used + len(new)] = new
+        start = np.cumsum(size) - size + self.used
+        self.used += len(new)
+        settled, recent = self.parts
+        if len(recent[0]) > RECENT_WORDS:
+            to = np.searchsorted(settled[0], recent[0])
+            settled = tuple(np.insert(x, to, y) for x, y in zip(settled, recent))
+            recent = tuple(x[:0] for x in recent)
+        recent = [np.concatenate([x, y]) for x, y in zip(recent, (h, start, size))]
+        order = np.argsort(recent[0])
+        self.parts = [settled, tuple(x[order] for x in recent)]
+
+    def full(self) -> bool:
+        return sum(len(p[0]) for p in self.parts) > CACHE_WORDS or self.used > CACHE_IDS
+
+
 class WordEncoder:
     """Encodes texts with a lower-casing tokenizer whose words never reach across white space.
 
     Such a tokenizer (white space dropped before the merges, a mark at each word's end) gives a
-    text the ids of its words one after the other, so every word is encoded once and cached as the
-    bytes of its ids. The words of many texts are found together: one hash each, and only distinct
-    ones (told apart by 64-bit hashes) are looked up. Texts with other characters than ASCII and
-    Latin-1 letters are cut at ASCII white space, and the tokenizer sees each such chunk whole.
+    text the ids of its words one after the other, so every word is encoded once and cached. The
+    words of many texts are found together: one 64-bit hash each, and only distinct ones are looked
+    up. Texts with other characters than ASCII and Latin-1 letters are cut at ASCII white space,
+    and the tokenizer sees each such chunk whole.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tok = Tokenizer.from_file(path)
         self.tok.no_padding()
@@ -194,7 +242,13 @@ class WordEncoder:
         self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
         for token, i in vocab.items():
             self.ends[i] = token.endswith("</w>")
-        self.known: dict[bytes, bytes] = {}
+        # the same tokenizer for words that are already normalised and cut
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = normalizers.Sequence([])
+        cut = [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(cut)
+        self.cache = WordCache()
+        self.chunks: dict[bytes, bytes] = {}
         probe = "It is a TEST, caf\u00e9 (42)!"
         # another kind of tokenizer: every text is encoded whole
         self.by_words = self._whole([probe])[0] == self._many([probe])[0]
@@ -203,27 +257,22 @@ class WordEncoder:
         found = self.tok.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
-    def _learn(self, missing: list[bytes]) -> None:
-        """Encode new words; all that are letters in one call, told apart by the marks at their ends."""
-        words = [w.decode("utf-8", "surrogatepass") for w in missing]
-        letters = [i for i, w in enumerate(words) if w.isalpha()]
-        if letters:
-            raw = self._whole([" ".join([words[i] for i in letters])])[0]
-            ends = ((np.flatnonzero(self.ends[np.frombuffer(raw, "<u4")]) + 1) * 4).tolist()
-            found = [raw[i:j] for i, j in zip([0, *ends], ends)]
-            if len(found) != len(letters):
-                found = self._whole([words[i] for i in letters])
-            self.known.update(zip([missing[i] for i in letters], found))
-        rest = [i for i, w in enumerate(words) if not w.isalpha()]
-        if rest:
-            self.known.update(zip([missing[i] for i in rest], self._whole([words[i] for i in rest])))
-
-    def _lookup(self, words: list[bytes]) -> list[bytes]:
-        found = list(map(self.known.get, words))
-        if None in found:
-            self._learn(list({w for w, f in zip(words, found) if f is None}))
-            found = list(map(self.known.get, words))
-        return found
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of cut words: all in one call, told apart by the marks at their ends."""
+        ids = np.array(self.plain.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, dtype="<u4")
+        ends = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+        if len(ends) != len(words):
+            return self._whole(words)
+        raw = ids.tobytes()
+        return [raw[i:j] for i, j in zip([0, *ends], ends)]
+
+    def _chunk_ids(self, text: str) -> bytes:
+        own = _CHUNKS.findall(text.encode("utf-8", "surrogatepass"))
+        if len(self.chunks) > RECENT_WORDS:
+            self.chunks.clear()
+        new = list({c for c in own if c not in self.chunks})
+        self.chunks.update(zip(new, self._whole([c.decode("utf-8", "surrogatepass") for c in new])))
+        return b"".join(map(self.chunks.__getitem__, own))
 
     def _many(self, texts: list[str]) -> list[bytes]:
         """Ids of texts that are cut by classes of bytes, all texts at once."""
@@ -238,15 +287,17 @@ class WordEncoder:
         starts, ends = at[word], np.append(at[1:], len(b))[word]
         if not len(starts):
             return [b""] * len(texts)
-        _, first, which = np.unique(span_hashes(b, starts, ends), return_index=True, return_inverse=True)
-        ids = self._lookup([text[i:j] for i, j in zip(starts[first].tolist(), ends[first].tolist())])
-        flat = np.frombuffer(b"".join(ids), "<u4")
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        off = np.cumsum(size) - size
+        h, first, which = np.unique(span_hashes(b, starts, ends), return_index=True, return_inverse=True)
+        start, size = self.cache.find(h)
+        new = np.flatnonzero(size < 0)
+        if len(new):
+            spans = zip(starts[first[new]].tolist(), ends[first[new]].tolist())
+            self.cache.add(h[new], self._words([text[i:j].decode() for i, j in spans]))
+            start[new], size[new] = self.cache.find(h[new])
         own = size[which]
         before = np.concatenate([[0], np.cumsum(own)])
-        take = np.repeat(off[which] - before[:-1], own) + np.arange(before[-1])
-        out = flat[take].tobytes()
+        take = np.repeat(start[which] - before[:-1], own) + np.arange(before[-1])
+        out = self.cache.flat[take].astype("<u4").tobytes()
         bound = (before[np.searchsorted(starts, edges)] * 4).tolist()
         return [out[i:j] for i, j in zip(bound, bound[1:])]
 
@@ -254,13 +305,13 @@ class WordEncoder:
         """The ids of each text as little-endian unsigned 32-bit integers; none for null."""
         if not self.by_words:
             return self._whole([t or "" for t in texts])
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
+        if self.cache.full():
+            self.cache = WordCache()
         out: list[bytes] = [b""] * len(texts)
         plain = []
         for i, t in enumerate(texts):
             if t and _OTHER.search(t):
-                out[i] = b"".join(self._lookup(_CHUNKS.findall(t.encode("utf-8", "surrogatepass"))))
+                out[i] = self._chunk_ids(t)
             elif t:
                 plain.append(i)
         for i, ids in zip(plain, self._many([texts[i] for i in plain])):
@@ -279,6 +330,16 @@ def word_encoder(path: str) -> WordEncoder:
 
 
 # ---- Spark -------------------------------------------------------------------------------
+def _groups(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of whole rows with about CHARS_AT_ONCE of text."""
+    sizes = np.asarray(pc.fill_null(pc.utf8_length(batch.column(1)), 0))
+    turn = np.flatnonzero(np.diff(np.cumsum(sizes) // CHARS_AT_ONCE)) + 1
+    edges = [0, *turn.tolist(), batch.num_rows]
+    for i, j in zip(edges, edges[1:]):
+        if i < j:
+            yield batch.slice(i, j - i)
+
+
 def write_tokens(
     docs: DataFrame, path: str, encoder: Callable[[], Callable[[list[str | None]], list[bytes]]], end_id: int, key: str = "doc_id"
 ) -> None:
@@ -299,8 +360,7 @@ def write_tokens(
         parts, enc = FileParts(TaskContext.get().partitionId()), encoder()
         last = struct.pack("<I", end_id)
         for batch in batches:
-            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
-                some = batch.slice(at, TEXTS_AT_ONCE)
+            for some in _groups(batch):
                 for k, raw in zip(some.column(0).to_pylist(), enc(some.column(1).to_pylist())):
                     for part in parts.add(k, np.frombuffer(raw + last, "<u4")):
                         yield pa.RecordBatch.from_arrays([pa.array([part], pa.binary())], names=["part"])
