@@ -68,9 +68,12 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     # every start covers its 8 words, or those before the next start
     steps = F.transform("_starts", lambda s, k: F.least(F.lit(WINDOW), F.coalesce(F.get("_starts", k + 1) - s, F.lit(WINDOW))))
     rep = F.aggregate(steps, F.lit(0), lambda a, b: a + b)
+    # 0, but not deterministic to the optimiser: a later filter on the measurements stays above
+    # them instead of being rewritten into all the expressions they come from
+    never = F.when(F.spark_partition_id() < 0, 1).otherwise(0)
     out = out.withColumns(
         {
-            "n_words": F.size("_words").cast("long"),
+            "n_words": (F.size("_words") + never).cast("long"),
             "word_chars": F.length(F.concat_ws("", "_words")).cast("long"),
             "n_symbols": (F.length(t) - F.length(F.regexp_replace(t, r"[#*$%&|<>]", ""))).cast("long"),
             "n_lines": F.size("_lines").cast("long"),
