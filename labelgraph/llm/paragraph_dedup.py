@@ -31,7 +31,7 @@ CUT_WINDOW = 12
 #: Words of a removal: with CUT_WINDOW, no shared passage of more than 50 words is missed.
 LEAST_WORDS = 29
 #: Bits of the filter that says which band values occur in several documents.
-FILTER_BITS = 27
+FILTER_BITS = 25
 
 _SEEDS = np.random.Generator(np.random.PCG64(7)).integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
 
@@ -246,10 +246,10 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text")
 def remove_passages(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """All documents, each text without its repeated passages; columns unchanged otherwise."""
     found = repeated_passages(docs, key, text)
-    cuts = found.groupBy("text_hash").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_cuts"))  # one document's
+    cuts = found.groupBy(F.col("text_hash").alias("_cut_of")).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_cuts"))  # one document's
     t = F.col(f"`{text}`")
     src = docs.withColumn("_cut_hash", F.xxhash64(F.col(f"`{key}`"), t))
-    out = src.join(cuts, F.col("_cut_hash") == F.col("text_hash"), "left")
+    out = src.join(cuts, F.col("_cut_hash") == F.col("_cut_of"), "left")
     begin = F.concat(F.array(F.lit(0).cast("long")), F.transform("_cuts", lambda c: c["end"]))
     stop = F.concat(F.transform("_cuts", lambda c: c["start"]), F.array(F.length(t).cast("long")))
     kept = F.transform(
