@@ -132,7 +132,8 @@ def annotate(
     document word inside any occurrence of a window is hit. Null and empty texts have no words
     and no hits; an item without words has no window; an item whose id is null marks words but is
     not listed; repeated items count once. Rows are handled one by one, so repeated documents,
-    ties and null ids need nothing special, and extra columns pass through unchanged.
+    ties and null ids need nothing special, and extra columns pass through unchanged (one that is
+    called ``contamination`` is replaced).
 
     The set is broadcast: its source is at most BLOCK_BYTES of benchmark text. A larger benchmark
     is scanned block by block, each pass adding its hits to the stored result of the one before.
@@ -140,7 +141,7 @@ def annotate(
     spark = docs.sparkSession
     bench = benchmark.select(F.col(f"`{item_id}`").cast("string").alias("item_id"), F.col(f"`{item_text}`").alias("text"))
     blocks = _blocks(spark, bench)
-    out = docs.withColumn("contamination", F.lit(None).cast(RESULT))
+    out = docs.drop("contamination").withColumn("contamination", F.lit(None).cast(RESULT))
     for k, block in enumerate(blocks):
         items = [(r["item_id"], r["text"]) for r in block.collect()]  # at most about BLOCK_BYTES
         held = spark.sparkContext.broadcast(WindowSet(items, window))

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from labelgraph.llm.common import prefix_sums, stored
 
+#: Columns that ``mix`` adds; columns of these names, ``_member`` and ``_order`` are replaced.
+RESULT = ("mix_size", "mix_copies", "mix_source_size", "mix_target")
 #: 60 bits of MD5, so that SQL and Spark order documents alike.
 ORDER_HEX = 15
 
@@ -135,6 +137,7 @@ def mix(
         member = F.when(F.size(member) == 0, F.array(F.lit(None).cast("string"))).otherwise(member)
     else:
         member = F.array(col.cast("string"))
+    docs = docs.drop(*RESULT, "_member", "_order")
     add = {"mix_size": words, "_member": member, "_order": seeded_order(key, text, seed)}
     own = docs.withColumns(add)
     classes = stored(
@@ -153,11 +156,11 @@ def mix(
         whole = min(repeat, int(supply[p] // w)) if w else 0
         rest = supply[p] - whole * w if w and whole < repeat else Fraction(0)
         rows.append((list(p), whole, float(rest), sizes[p[0]], float(quota[p[0]])))
-    plan = spark.createDataFrame(rows, "_member array<string>, whole int, rest double, mix_source_size long, mix_target double")
+    plan = spark.createDataFrame(rows, "_member array<string>, _whole int, _rest double, _source_size long, _target double")
     # where the running sum of a pattern's classes crosses its rest: one class, or none
     run = prefix_sums(classes, ["_order"], {"before": "words"}, groups=["_member"], name="mix-run")
     run = run.join(F.broadcast(plan), run["_member"].eqNullSafe(plan["_member"])).drop(plan["_member"])
-    cross = run.filter((F.col("before") < F.col("rest")) & (F.col("before") + F.col("words") >= F.col("rest")) & (F.col("words") > 0))
+    cross = run.filter((F.col("before") < F.col("_rest")) & (F.col("before") + F.col("words") >= F.col("_rest")) & (F.col("words") > 0))
     cuts = {tuple(r["_member"]): r for r in cross.select("_member", "_order", "before", "n").collect()}
     full = [
         (
@@ -168,21 +171,21 @@ def mix(
         )
         for row in rows
     ]
-    schema = "p array<string>, whole int, rest double, mix_source_size long, mix_target double, cut long, cut_before long, cut_n long"
+    schema = "_p array<string>, _whole int, _rest double, mix_source_size long, mix_target double, _cut long, _cut_before long, _cut_n long"
     table = spark.createDataFrame(full, schema)
-    placed = own.join(F.broadcast(table), own["_member"].eqNullSafe(table["p"]))
-    at_cut = F.coalesce(F.col("_order") == F.col("cut"), F.lit(False))
-    once_more = F.when(F.col("cut").isNull(), F.lit(False)).otherwise(F.col("_order") < F.col("cut"))
-    middle = 2 * F.col("cut_before") + F.col("mix_size") <= 2 * F.col("rest")
-    single = placed.filter(~(at_cut & (F.col("cut_n") > 1)))
-    single = single.withColumn("mix_copies", F.col("whole") + F.when(at_cut, middle).otherwise(once_more).cast("int"))
-    keep = [*docs.columns, "mix_size", "mix_copies", "mix_source_size", "mix_target"]
+    placed = own.join(F.broadcast(table), own["_member"].eqNullSafe(table["_p"]))
+    at_cut = F.coalesce(F.col("_order") == F.col("_cut"), F.lit(False))
+    once_more = F.when(F.col("_cut").isNull(), F.lit(False)).otherwise(F.col("_order") < F.col("_cut"))
+    middle = 2 * F.col("_cut_before") + F.col("mix_size") <= 2 * F.col("_rest")
+    single = placed.filter(~(at_cut & (F.col("_cut_n") > 1)))
+    single = single.withColumn("mix_copies", F.col("_whole") + F.when(at_cut, middle).otherwise(once_more).cast("int"))
+    keep = [*docs.columns, *RESULT]
     out = single.select(*[F.col(f"`{c}`") for c in keep])
     if any(r["n"] > 1 for r in cuts.values()):
-        shared = placed.filter(at_cut & (F.col("cut_n") > 1))
+        shared = placed.filter(at_cut & (F.col("_cut_n") > 1))
         shared = prefix_sums(shared, ["_order", "mix_size"], {"_in": "mix_size"}, groups=["_member"], name="mix-cut")
-        more = 2 * (F.col("cut_before") + F.col("_in")) + F.col("mix_size") <= 2 * F.col("rest")
-        shared = shared.withColumn("mix_copies", F.col("whole") + more.cast("int"))
+        more = 2 * (F.col("_cut_before") + F.col("_in")) + F.col("mix_size") <= 2 * F.col("_rest")
+        shared = shared.withColumn("mix_copies", F.col("_whole") + more.cast("int"))
         out = out.unionByName(shared.select(*[F.col(f"`{c}`") for c in keep]))
     return out
 
