@@ -49,17 +49,7 @@ PAD_TOKEN = "<pad>"
 PAD_ID = 0
 
 
-def _largest_primes_below(limit: int, count: int) -> tuple[int, ...]:
-    """Rule-built table: the `count` largest primes below `limit` (trial division)."""
-    out = []
-    n = limit - 1
-    while len(out) < count:
-        if n > 1 and all(n % d for d in range(2, int(n**0.5) + 1)):
-            out.append(n)
-        n -= 1
-    return tuple(out)
-
-
-# Strides for hash-drawn permutations (raft distractors). Any prime larger than the
-# number of concepts is coprime with it, so j -> (b + j*p) mod C visits C distinct slots.
-STRIDE_PRIMES = _largest_primes_below(2**31, 8)
+# Strides for hash-drawn permutations (raft distractors): powers of a prime above any number of
+# concepts are coprime with it, so j -> (b + j*a) mod C visits C distinct slots.
+STRIDE_PRIME = 2**61 - 1
+STRIDES = 4

@@ -2,7 +2,8 @@
 
 A turn renders as ``<start>role\\ncontent<end>\\n``. Rendering is per row: a multi-turn
 conversation is emitted as one segment per turn (concatenate in turn order at the sink), so a
-long conversation never has to be gathered into one task.
+long conversation never has to be gathered into one task; turns that already are an array of
+one row render to one text.
 """
 
 from __future__ import annotations
@@ -42,6 +43,19 @@ def inference_layout(prompt: Column | str, image: str = K.IMAGE_PLACEHOLDER, sys
     return F.concat(turn("system", F.lit(system)), turn("user", user), generation_prompt())
 
 
+def render_turns(turns: Column | str) -> Column:
+    """All turns of one row's ``array<struct<from, value>>`` as one text, roles in model names.
+
+    The array is the row's own data, so nothing is gathered.
+    """
+
+    def one(t: Column) -> Column:
+        role = F.when(t["from"] == F.lit(K.HUMAN_ROLE), "user").when(t["from"] == F.lit(K.ASSISTANT_ROLE), "assistant").otherwise(t["from"])
+        return F.concat(F.lit(K.TURN_START), role, F.lit("\n"), t["value"], F.lit(K.TURN_END), F.lit("\n"))
+
+    return F.array_join(F.transform(col_(turns), one), "")
+
+
 def turn_segment(role_col: str, content_col: str) -> Column:
     """One rendered turn from role/content columns (N-turn rendering, one row per turn)."""
     return F.concat(F.lit(K.TURN_START), F.col(role_col), F.lit("\n"), F.col(content_col), F.lit(K.TURN_END), F.lit("\n"))

@@ -9,18 +9,42 @@ from labelgraph import constants as K
 from labelgraph.functions.text import col_
 
 
+STRICT = {"allowSingleQuotes": "false"}
+
+
 def json_is_valid(c: Column | str) -> Column:
-    """Strict validity close to Python's ``json.loads`` (whole text must be one JSON value).
+    """Validity as Python's ``json.loads`` judges it (the whole text must be one JSON value).
 
-    ``try_parse_json`` alone ignores trailing text, so the value is parsed inside an array
+    The JSON reader ignores text behind the first value, so the value is read inside an array
     wrapper (which must hold exactly one element) and inside an object wrapper: trailing text
-    breaks at least one of them. NULL -> false.
+    breaks at least one of them. Repeated keys are valid whatever the session's settings.
+    NULL -> false.
     """
     v = col_(c)
-    as_array = F.concat(F.lit("["), v, F.lit("]"))
-    as_object = F.concat(F.lit('{"v":'), v, F.lit("}"))
-    ok = F.try_parse_json(as_array).isNotNull() & (F.json_array_length(as_array) == 1) & F.try_parse_json(as_object).isNotNull()
-    return F.coalesce(ok, F.lit(False))
+    as_array = F.from_json(F.concat(F.lit("["), v, F.lit("]")), "array<string>", STRICT)
+    as_object = F.from_json(F.concat(F.lit('{"v":'), v, F.lit("}")), "map<string,string>", STRICT)
+    return F.coalesce((F.size(as_array) == 1) & as_object.isNotNull(), F.lit(False))
+
+
+def is_json_string(text: Column, value: Column, key: str) -> Column:
+    """Whether ``value``, the text of ``key`` in the JSON object ``text``, was a JSON string.
+
+    ``value`` comes from a string column of ``from_json``, which unquotes strings; only a value
+    that could be something else is read again as that.
+    """
+
+    def read(kind: str) -> Column:
+        return F.from_json(text, f"struct<`{key}`:{kind}>", STRICT)[key]
+
+    number = read("double")
+    other = (
+        F.when(F.startswith(value, F.lit("[")), read("array<string>").isNotNull())
+        .when(F.startswith(value, F.lit("{")), read("map<string,string>").isNotNull())
+        .when(value.isin("true", "false"), read("boolean").isNotNull())
+        .when(F.rlike(value, F.lit(r"^-?[0-9]")), number.isNotNull())
+        .otherwise(F.lit(False))
+    )
+    return value.isNotNull() & ~other
 
 
 def has_key(entry: Column | str, key: str) -> Column:

@@ -44,7 +44,8 @@ def batch_classify(
         for pdf in batches:
             yield pd.DataFrame({key: pdf[key], "response": score(pdf[text].fillna(""))})
 
-    return df.select(key, text).mapInPandas(run, f"{key} long, response string")
+    kind = df.schema[key].dataType.simpleString()
+    return df.select(key, text).mapInPandas(run, f"`{key}` {kind}, response string")
 
 
 def keyword_scorer(keywords: dict[str, tuple[str, str]]) -> Callable[[], Callable[[pd.Series], pd.Series]]:

@@ -8,17 +8,22 @@ the shared checkpoint folder, so lineage stays one round deep. The driver loops
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelgraph.session import cut_lineage
 
-MAX_ROWS_FOR_BROADCAST = 100_000
+MAX_BYTES_FOR_BROADCAST = 32 << 20
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_ROWS_FOR_BROADCAST) -> DataFrame:
-    """Broadcast hint only after counting: a vocabulary table is small in practice, not by proof."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BYTES_FOR_BROADCAST) -> DataFrame:
+    """Broadcast hint only after measuring the rows' bytes: a vocabulary table is small in
+    practice, not by proof. Beyond the bound the join is a shuffle join with the same rows."""
+    sizes = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 8 for c in df.columns]
+    total = df.agg(F.sum(reduce(Column.__add__, sizes))).first()[0] or 0
+    return F.broadcast(df) if total <= max_bytes else df
 
 
 def closure(edges: DataFrame, child: str = "child", parent: str = "parent", max_depth: int | None = None) -> DataFrame:
@@ -82,15 +87,22 @@ def domain_range_violations(triples: DataFrame, types: DataFrame, axioms: DataFr
     return checks.join(typed, ["node", "expected"], "left_anti").select("s", "p", "o", "side", "expected")
 
 
-def cardinality_violations(targets: DataFrame, term_types: DataFrame, rules: list[tuple[str, int, int | None]]) -> DataFrame:
+def cardinality_violations(
+    targets: DataFrame, term_types: DataFrame, rules: list[tuple[str, int, int | None]], subjects: DataFrame | None = None
+) -> DataFrame:
     """Qualified cardinality over ``targets(subject, term)`` typed by ``term_types(term, class)``.
 
-    ``rules`` are ``(class, min, max)``; a subject with zero matching targets is seen (count 0).
-    One partial aggregation per subject; rules become columns, never a cross join.
-    Output ``(subject, class, n, min_n, max_n)`` for each broken rule.
+    ``rules`` are ``(class, min, max)``. ``subjects(subject)`` names all subjects the rules hold
+    for: one without any target is reported with count 0 (without the table, only subjects that
+    have some target can be seen). One partial aggregation per subject; rules become columns,
+    never a cross join. Output ``(subject, class, n, min_n, max_n)`` for each broken rule.
     """
     types = broadcast_if_small(term_types.select("term", "class").distinct())
     typed = targets.select("subject", "term").distinct().join(types, "term", "left")
+    if subjects is not None:
+        # a row without term or class: it adds the subject and counts for no rule
+        none = subjects.select("subject").distinct().withColumns({"term": F.lit(None).cast("string"), "class": F.lit(None).cast("string")})
+        typed = typed.select("subject", "term", "class").unionByName(none)
     # (subject, term) and (term, class) are distinct, so each (subject, term, class) row is
     # unique and a conditional count equals the distinct-term count (no Expand, one aggregate)
     aggs = [F.count(F.when(F.col("class") == F.lit(c), F.lit(1))).alias(f"n_{i}") for i, (c, _, _) in enumerate(rules)]

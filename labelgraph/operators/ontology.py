@@ -17,6 +17,7 @@ from labelgraph.functions.text import local_name, strip
 
 RDF = "http://www.w3.org/1999/02/22-rdf-syntax-ns#"
 RDFS = "http://www.w3.org/2000/01/rdf-schema#"
+OWL = "http://www.w3.org/2002/07/owl#"
 
 
 @dataclass(frozen=True)
@@ -30,6 +31,15 @@ class Vocab:
     part_of: tuple[str, ...]  # per-dimension partOf predicates, same order
     expands: tuple[str, ...] = ()
     blank_prefix: str = "_:"
+    inverse_p: str = OWL + "inverseOf"
+    subproperty_p: str = RDFS + "subPropertyOf"
+    subclass_p: str = RDFS + "subClassOf"
+    domain_p: str = RDFS + "domain"
+    range_p: str = RDFS + "range"
+    on_class_p: str = OWL + "onClass"
+    exactly_p: str = OWL + "qualifiedCardinality"
+    at_least_p: str = OWL + "minQualifiedCardinality"
+    at_most_p: str = OWL + "maxQualifiedCardinality"
 
     @staticmethod
     def for_namespace(ns: str) -> "Vocab":
@@ -53,6 +63,15 @@ class Vocab:
             dim_classes=tuple(ns + d for d in K.DIM_NAMES),
             part_of=tuple("partOf" + d for d in K.DIM_NAMES),
             expands=tuple("expands" + d for d in K.DIM_NAMES),
+            inverse_p="inverseOf",
+            subproperty_p="subPropertyOf",
+            subclass_p="subClassOf",
+            domain_p="domain",
+            range_p="range",
+            on_class_p="onClass",
+            exactly_p="qualifiedCardinality",
+            at_least_p="minQualifiedCardinality",
+            at_most_p="maxQualifiedCardinality",
         )
 
     def class_to_priority(self, c: Column) -> Column:
@@ -165,3 +184,45 @@ def parent_per_child(triples: DataFrame, vocab: Vocab, all_parents: bool = False
     if all_parents:
         return e.select("child", "parent").distinct()
     return e.groupBy("child").agg(F.min("parent").alias("parent"))
+
+
+# ---- axioms, read from the graph -----------------------------------------------------------
+def inverses(triples: DataFrame, vocab: Vocab) -> DataFrame:
+    """``(p, inverse)`` pairs of properties."""
+    return match(triples, p=vocab.inverse_p).select(F.col("s").alias("p"), F.col("o").alias("inverse")).distinct()
+
+
+def subproperties(triples: DataFrame, vocab: Vocab) -> DataFrame:
+    """``(sub, super)`` of properties."""
+    return match(triples, p=vocab.subproperty_p).select(F.col("s").alias("sub"), F.col("o").alias("super")).distinct()
+
+
+def subclasses(triples: DataFrame, vocab: Vocab) -> DataFrame:
+    """``(sub, super)`` of named classes; restrictions (blank nodes) are no superclass here."""
+    t = match(triples, p=vocab.subclass_p).where(is_iri(F.col("o"), vocab))
+    return t.select(F.col("s").alias("sub"), F.col("o").alias("super")).distinct()
+
+
+def domains_ranges(triples: DataFrame, vocab: Vocab) -> DataFrame:
+    """``(p, domain, range)``, one row per declared pair; a side that isn't declared is null."""
+    dom = match(triples, p=vocab.domain_p).select(F.col("s").alias("p"), F.col("o").alias("domain")).distinct()
+    rng = match(triples, p=vocab.range_p).select(F.col("s").alias("p"), F.col("o").alias("range")).distinct()
+    return dom.join(rng, "p", "full").select("p", "domain", "range")
+
+
+def cardinality_rules(triples: DataFrame, vocab: Vocab) -> DataFrame:
+    """``(owner, class, min_n, max_n)`` from restriction nodes: the class that has the restriction
+    as a superclass, the class counted, and the bounds (null when there is none)."""
+    node = F.col("s")
+    bound = triples.where(F.col("p").isin(vocab.on_class_p, vocab.exactly_p, vocab.at_least_p, vocab.at_most_p)).groupBy(node.alias("node"))
+
+    def value(*ps: str) -> Column:
+        return F.max(F.when(F.col("p").isin(*ps), F.col("o")))
+
+    rules = bound.agg(
+        value(vocab.on_class_p).alias("class"),
+        value(vocab.exactly_p, vocab.at_least_p).cast("int").alias("min_n"),
+        value(vocab.exactly_p, vocab.at_most_p).cast("int").alias("max_n"),
+    ).where("class is not null and (min_n is not null or max_n is not null)")
+    owners = match(triples, p=vocab.subclass_p).select(F.col("s").alias("owner"), F.col("o").alias("node"))
+    return owners.join(rules, "node").select("owner", "class", "min_n", "max_n").distinct()

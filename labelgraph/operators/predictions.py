@@ -43,7 +43,9 @@ def _first_present(answer: Column, paths: list[str]) -> Column:
 
 def parse_response(df: DataFrame, answer: str = "answer") -> DataFrame:
     """Typed parse: ``valid_json``, ``error``, ``areas``/``scopes``/``abilities`` (JSON text of the
-    list under any accepted key spelling), ``shape`` and the key-presence flags."""
+    list under any accepted key spelling; NULL when it is no array of strings), ``typed`` (every
+    list that is there is one), ``shape`` and the key-presence flags. A JSON null counts as absent,
+    for an error as for a list."""
     a = F.col(answer)
     valid = json_is_valid(a)
     keys = F.when(valid, F.json_object_keys(a))  # parsed once; NULL unless a valid object
@@ -53,10 +55,24 @@ def parse_response(df: DataFrame, answer: str = "answer") -> DataFrame:
         # built-in array test (no lambda), false when not an object
         return F.coalesce(F.arrays_overlap(keys, F.array(*[F.lit(n) for n in names])), F.lit(False))
 
-    def lists(plural: str, singular: str) -> Column:
+    names = list(zip(K.LABEL_KEYS, K.LABEL_KEYS_SINGULAR))
+    own = ",".join(f"`{n}`:array<string>" for pair in names for n in pair)
+    as_lists = F.from_json(a, f"struct<{own},labels:struct<{own}>>")
+
+    def raw(plural: str, singular: str) -> Column:
         return F.when(obj, _first_present(a, [f"$.{plural}", f"$.{singular}", f"$.labels.{plural}", f"$.labels.{singular}"]))
 
-    has_err = any_key("Error", "error")
+    def strings(plural: str, singular: str) -> Column:
+        return F.to_json(F.coalesce(*[as_lists[n] for n in (plural, singular)], *[as_lists["labels"][n] for n in (plural, singular)]))
+
+    raws = [raw(*pair) for pair in names]
+    # an array of strings reads the same as strings and as raw JSON
+    good = [F.coalesce(strings(*pair) == r, F.lit(False)) for pair, r in zip(names, raws)]
+    typed = good[0] | raws[0].isNull()
+    for g, r in zip(good[1:], raws[1:]):
+        typed = typed & (g | r.isNull())
+    error = F.when(obj, _first_present(a, ["$.Error", "$.error"]))
+    has_err = error.isNotNull()
     has_lab = any_key(*K.LABEL_KEYS, *K.LABEL_KEYS_SINGULAR, "labels")
     shape = (
         F.when(~valid, "invalid")
@@ -71,10 +87,9 @@ def parse_response(df: DataFrame, answer: str = "answer") -> DataFrame:
     return df.select(
         "*",
         valid.alias("valid_json"),
-        F.when(obj, _first_present(a, ["$.Error", "$.error"])).alias("error"),
-        lists("Areas", "Area").alias("areas"),
-        lists("Scopes", "Scope").alias("scopes"),
-        lists("Abilities", "Ability").alias("abilities"),
+        error.alias("error"),
+        *[F.when(g, r).alias(c) for g, r, c in zip(good, raws, ("areas", "scopes", "abilities"))],
+        typed.alias("typed"),
         has_err.alias("has_error"),
         has_lab.alias("has_labels"),
         F.when(F.col(answer).isNull(), "no_response").otherwise(shape).alias("shape"),
@@ -130,17 +145,20 @@ def wrong_dimension(labels: DataFrame, vocab: DataFrame) -> DataFrame:
 
 def prune_ancestors(labels: DataFrame, closure_names: DataFrame) -> DataFrame:
     """Drop a term when one of its descendants is in the same (sample, dim) list; also dedupes
-    (first position kept).
+    (first position kept). ``closure_names(dim, child, ancestor)``: a hierarchy holds within its
+    dimension. Terms of a cycle are each other's ancestors and stand for one another, so none of
+    them drops the other.
 
     One aggregation instead of a self join: every label row, plus one "covered" row per
     ancestor of each label (closure broadcast after a size check), grouped by
     (sample, dim, term). A term survives when it is present and never covered. Partial
     aggregation runs before the single shuffle, and a hot sample is spread over its terms.
     """
-    cl = closure_names.where(F.col("child") != F.col("ancestor")).select(F.col("child").alias("term"), "ancestor").distinct()
-    cl = broadcast_if_small(cl)
+    cl = closure_names.where(F.col("child") != F.col("ancestor")).select("dim", F.col("child").alias("term"), "ancestor").distinct()
+    back = cl.select("dim", F.col("ancestor").alias("term"), F.col("term").alias("ancestor"))
+    cl = broadcast_if_small(cl.join(back, ["dim", "term", "ancestor"], "left_anti"))
     own = labels.select("sample_id", "dim", "term", "pos", F.lit(True).alias("_own"))
-    covered = labels.select("sample_id", "dim", "term").join(cl, "term").select(
+    covered = labels.select("sample_id", "dim", "term").join(cl, ["dim", "term"]).select(
         "sample_id", "dim", F.col("ancestor").alias("term"), F.lit(None).cast(own.schema["pos"].dataType).alias("pos"), F.lit(False).alias("_own")
     )
     g = own.unionByName(covered).groupBy("sample_id", "dim", "term").agg(
@@ -149,8 +167,12 @@ def prune_ancestors(labels: DataFrame, closure_names: DataFrame) -> DataFrame:
     return g.where(F.col("_present") & F.col("_all_own")).select("sample_id", "dim", "term", "pos")
 
 
-def clean_json(labels: DataFrame) -> DataFrame:
-    """Per sample v2-shape JSON ``{"Areas":[..],"Scopes":[..],"Abilities":[..]}`` in position order."""
+def clean_json(labels: DataFrame, samples: DataFrame | None = None) -> DataFrame:
+    """Per sample v2-shape JSON ``{"Areas":[..],"Scopes":[..],"Abilities":[..]}`` in position order;
+    every sample of ``samples(sample_id)`` has a row, with empty lists when no label is left."""
+    if samples is not None:
+        none = {c: F.lit(None).cast(labels.schema[c].dataType) for c in ("dim", "term", "pos")}
+        labels = labels.select("sample_id", "dim", "term", "pos").unionByName(samples.select("sample_id").distinct().withColumns(none))
     aggs = []
     for dim, key in zip(K.DIM_NAMES, K.LABEL_KEYS):
         items = F.collect_list(F.when(F.col("dim") == F.lit(dim), F.struct("pos", "term")))
@@ -186,6 +208,7 @@ def verdicts(parsed: DataFrame, vocab: DataFrame, min_counts: dict[str, int] | N
             F.when(F.col("shape") == "no_response", F.lit("no_response")),
             F.when(F.col("shape") == "invalid", F.lit("invalid_json")),
             F.when(F.col("shape") == "not_object", F.lit("not_an_object")),
+            F.when(~F.col("typed"), F.lit("wrong_type")),
             F.when(F.col("valid_json") & (F.col("has_error") == F.col("has_labels")), F.lit("not_exclusive")),
             F.when(F.col("has_error") & ~F.coalesce(known_error, F.lit(False)), F.lit("unknown_error")),
             F.when(F.col("has_labels") & ~F.col("has_error") & below, F.lit("below_min_counts")),

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelgraph import constants as K
-from labelgraph.functions.json import json_is_valid
+from labelgraph.functions.json import STRICT, is_json_string, json_is_valid
 from labelgraph.functions.text import col_, zero_padded_id
 from labelgraph.operators.sequence import sequence_number
 
@@ -68,29 +68,38 @@ def check_entries(
     every check except the image-exists test).
 
     ``from_valid_file``: entries were exploded from a file that decoded, so an element whose
-    text is not JSON was a JSON string (``from_json`` unquotes strings): not an object.
+    text is not JSON was a JSON string (``from_json`` unquotes strings): not an object. Rows of
+    files that did not (column ``file_reason``) keep that reason.
+
+    The image must be a non-empty JSON string; labels are any JSON value, kept as JSON. Of
+    repeated keys the last one counts.
     """
     e = F.col(entry)
-    # one parse into top-level key -> raw value text (strings unquoted, objects/arrays as
-    # compact JSON, JSON null as NULL with the key still present)
-    m = F.from_json(e, "map<string,string>")
-    is_obj = m.isNotNull()
-    has_img, has_lab = F.map_contains_key(m, image_key), F.map_contains_key(m, label_key)
-    rel = m[image_key]
+    # strings unquoted, objects and arrays as compact JSON, JSON null as NULL
+    fields = F.from_json(e, f"struct<`{image_key}`:string,`{label_key}`:string>", STRICT)
+    keys = F.json_object_keys(e)
+    required = F.array_contains(keys, image_key) & F.array_contains(keys, label_key)
+    base = entries.withColumns({"_rel": fields[image_key], "_lab": fields[label_key]})
+    rel, lab = F.col("_rel"), F.col("_lab")
     img = join_path(dirname("meta_path"), rel)
     reason = (
         F.when(~json_is_valid(e), "not_an_object" if from_valid_file else "bad_json")
-        .when(~is_obj, "not_an_object")
-        .when(~(has_img & has_lab), "missing_field")
-        .when(rel.isNull() | (rel == F.lit("")) | F.startswith(F.ltrim(rel), F.lit("{")) | F.startswith(F.ltrim(rel), F.lit("[")), "bad_image")
+        .when(keys.isNull(), "not_an_object")
+        .when(~required, "missing_field")
+        .when(~is_json_string(e, rel, image_key) | (rel == F.lit("")), "bad_image")
     )
-    out = entries.withColumn("reason", reason)
+    if "file_reason" in entries.columns:
+        reason = F.coalesce(F.col("file_reason"), reason)
+    out = base.withColumn("reason", reason)
     ok = F.col("reason").isNull()
+    quoted = F.regexp_extract(F.to_json(F.array(lab)), r"(?s)^\[(.*)\]$", 1)
+    labels = F.when(is_json_string(e, lab, label_key), quoted).otherwise(F.coalesce(lab, F.lit("null")))
     return out.select(
-        "*",
+        *entries.columns,
+        "reason",
         F.when(ok, img).alias("image"),
         F.when(ok, canonical_path(img)).alias("image_path"),
-        F.when(ok, F.coalesce(m[label_key], F.lit("null"))).alias("labels_json"),
+        F.when(ok, labels).alias("labels_json"),
     )
 
 
@@ -101,20 +110,30 @@ def image_exists(checked: DataFrame, images: DataFrame, keep: bool = True) -> Da
     return checked.join(listing, "image_path", how)
 
 
+def outcomes(entries: DataFrame, images: DataFrame, from_valid_file: bool = False) -> DataFrame:
+    """Checked entries with ``outcome``: ``accepted`` or the reason of the reject, in one pass.
+
+    One left join against the distinct listing tells image existence. A rejected entry has no
+    image path; it gets a key of its own that no path has (paths have no NUL), so rejects are
+    spread like any other rows instead of meeting in one task.
+    """
+    checked = check_entries(entries, from_valid_file=from_valid_file)
+    own = F.concat(F.lit("\0"), F.xxhash64("meta_path", "pos").cast("string"))
+    checked = checked.withColumn("_at", F.coalesce("image_path", own))
+    listing = images.select(canonical_path("path").alias("_at")).distinct().withColumn("_exists", F.lit(True))
+    flagged = checked.join(listing, "_at", "left")
+    outcome = F.when(F.col("reason").isNotNull(), F.col("reason")).when(F.col("_exists"), "accepted").otherwise("image_not_found")
+    return flagged.withColumn("outcome", outcome).drop("_at", "_exists")
+
+
 def accept_and_reject(entries: DataFrame, images: DataFrame, from_valid_file: bool = False) -> tuple[DataFrame, DataFrame]:
     """Split entries into accepted rows and a reject table ``(meta_path, pos, reason)``.
 
-    One left join against the distinct listing flags image existence; both outputs are
-    filters of that one joined frame, so a plan using both shares its exchanges.
+    Both are filters of :func:`outcomes`; store that first when both are written.
     """
-    checked = check_entries(entries, from_valid_file=from_valid_file)
-    listing = images.select(canonical_path("path").alias("image_path")).distinct().withColumn("_exists", F.lit(True))
-    flagged = checked.join(listing, "image_path", "left")
-    exists = F.coalesce(F.col("_exists"), F.lit(False))
-    ok = F.col("reason").isNull()
-    accepted = flagged.where(ok & exists).drop("_exists")
-    reason = F.when(~ok, F.col("reason")).otherwise(F.lit("image_not_found"))
-    rejected = flagged.where(~(ok & exists)).select("meta_path", "pos", reason.alias("reason"))
+    flagged = outcomes(entries, images, from_valid_file)
+    accepted = flagged.where(F.col("outcome") == "accepted").drop("outcome")
+    rejected = flagged.where(F.col("outcome") != "accepted").select("meta_path", "pos", F.col("outcome").alias("reason"))
     return accepted, rejected
 
 
@@ -139,12 +158,9 @@ def training_samples(entries: DataFrame, images: DataFrame) -> DataFrame:
     return ided.select("id", "image", conversations(F.col("labels_json")).alias("conversations"), "meta_path", "pos")
 
 
-def reject_report(rejected: DataFrame, accepted: DataFrame | None = None) -> DataFrame:
-    """Counts per reject reason (plus ``accepted`` when given)."""
-    r = rejected.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
-    if accepted is not None:
-        r = r.unionByName(accepted.agg(F.count(F.lit(1)).alias("n")).select(F.lit("accepted").alias("reason"), "n"))
-    return r
+def reject_report(checked: DataFrame) -> DataFrame:
+    """Counts per outcome of :func:`outcomes`: ``accepted`` and every reject reason."""
+    return checked.groupBy(F.col("outcome").alias("reason")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def file_rejects(exploded: DataFrame) -> DataFrame:

@@ -9,7 +9,6 @@ the rows is spread over many range partitions, so no task sees more than its sha
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,27 +32,20 @@ def sequence_number(
     """Add ``col`` = ``start`` + rank of the row in ``order_cols`` order (within ``group_cols``).
 
     Order keys must be unique within a group for the numbering to be deterministic.
-    The range-partitioned frame is checkpointed to the shared folder so both of its uses
-    (counts and join back) see the same partition assignment, also after executor loss.
+    The input and the range-partitioned rows are stored in the shared folder, so counting,
+    sampling, numbering and the join back all see the same rows, also after executor loss. The
+    number of ranges follows the row count, without an upper limit.
     """
     groups = list(group_cols or [])
     keys = groups + list(order_cols)
-    spark = df.sparkSession
-    # the range partitioner samples its input in a separate pass before the shuffle; persist
-    # the input so that pass does not recompute the upstream pipeline (spills to disk if large)
-    src = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if num_partitions:
-        n = num_partitions
-    else:
-        # size the range partitioning from the row count (which fills the persisted input the
-        # sampling pass reads anyway), capped by the session's shuffle partitions
-        cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        n = max(1, min(cap, -(-src.count() // rows_per_partition)))
+    src = cut_lineage(df, "numbering-input")
+    n = num_partitions or max(1, -(-src.count() // rows_per_partition))
     ranged = src.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    pid = F.spark_partition_id()
-    ranged = ranged.select("*", pid.alias(_PID), (F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)).alias(_IDX))
-    ranged = cut_lineage(ranged)
-    src.unpersist()
+    pid, mono = F.spark_partition_id(), F.monotonically_increasing_id()
+    # the id holds the partition above 33 bits of row number; more rows would run into it
+    fits = F.shiftright(mono, 33) == pid
+    idx = F.when(fits, mono - F.shiftleft(pid.cast("long"), 33)).otherwise(F.raise_error(F.lit("a range has over 2^33 rows")).cast("long"))
+    ranged = cut_lineage(ranged.select("*", pid.alias(_PID), idx.alias(_IDX)), "numbering")
 
     stats = ranged.groupBy(_PID, *groups).agg(F.count(F.lit(1)).alias("_cnt"), F.min(_IDX).alias("_first"))
     w = Window.partitionBy(*groups).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
@@ -65,7 +57,7 @@ def sequence_number(
         # (partition, group) rows: at most #groups + n; broadcast only after a counted check
         from labelgraph.operators.graph import broadcast_if_small
 
-        stats = broadcast_if_small(cut_lineage(stats))
+        stats = broadcast_if_small(cut_lineage(stats, "numbering-offsets"))
     out = ranged.join(stats, [_PID, *groups], "inner")
     seq = F.lit(start) + F.col("_offset") + F.col(_IDX) - F.col("_first")
     return out.withColumn(col, seq.cast("long")).drop(_PID, _IDX, "_first", "_offset")

@@ -3,7 +3,7 @@
 ``hash`` mode is stateless and append-stable: a row's split depends only on its key and the
 seed, so no shuffle and no global state. ``exact`` mode gives exactly ``ceil(frac * n)`` eval
 rows (the smallest scores) without a global sort: a 16-bit histogram per level narrows the
-cut-off to rows sharing one 48-bit score, which are then few by construction.
+cut-off to rows sharing one 48-bit score, and only those are numbered.
 """
 
 from __future__ import annotations
@@ -39,57 +39,47 @@ def split_hash(df: DataFrame, key: str, seed: str = K.DEFAULT_SEED, eval_per_mil
     return df.withColumn("split", F.when(bucket1000(key, seed=seed) < eval_per_mille, "eval").otherwise("train"))
 
 
-MAX_TIES_TO_DRIVER = 10_000
-
-
-def smallest_k_condition(df: DataFrame, score: Column, tiebreak: Column, k: int) -> Column:
-    """Condition selecting exactly the ``k`` rows with the smallest (score, tiebreak).
+def mark_smallest(df: DataFrame, score: Column, k: int, tiebreak: list[str], col: str) -> DataFrame:
+    """Add boolean ``col``: true for exactly the ``k`` rows with the smallest (score, tiebreak).
 
     Three histogram passes over 16-bit slices of the 48-bit score (each histogram has at most
-    65,536 rows), then the rows sharing the final score are ranked by ``tiebreak``: collected
-    when their counted number is small (hash collisions only), otherwise numbered on the
-    cluster with :func:`sequence_number` so only the one threshold row reaches the driver.
-    ``tiebreak`` must be unique per row for the count to be exact.
+    65,536 rows) find the score at the cut. Rows with that score (equal keys, or hash collisions)
+    are numbered on the cluster, so repeated and null keys count row by row; which of several
+    rows equal in all ``tiebreak`` columns come first is not fixed.
     """
     if k <= 0:
-        return F.lit(False)
-    cur = df.select(score.alias("_s"), tiebreak.alias("_t"))
-    remaining = k
-    prefix = 0
-    tied = 0
+        return df.withColumn(col, F.lit(False))
+    scored = df.withColumn("_score", score)
+    cur = scored.select("_score")
+    remaining, prefix = k, 0
     for shift in (32, 16, 0):
-        b = F.shiftright(F.col("_s"), shift).bitwiseAND(0xFFFF)
+        b = F.shiftright(F.col("_score"), shift).bitwiseAND(0xFFFF)
         hist = sorted((r[0], r[1]) for r in cur.groupBy(b.alias("b")).count().collect())
-        cum = 0
-        chosen = None
-        for bv, c in hist:
-            if cum + c >= remaining:
-                chosen, tied = bv, c
+        before, chosen = 0, None
+        for value, n in hist:
+            if before + n >= remaining:
+                chosen = value
                 break
-            cum += c
-        if chosen is None:  # fewer rows than k: everything qualifies
-            return F.lit(True)
-        remaining -= cum
+            before += n
+        if chosen is None:  # no more rows than k: everything qualifies
+            return df.withColumn(col, F.lit(True))
+        remaining -= before
         prefix = (prefix << 16) | int(chosen)
         cur = cur.where(b == F.lit(chosen))
-    if tied <= MAX_TIES_TO_DRIVER:
-        ties = sorted(r[0] for r in cur.select("_t").collect())
-        t_thr = ties[remaining - 1]
-    else:
-        from labelgraph.operators.sequence import sequence_number
+    at_cut = F.col("_score") == F.lit(prefix)
+    from labelgraph.operators.sequence import sequence_number
 
-        ranked = sequence_number(cur.select("_t"), ["_t"], col="_r")
-        t_thr = ranked.where(F.col("_r") == remaining - 1).first()["_t"]
-    return (score < F.lit(prefix)) | ((score == F.lit(prefix)) & (tiebreak <= F.lit(t_thr)))
+    tied = sequence_number(scored.where(at_cut), tiebreak, col="_rank")
+    tied = tied.withColumn(col, F.col("_rank") < F.lit(remaining)).drop("_rank")
+    return scored.where(~at_cut).withColumn(col, F.col("_score") < F.lit(prefix)).unionByName(tied).drop("_score")
 
 
 def split_exact(df: DataFrame, key: str, seed: str = K.DEFAULT_SEED, eval_fraction: float = K.EVAL_FRACTION) -> DataFrame:
-    """Exactly ``ceil(eval_fraction * n)`` eval rows: the smallest 48-bit key scores (ties by key)."""
-    n = df.count()
-    k = math.ceil(eval_fraction * n - 1e-9)
-    s = score48(key, seed=seed)
-    cond = smallest_k_condition(df, s, F.col(key), k)
-    return df.withColumn("split", F.when(cond, "eval").otherwise("train"))
+    """Exactly ``ceil(eval_fraction * n)`` eval rows: the smallest 48-bit key scores, then the
+    smallest keys; rows with equal or null keys are split row by row."""
+    k = math.ceil(eval_fraction * df.count() - 1e-9)
+    marked = mark_smallest(df, score48(key, seed=seed), k, [key], "_eval")
+    return marked.withColumn("split", F.when(F.col("_eval"), "eval").otherwise("train")).drop("_eval")
 
 
 def first_n(df: DataFrame, n: int, order: list[Column | str], strict: bool = False) -> DataFrame:

@@ -38,16 +38,15 @@ def causal_labels(input_ids: Column | str, attention_mask: Column | str, mask_pa
     return F.transform(F.arrays_zip(ids.alias("i"), col_(attention_mask).alias("m")), lambda z: F.when(z["m"] == 1, z["i"]).otherwise(F.lit(ignore_index)))
 
 
-def batch_longest_pad(df: DataFrame, ids: str, seq: str, batch_size: int, max_length: int = K.MAX_LENGTH, pad_id: int = K.PAD_ID) -> DataFrame:
-    """Pad each row to the longest (truncated) row of its batch ``floor(seq / batch_size)``.
+def batch_longest_pad(df: DataFrame, ids: str, seq: str, batch_size: int, pad_id: int = K.PAD_ID) -> DataFrame:
+    """Pad each row, whole, to the longest row of its batch ``floor(seq / batch_size)``.
 
     The window is partitioned by batch, so every window group holds ``batch_size`` rows.
     """
-    t = F.slice(F.col(ids), 1, max_length)
-    d = df.withColumn("batch", F.floor(F.col(seq) / batch_size).cast("long")).withColumn("_t", t)
-    d = d.withColumn("batch_len", F.max(F.size("_t")).over(Window.partitionBy("batch")))
-    fill = F.col("batch_len") - F.size("_t")
-    return d.withColumn("padded", F.concat("_t", F.array_repeat(F.lit(pad_id), fill))).drop("_t")
+    d = df.withColumn("batch", F.floor(F.col(seq) / batch_size).cast("long"))
+    d = d.withColumn("batch_len", F.max(F.size(ids)).over(Window.partitionBy("batch")))
+    fill = F.col("batch_len") - F.size(ids)
+    return d.withColumn("padded", F.concat(ids, F.array_repeat(F.lit(pad_id), fill)))
 
 
 def masked_accuracy(pairs: DataFrame, pred: str = "pred", label: str = "label", ignore_index: int = K.IGNORE_INDEX) -> DataFrame:

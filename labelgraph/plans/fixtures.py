@@ -28,23 +28,43 @@ UNION ALL SELECT '_:b'||CAST(r_regionkey AS STRING),'type','urn:t#Area','iri',0
 UNION ALL SELECT 'urn:t#'||n_name,'partOfArea','urn:t#'||replace(r_name,' ','_'),'iri',0 FROM nation JOIN region ON n_regionkey=r_regionkey
 UNION ALL SELECT 'urn:t#'||replace(s_name,'#','_'),'partOfArea','urn:t#'||n_name,'iri',0 FROM supplier JOIN nation ON s_nationkey=n_nationkey
 UNION ALL SELECT 'urn:t#'||replace(s_name,'#','_'),'partOfArea','urn:t#'||n_name,'iri',1 FROM supplier JOIN nation ON (s_nationkey+1)%25=n_nationkey WHERE s_suppkey%10=0
-UNION ALL SELECT DISTINCT 'urn:t#'||replace(p_brand,'#','_'),'partOfScope','urn:t#'||p_type,'iri',0 FROM part WHERE p_partkey%7=0
+UNION ALL SELECT DISTINCT 'urn:t#'||replace(p_brand,'#','_'),'partOfScope','urn:t#'||p_type,'iri',0 FROM part
 UNION ALL SELECT 'urn:t#'||replace(c_name,'#','_'),'partOfAbility','urn:t#'||c_mktsegment,'iri',0 FROM customer
 UNION ALL SELECT 'urn:t#'||replace(a.s_name,'#','_'),'expandsArea','urn:t#'||replace(b.s_name,'#','_'),'iri',0 FROM supplier a JOIN supplier b ON b.s_suppkey=a.s_suppkey-1 WHERE a.s_suppkey%8<>0
 UNION ALL SELECT 'urn:t#'||n_name,'isDefinedBy',text,'literal',0 FROM nation JOIN benchmark ON item_id=n_nationkey
+UNION ALL SELECT 'urn:t#'||replace(c_name,'#','_'),'comment','example: '||text,'literal',100 FROM customer JOIN benchmark ON item_id=c_custkey
+UNION ALL SELECT 'urn:t#'||replace(c_name,'#','_'),'isDefinedBy',text,'literal',0 FROM customer JOIN documents ON doc_id=c_custkey
+UNION ALL SELECT 'urn:t#'||replace(c_name,'#','_'),'comment',text,'literal',CAST(turn AS INT) FROM customer JOIN conversations ON conv_id=c_custkey
 UNION ALL SELECT 'urn:t#'||replace(c_name,'#','_'),'partOfArea','urn:t#'||n_name,'iri',0 FROM customer JOIN nation ON c_nationkey=n_nationkey WHERE c_custkey%50=0
 UNION ALL SELECT 'urn:t#'||replace(c_name,'#','_'),'partOfAbility','urn:t#Ghost','iri',0 FROM customer WHERE c_custkey%60=1
 UNION ALL SELECT 'urn:t#'||replace(c_name,'#','_'),'type','urn:t#Area','iri',1 FROM customer WHERE c_custkey%70=0
 UNION ALL SELECT 'urn:t#'||replace(s_name,'#','_'),'isDefinedBy',CASE WHEN s_suppkey%11=0 THEN '' WHEN s_suppkey%13=0 THEN ' '||chr(10) ELSE text||chr(10) END,'literal',0 FROM supplier JOIN documents ON doc_id=s_suppkey WHERE s_suppkey%4<>0
 UNION ALL SELECT 'urn:t#'||replace(s_name,'#','_'),'isDefinedBy','second definition of '||s_name,'literal',1 FROM supplier WHERE s_suppkey%4<>0 AND s_suppkey%5=0
-UNION ALL SELECT 'urn:t#'||replace(s_name,'#','_'),'comment',CASE WHEN turn%4=0 THEN 'EXAMPLE: ' ELSE '' END||text,'literal',CAST(turn AS INT) FROM supplier JOIN conversations ON conv_id=s_suppkey WHERE role='user' AND s_suppkey%3<>0
+UNION ALL SELECT 'urn:t#'||replace(s_name,'#','_'),'comment',CASE WHEN turn%4=0 THEN 'EXAMPLE: ' ELSE '' END||text,'literal',CAST(turn AS INT) FROM supplier JOIN conversations ON conv_id=s_suppkey
+UNION ALL SELECT 'partOf'||k,'inverseOf','hasPart'||k,'iri',0 FROM (SELECT DISTINCT CASE WHEN r_regionkey=0 THEN 'Area' WHEN r_regionkey=1 THEN 'Scope' ELSE 'Ability' END AS k FROM region) AS d
+UNION ALL SELECT 'partOf'||k,'subPropertyOf','partOf','iri',0 FROM (SELECT DISTINCT CASE WHEN r_regionkey=0 THEN 'Area' WHEN r_regionkey=1 THEN 'Scope' ELSE 'Ability' END AS k FROM region) AS d
+UNION ALL SELECT 'partOf'||k,'domain','urn:t#'||k,'iri',0 FROM (SELECT DISTINCT CASE WHEN r_regionkey=0 THEN 'Area' WHEN r_regionkey=1 THEN 'Scope' ELSE 'Ability' END AS k FROM region) AS d
+UNION ALL SELECT 'partOf'||k,'range','urn:t#'||k,'iri',0 FROM (SELECT DISTINCT CASE WHEN r_regionkey=0 THEN 'Area' WHEN r_regionkey=1 THEN 'Scope' ELSE 'Ability' END AS k FROM region) AS d
+UNION ALL SELECT 'urn:t#'||k,'subClassOf','urn:t#Descriptor','iri',0 FROM (SELECT DISTINCT CASE WHEN r_regionkey=0 THEN 'Area' WHEN r_regionkey=1 THEN 'Scope' ELSE 'Ability' END AS k FROM region) AS d
+UNION ALL SELECT 'expandsArea','inverseOf','expandedByArea','iri',0 FROM region WHERE r_regionkey=0
+UNION ALL SELECT 'expandsArea','subPropertyOf','expands','iri',0 FROM region WHERE r_regionkey=0
+UNION ALL SELECT 'expandsArea','domain','urn:t#Area','iri',0 FROM region WHERE r_regionkey=0
+UNION ALL SELECT 'expandsArea','range','urn:t#Area','iri',0 FROM region WHERE r_regionkey=0
+UNION ALL SELECT 'urn:t#Sample','subClassOf','_:areas','bnode',0 FROM region WHERE r_regionkey=0
+UNION ALL SELECT 'urn:t#Sample','subClassOf','_:abilities','bnode',0 FROM region WHERE r_regionkey=0
+UNION ALL SELECT '_:areas','onProperty','hasArea','iri',0 FROM region WHERE r_regionkey=0
+UNION ALL SELECT '_:areas','onClass','urn:t#Area','iri',0 FROM region WHERE r_regionkey=0
+UNION ALL SELECT '_:areas','qualifiedCardinality','1','literal',0 FROM region WHERE r_regionkey=0
+UNION ALL SELECT '_:abilities','onProperty','hasAbility','iri',0 FROM region WHERE r_regionkey=0
+UNION ALL SELECT '_:abilities','onClass','urn:t#Ability','iri',0 FROM region WHERE r_regionkey=0
+UNION ALL SELECT '_:abilities','minQualifiedCardinality','1','literal',0 FROM region WHERE r_regionkey=0
 """
 
 FX_SQL["fx_entries"] = """
 SELECT 'data/'||source||'/'||CAST(d.doc_id AS STRING)||'/meta.json' AS meta_path, 0 AS pos,
- CASE WHEN d.doc_id%23=0 THEN '{"questionImage": ' ELSE
- '{"n":'||CAST(d.doc_id AS STRING)||CASE WHEN d.doc_id%17=0 THEN '' WHEN d.doc_id%2=0 THEN ',"questionImage":"..'||chr(92)||chr(92)||'img'||chr(92)||chr(92)||CAST(d.doc_id AS STRING)||'.png"' ELSE ',"questionImage":"img/'||CAST(d.doc_id AS STRING)||'.png"' END
- ||CASE WHEN l.doc_id IS NULL THEN '' WHEN d.doc_id%19=0 THEN ',"labels":null' ELSE ',"labels":{"Areas":["NATION_'||CAST(d.doc_id%25 AS STRING)||'"],"Scopes":["Brand_'||CAST(1+d.doc_id%25 AS STRING)||'"],"Abilities":["'||CASE WHEN toxic=1 THEN 'MACHINERY' ELSE 'BUILDING' END||'"]}' END||'}' END AS entry
+ CASE WHEN d.doc_id%23=0 THEN '{"questionImage": ' WHEN d.doc_id%29=0 THEN '"a string"' ELSE
+ '{"n":'||CAST(d.doc_id AS STRING)||CASE WHEN d.doc_id%17=0 THEN '' WHEN d.doc_id%31=0 THEN ',"questionImage":["img.png"]' WHEN d.doc_id%37=0 THEN ',"questionImage":"[5].png"' WHEN d.doc_id%2=0 THEN ',"questionImage":"..'||chr(92)||chr(92)||'img'||chr(92)||chr(92)||CAST(d.doc_id AS STRING)||'.png"' ELSE ',"questionImage":"img/'||CAST(d.doc_id AS STRING)||'.png"' END
+ ||CASE WHEN l.doc_id IS NULL THEN '' WHEN d.doc_id%19=0 THEN ',"labels":null' WHEN d.doc_id%11=0 THEN ',"labels":"text label"' ELSE ',"labels":{"Areas":["NATION_'||CAST(d.doc_id%25 AS STRING)||'"],"Scopes":["Brand_'||CAST(1+d.doc_id%25 AS STRING)||'"],"Abilities":["'||CASE WHEN toxic=1 THEN 'MACHINERY' ELSE 'BUILDING' END||'"]}' END||'}' END AS entry
 FROM documents d LEFT JOIN labels l ON d.doc_id=l.doc_id
 """
 
@@ -61,12 +81,13 @@ SELECT l_orderkey AS sample_id,'Area' AS dim,replace(s_name,'#','_') AS term, l_
 UNION ALL SELECT l_orderkey,'Area',n_name,100+l_linenumber FROM lineitem JOIN supplier ON l_suppkey=s_suppkey JOIN nation ON s_nationkey=n_nationkey WHERE l_linenumber%2=0
 UNION ALL SELECT l_orderkey,'Area',replace(r_name,' ','_'),200+l_linenumber FROM lineitem JOIN supplier ON l_suppkey=s_suppkey JOIN nation ON s_nationkey=n_nationkey JOIN region ON n_regionkey=r_regionkey WHERE l_linenumber=1
 UNION ALL SELECT l_orderkey,'Scope',replace(p_brand,'#','_'),l_linenumber FROM lineitem JOIN part ON l_partkey=p_partkey
-UNION ALL SELECT l_orderkey,'Scope',CASE WHEN l_linenumber%5=0 THEN 'UNKNOWN' ELSE p_type END,100+l_linenumber FROM lineitem JOIN part ON l_partkey=p_partkey WHERE l_linenumber%3=0
+UNION ALL SELECT l_orderkey,'Scope',CASE WHEN l_orderkey%5=0 THEN 'UNKNOWN' ELSE p_type END,100+l_linenumber FROM lineitem JOIN part ON l_partkey=p_partkey WHERE l_linenumber%3=0
 UNION ALL SELECT o_orderkey,'Ability',CASE WHEN o_orderkey%31=0 THEN 'ASIA' ELSE c_mktsegment END,1 FROM orders JOIN customer ON o_custkey=c_custkey
 """
 
 FX_SQL["fx_responses"] = """
-SELECT conv_id*1000+turn AS sample_id,'system'||chr(10)||'s'||chr(10)||'user'||chr(10)||'u'||chr(10)||CASE WHEN turn%7=6 THEN '' ELSE 'assistant'||chr(10) END||CASE conv_id%6 WHEN 0 THEN '{"Error":"NotMathMaterial"}' WHEN 1 THEN '{"Error":"Other"}' WHEN 2 THEN '{"Areas":["NATION_1","NATION_1"],"Scopes":["Brand_1"],"Abilities":[]}' WHEN 3 THEN '{"Area":["NATION_2"],"Scope":[],"Ability":["BUILDING"]}' WHEN 4 THEN '{"Areas":["NATION_3"' ELSE ' {"Areas":["NATION_4","Nope"],"Scopes":["Brand_1","Brand_2","Brand_3"],"Abilities":["BUILDING"]} ' END AS response FROM conversations
+SELECT conv_id*1000+turn AS sample_id,'system'||chr(10)||'s'||chr(10)||'user'||chr(10)||text||chr(10)||CASE WHEN turn%7=6 THEN '' ELSE 'assistant'||chr(10) END||CASE (conv_id*8+turn)%17 WHEN 0 THEN '{"Error":"NotMathMaterial"}' 
+ WHEN 1 THEN '{"Error":"Other"}' WHEN 2 THEN '{"Areas":["NATION_1","NATION_1"],"Scopes":["Brand_1"],"Abilities":[]}' WHEN 3 THEN '{"Area":["NATION_2"],"Scope":[],"Ability":["BUILDING"]}' WHEN 4 THEN '{"Areas":["NATION_3"' WHEN 5 THEN ' {"Areas":["NATION_4","Nope"],"Scopes":["Brand_1","Brand_2","Brand_3"],"Abilities":["BUILDING"]} ' WHEN 6 THEN '{"labels":{"Areas":["NATION_5"],"Scopes":["Brand_1"],"Abilities":["BUILDING"]}}' WHEN 7 THEN '{"Error":"NotMathMaterial","Areas":["NATION_1"]}' WHEN 8 THEN '{"error":"AreaNotCovered"}' WHEN 9 THEN '["NATION_1"]' WHEN 10 THEN '{"error":null,"labels":{"Areas":["NATION_6","ASIA"],"Scopes":["Brand_4","Brand_5","Brand_6"],"Abilities":["MACHINERY"]}}' WHEN 11 THEN '{"Areas":"A","Scopes":{},"Abilities":5}' WHEN 12 THEN '{"Areas":["BUILDING"],"Scopes":["NATION_1"],"Abilities":["Brand_1"]}' WHEN 13 THEN '{"note":1}' WHEN 14 THEN '{"Areas":["'||md5(text)||'"],"Scopes":[1,2],"Abilities":["BUILDING"]}' WHEN 15 THEN text ELSE '{"Areas":null,"Scopes":["Brand_1"],"Abilities":["BUILDING"]}' END AS response FROM conversations
 """
 
 FX_SQL["fx_tokens"] = """

@@ -244,17 +244,6 @@ def qa_counts(spark, sf):
 
 
 # ---- RDF/XML scan (SRC-01): serialise the fixture graph, scan it back ---------------------------
-FIXTURE_PREDICATES = {
-    "p:type": "ref",
-    "p:partOfArea": "ref",
-    "p:partOfScope": "ref",
-    "p:partOfAbility": "ref",
-    "p:expandsArea": "ref",
-    "p:isDefinedBy": "literal",
-    "p:comment": "literal",
-}
-
-
 @query("triple_scan", "SELECT DISTINCT s, p, o, o_kind FROM fx_triples", FX)
 def triple_scan(spark, sf):
     from labelgraph.session import scratch_path
@@ -262,4 +251,4 @@ def triple_scan(spark, sf):
 
     path = scratch_path(spark, "rdfxml")
     write_rdfxml(tri(spark, sf), path)
-    return scan_rdfxml(spark, path, FIXTURE_PREDICATES, prefixes={"p": ""}).select("s", "p", "o", "o_kind")
+    return scan_rdfxml(spark, path, prefixes={"p": ""}).select("s", "p", "o", "o_kind")

@@ -8,7 +8,7 @@ from labelgraph import constants as K
 from labelgraph.operators import ontology as O
 from labelgraph.operators import predictions as P
 from labelgraph.plans.fixtures import fixture
-from labelgraph.plans.q_graph import _closure_sql, closure_names
+from labelgraph.plans.q_graph import closure_names
 from labelgraph.plans.registry import CONCEPT_CTES, WS, lname_sql, query
 
 V = O.Vocab.bare()
@@ -26,9 +26,12 @@ def vocab(spark, sf):
 
 _VOCAB = f"vocab AS (SELECT DISTINCT {lname_sql('iri')} AS term, dim FROM ctypes)"
 _DD = "dd AS (SELECT sample_id, dim, term, min(pos) AS pos FROM fx_predictions GROUP BY sample_id, dim, term)"
-_PRUNE = f"""{_closure_sql('edges')},
-cl AS (SELECT DISTINCT {lname_sql('child')} AS c, {lname_sql('ancestor')} AS a FROM clos),
-anc AS (SELECT DISTINCT d.sample_id, d.dim, cl.a AS term FROM dd d JOIN cl ON d.term = cl.c WHERE cl.c <> cl.a),
+_PRUNE = f"""
+r(dim, child, ancestor) AS (
+  SELECT dim, child, parent FROM edges UNION SELECT r.dim, r.child, e.parent FROM r JOIN edges e ON r.ancestor = e.child AND r.dim = e.dim),
+cl0 AS (SELECT DISTINCT dim, {lname_sql('child')} AS c, {lname_sql('ancestor')} AS a FROM r),
+cl AS (SELECT x.* FROM cl0 x LEFT JOIN cl0 y ON y.dim = x.dim AND y.c = x.a AND y.a = x.c WHERE x.c <> x.a AND y.c IS NULL),
+anc AS (SELECT DISTINCT d.sample_id, d.dim, cl.a AS term FROM dd d JOIN cl ON d.term = cl.c AND d.dim = cl.dim),
 pruned AS (SELECT d.* FROM dd d WHERE NOT EXISTS
   (SELECT 1 FROM anc WHERE anc.sample_id = d.sample_id AND anc.dim = d.dim AND anc.term = d.term))"""
 
@@ -76,30 +79,43 @@ def _json_by_dim(dim_col: str = "dim") -> str:
     "pred_clean_json",
     f"""WITH RECURSIVE {CONCEPT_CTES}, {_VOCAB}, {_DD}, {_PRUNE},
     clean AS (SELECT d.* FROM pruned d WHERE EXISTS (SELECT 1 FROM vocab v WHERE v.term = d.term AND v.dim = d.dim))
-    SELECT sample_id, {_json_by_dim()} AS labels_json FROM clean GROUP BY sample_id""",
+    SELECT s.sample_id, {_json_by_dim()} AS labels_json FROM (SELECT DISTINCT sample_id FROM fx_predictions) s
+    LEFT JOIN clean c ON c.sample_id = s.sample_id GROUP BY s.sample_id""",
     FP,
 )
 def pred_clean_json(spark, sf):
     v = vocab(spark, sf)
     pruned = P.prune_ancestors(preds(spark, sf), closure_names(spark, sf))
     clean = pruned.join(v, ["term", "dim"], "left_semi")
-    return P.clean_json(clean)
+    return P.clean_json(clean, preds(spark, sf).select("sample_id"))
 
 
 # ---- responses ------------------------------------------------------------------------------
+def _first(plural: str, singular: str) -> str:
+    """The first value that is there and no JSON null, as JSON text."""
+    paths = (plural, singular, f"labels.{plural}", f"labels.{singular}")
+    return "coalesce(" + ", ".join(f"nullif(json_extract(answer, '$.{p}')::VARCHAR, 'null')" for p in paths) + ")"
+
+
+def _strings(c: str) -> str:
+    """Whether JSON text is an array of strings."""
+    return f"coalesce(json_type({c}) = 'ARRAY' AND len(list_filter(json_extract({c}, '$[*]'), lambda x: json_type(x) <> 'VARCHAR')) = 0, FALSE)"
+
+
 _PARSE = f"""
 r0 AS (SELECT sample_id, trim(string_split(response, 'assistant' || chr(10))[2], {WS}) AS answer FROM fx_responses),
 r1 AS (SELECT *, coalesce(json_valid(answer), FALSE) AS valid_json FROM r0),
 r2 AS (SELECT *, CASE WHEN valid_json AND json_type(answer) = 'OBJECT' THEN TRUE ELSE FALSE END AS obj FROM r1),
 r3 AS (SELECT sample_id, answer, valid_json, obj,
   CASE WHEN obj THEN coalesce(json_extract_string(answer, '$.Error'), json_extract_string(answer, '$.error')) END AS error,
-  CASE WHEN obj THEN coalesce(json_extract(answer, '$.Areas'), json_extract(answer, '$.Area'), json_extract(answer, '$.labels.Areas'), json_extract(answer, '$.labels.Area'))::VARCHAR END AS areas,
-  CASE WHEN obj THEN coalesce(json_extract(answer, '$.Scopes'), json_extract(answer, '$.Scope'), json_extract(answer, '$.labels.Scopes'), json_extract(answer, '$.labels.Scope'))::VARCHAR END AS scopes,
-  CASE WHEN obj THEN coalesce(json_extract(answer, '$.Abilities'), json_extract(answer, '$.Ability'), json_extract(answer, '$.labels.Abilities'), json_extract(answer, '$.labels.Ability'))::VARCHAR END AS abilities,
+  CASE WHEN obj THEN {_first('Areas', 'Area')} END AS a0, CASE WHEN obj THEN {_first('Scopes', 'Scope')} END AS s0,
+  CASE WHEN obj THEN {_first('Abilities', 'Ability')} END AS b0,
   CASE WHEN obj THEN json_keys(answer) END AS keys
   FROM r2),
-r4 AS (SELECT *,
-  coalesce(list_contains(keys, 'Error') OR list_contains(keys, 'error'), FALSE) AS has_error,
+r4 AS (SELECT * EXCLUDE (a0, s0, b0),
+  CASE WHEN {_strings('a0')} THEN a0 END AS areas, CASE WHEN {_strings('s0')} THEN s0 END AS scopes, CASE WHEN {_strings('b0')} THEN b0 END AS abilities,
+  (a0 IS NULL OR {_strings('a0')}) AND (s0 IS NULL OR {_strings('s0')}) AND (b0 IS NULL OR {_strings('b0')}) AS typed,
+  error IS NOT NULL AS has_error,
   coalesce(len(list_intersect(keys, ['Areas','Scopes','Abilities','Area','Scope','Ability','labels'])) > 0, FALSE) AS has_labels
   FROM r3),
 parsed AS (SELECT *,
@@ -121,9 +137,9 @@ def response_extract(spark, sf):
     return r.select("sample_id", P.extract_answer("response").alias("answer"))
 
 
-@query("pred_parse", f"WITH {_PARSE} SELECT sample_id, valid_json, error, areas, scopes, abilities FROM parsed", ("fx_responses",))
+@query("pred_parse", f"WITH {_PARSE} SELECT sample_id, valid_json, error, areas, scopes, abilities, typed FROM parsed", ("fx_responses",))
 def pred_parse(spark, sf):
-    return parsed(spark, sf).select("sample_id", "valid_json", "error", "areas", "scopes", "abilities")
+    return parsed(spark, sf).select("sample_id", "valid_json", "error", "areas", "scopes", "abilities", "typed")
 
 
 _CODES = ", ".join(f"'{c}'" for c in K.ERROR_CODES)
@@ -193,6 +209,7 @@ vv AS (
     CASE WHEN shape = 'no_response' THEN 'no_response' END,
     CASE WHEN shape = 'invalid' THEN 'invalid_json' END,
     CASE WHEN shape = 'not_object' THEN 'not_an_object' END,
+    CASE WHEN NOT typed THEN 'wrong_type' END,
     CASE WHEN valid_json AND has_error = has_labels THEN 'not_exclusive' END,
     CASE WHEN has_error AND NOT coalesce(error IN ({_CODES}), FALSE) THEN 'unknown_error' END,
     CASE WHEN has_labels AND NOT has_error AND (coalesce(json_array_length(areas), 0) < {_MIN['Area']}
@@ -223,3 +240,29 @@ def pred_verdicts(spark, sf):
 )
 def pred_report(spark, sf):
     return P.verdict_report(P.verdicts(parsed(spark, sf), vocab(spark, sf)))
+
+
+# ---- responses to clean labels, end to end ---------------------------------------------------
+_LONG = "lab AS (" + " UNION ALL ".join(
+    f"SELECT sample_id, '{d}' AS dim, unnest(from_json({c}, '[\"VARCHAR\"]')) AS term, "
+    f"unnest(range(json_array_length({c})::BIGINT)) AS pos FROM parsed WHERE {c} IS NOT NULL"
+    for d, c in zip(K.DIM_NAMES, ("areas", "scopes", "abilities"))
+) + ")"
+
+
+@query(
+    "pred_pipeline",
+    f"""WITH RECURSIVE {CONCEPT_CTES}, {_VOCAB}, {_PARSE}, {_LONG},
+    known AS (SELECT l.* FROM lab l JOIN vocab v ON v.term = l.term AND v.dim = l.dim),
+    dd AS (SELECT sample_id, dim, term, min(pos) AS pos FROM known GROUP BY sample_id, dim, term),
+    {_PRUNE}
+    SELECT p.sample_id, any_value(p.error) AS error, {_json_by_dim()} AS labels_json
+    FROM parsed p LEFT JOIN pruned c ON c.sample_id = p.sample_id GROUP BY p.sample_id""",
+    FR,
+)
+def pred_pipeline(spark, sf):
+    """Extract, parse, keep known terms of the right dimension, dedupe, prune, write again: a row per response."""
+    p = parsed(spark, sf)
+    known = P.long_labels(p).join(vocab(spark, sf), ["term", "dim"], "left_semi")
+    clean = P.clean_json(P.prune_ancestors(known, closure_names(spark, sf)), p.select("sample_id"))
+    return p.select("sample_id", "error").join(clean, "sample_id")

@@ -20,9 +20,11 @@ from labelgraph.plans.fixtures import fixture, register_tables
 from labelgraph.plans.q_samples import CHECK_CTES, entries, images
 from labelgraph.plans.q_ontology import _QA_FULL_SQL
 from labelgraph.plans.registry import CONCEPT_CTES, query, strip_sql
+from labelgraph.session import cut_lineage, scratch_path
+from labelgraph.sources.prompt import read_prompt
 
-# the stage-2 system prompt is an input file in practice; this one is ours
-PROMPT = "Classify the learning material in the image with terms from the ontology."
+# the stage-2 system prompt is an input file: the first benchmark text, written as a file and read back
+PROMPT_SQL = "(SELECT text || chr(10) FROM benchmark ORDER BY item_id LIMIT 1)"
 TRAIN_N = K.TEST_SAMPLES
 BATCH = 8
 EVERY = 10
@@ -33,6 +35,13 @@ def docs(spark, sf):
     return register_tables(spark, sf)["documents"]
 
 
+def prompt(spark, sf):
+    path = scratch_path(spark, "prompt")
+    first = register_tables(spark, sf)["benchmark"].orderBy("item_id").limit(1)
+    first.select("text").coalesce(1).write.text(path)
+    return F.lit(read_prompt(spark, path))
+
+
 def conv(spark, sf):
     return register_tables(spark, sf)["conversations"]
 
@@ -110,12 +119,12 @@ def chat_render_text(spark, sf):
 
 @query(
     "chat_render_mm",
-    f"""SELECT conv_id, turn, {_turn_sql('system', "'" + PROMPT + "'")} || {_turn_sql('user', _IMG)} || {_turn_sql('assistant', 'text')} AS text
+    f"""SELECT conv_id, turn, {_turn_sql('system', PROMPT_SQL)} || {_turn_sql('user', _IMG)} || {_turn_sql('assistant', 'text')} AS text
     FROM conversations WHERE role = 'assistant'""",
 )
 def chat_render_mm(spark, sf):
     a = conv(spark, sf).where("role = 'assistant'")
-    return a.select("conv_id", "turn", C.training_layout(F.lit(PROMPT), "text").alias("text"))
+    return a.select("conv_id", "turn", C.training_layout(prompt(spark, sf), "text").alias("text"))
 
 
 @query("chat_render_turns", "SELECT conv_id, turn, '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS segment FROM conversations")
@@ -137,19 +146,21 @@ def chat_render_infer(spark, sf):
 _TOK = f"""tk AS (SELECT doc_id, CASE WHEN {strip_sql('text')} = '' THEN []::VARCHAR[]
                 ELSE regexp_split_to_array({strip_sql('text')}, '{WS_CLASS}+') END AS tokens FROM documents),
 ids AS (SELECT doc_id, len(tokens) AS n_tokens,
-   list_transform(tokens[1:{K.MAX_LENGTH}], lambda t: (('0x' || substr(md5(t), 1, 8))::BIGINT % {T.VOCAB_SIZE - 1} + 1)::INTEGER) AS ids
+   list_transform(tokens, lambda t: (('0x' || substr(md5(t), 1, 8))::BIGINT % {T.VOCAB_SIZE - 1} + 1)::INTEGER) AS ids
    FROM tk),
-padded AS (SELECT doc_id, n_tokens, len(ids) AS n_real,
-   list_concat(ids, list_transform(range({K.MAX_LENGTH} - len(ids)), lambda x: 0)) AS input_ids,
-   list_concat(list_transform(range(len(ids)), lambda x: 1), list_transform(range({K.MAX_LENGTH} - len(ids)), lambda x: 0)) AS mask
-   FROM ids)"""
+cut AS (SELECT doc_id, n_tokens, ids[1:{K.MAX_LENGTH}] AS t FROM ids),
+padded AS (SELECT doc_id, n_tokens, len(t) AS n_real,
+   list_concat(t, list_transform(range({K.MAX_LENGTH} - len(t)), lambda x: 0)) AS input_ids,
+   list_concat(list_transform(range(len(t)), lambda x: 1), list_transform(range({K.MAX_LENGTH} - len(t)), lambda x: 0)) AS mask
+   FROM cut)"""
 
 
 def _tokenised(spark, sf):
     d = docs(spark, sf).select("doc_id", ws_tokens("text").alias("tokens"))
-    d = d.select("doc_id", F.size("tokens").alias("n_tokens"), T.hashed_ids(F.slice("tokens", 1, K.MAX_LENGTH)).alias("ids"))
+    d = d.select("doc_id", F.size("tokens").alias("n_tokens"), T.hashed_ids("tokens").alias("ids"))
     input_ids, mask = T.truncate_pad("ids")
-    return d.select("doc_id", "n_tokens", F.size("ids").alias("n_real"), input_ids.alias("input_ids"), mask.alias("mask"), "ids")
+    n_real = F.least(F.size("ids"), F.lit(K.MAX_LENGTH))
+    return d.select("doc_id", "n_tokens", n_real.alias("n_real"), input_ids.alias("input_ids"), mask.alias("mask"), "ids")
 
 
 @query(
@@ -175,13 +186,14 @@ def tok_labels(spark, sf):
 
 @query(
     "tok_batch_pad",
-    f"""WITH {_TOK}, b AS (SELECT doc_id, doc_id // {BATCH} AS batch, len(ids) AS n FROM ids)
-    SELECT doc_id, batch, CAST(max(n) OVER (PARTITION BY batch) AS INTEGER) AS batch_len, CAST(max(n) OVER (PARTITION BY batch) AS INTEGER) AS padded_len FROM b""",
+    f"""WITH {_TOK}, b AS (SELECT doc_id, doc_id // {BATCH} AS batch, ids, max(len(ids)) OVER (PARTITION BY doc_id // {BATCH}) AS n FROM ids)
+    SELECT doc_id, batch, CAST(n AS INTEGER) AS batch_len,
+      array_to_string(list_concat(ids, list_transform(range(n - len(ids)), lambda x: 0)), ' ') AS padded FROM b""",
 )
 def tok_batch_pad(spark, sf):
     t = _tokenised(spark, sf)
     p = T.batch_longest_pad(t, "ids", "doc_id", BATCH)
-    return p.select("doc_id", "batch", "batch_len", F.size("padded").alias("padded_len"))
+    return p.select("doc_id", "batch", "batch_len", F.array_join("padded", " ").alias("padded"))
 
 
 _ACC_SQL = """SELECT count(*) FILTER (WHERE label <> -100 AND pred = label) AS n_correct,
@@ -250,16 +262,19 @@ _RAFT = f"""WITH src_entries AS (SELECT meta_path, pos, entry FROM fx_entries),
 rdefs AS (SELECT name AS term, min(text) AS definition FROM ctext WHERE length(text) > 0 GROUP BY name),
 idx AS (SELECT term, definition, row_number() OVER (ORDER BY term) - 1 AS idx FROM rdefs),
 cc AS (SELECT count(*) AS c FROM rdefs),
-lj AS (SELECT meta_path AS sample, labels_json, from_json(labels_json, '{{"Areas":["VARCHAR"],"Scopes":["VARCHAR"],"Abilities":["VARCHAR"]}}') AS l
+lj AS (SELECT meta_path || '#' || pos AS sample, labels_json, from_json(labels_json, '{{"Areas":["VARCHAR"],"Scopes":["VARCHAR"],"Abilities":["VARCHAR"]}}') AS l
        FROM accepted WHERE starts_with(labels_json, '{{')),
 lab AS (
   SELECT sample, 'Area' AS dim, unnest(l.Areas) AS term FROM lj
   UNION ALL SELECT sample, 'Scope', unnest(l.Scopes) FROM lj
   UNION ALL SELECT sample, 'Ability', unnest(l.Abilities) FROM lj),
 per AS (SELECT sample, count(DISTINCT term) AS n_labels FROM lab WHERE term IS NOT NULL GROUP BY sample),
+p1 AS (SELECT c, CAST({K.STRIDE_PRIME} % c AS HUGEINT) AS s1 FROM cc),
+p3 AS (SELECT c, s1, (s1 * s1) % c AS s2, ((s1 * s1) % c * s1) % c AS s3 FROM p1),
+strides AS (SELECT c, CAST([s1, s2, s3, (s3 * s1) % c] AS BIGINT[]) AS s FROM p3),
 draws AS (SELECT p.sample, {_h32('p.sample')} % cc.c AS b,
-   list_extract([{', '.join(str(p) for p in K.STRIDE_PRIMES)}], ({_h32("'stride'", 'p.sample')} % {len(K.STRIDE_PRIMES)} + 1)::INTEGER) % cc.c AS a,
-   cc.c AS c, unnest(range(least(cc.c, p.n_labels + 3))) AS j FROM per p, cc),
+   list_extract(cc.s, ({_h32("'stride'", 'p.sample')} % {K.STRIDES} + 1)::INTEGER) AS a,
+   cc.c AS c, unnest(range(least(cc.c, p.n_labels + 3))) AS j FROM per p, strides cc),
 cand AS (SELECT d.sample, d.j, i.term, i.definition FROM draws d JOIN idx i ON (d.b + d.j * d.a) % d.c = i.idx
    WHERE NOT EXISTS (SELECT 1 FROM lab l WHERE l.sample = d.sample AND l.term = i.term)),
 distract AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sample ORDER BY j) AS r FROM cand) WHERE r <= 3)
@@ -268,9 +283,9 @@ distract AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sample ORD
 
 def _raft_inputs(spark, sf):
     acc, _ = S.accept_and_reject(entries(spark, sf), images(spark, sf))
-    acc = acc.where(F.startswith("labels_json", F.lit("{")))
+    acc = cut_lineage(acc.where(F.startswith("labels_json", F.lit("{"))).select("meta_path", "pos", "labels_json"), "raft-accepted")
     schema = "struct<Areas: array<string>, Scopes: array<string>, Abilities: array<string>>"
-    lj = acc.select(F.col("meta_path").alias("sample"), F.from_json("labels_json", schema).alias("l"), F.col("labels_json").alias("answer"))
+    lj = acc.select(F.concat_ws("#", "meta_path", "pos").alias("sample"), F.from_json("labels_json", schema).alias("l"), F.col("labels_json").alias("answer"))
     labels = P.long_form(lj, "sample", {d: F.col("l")[key] for d, key in zip(K.DIM_NAMES, K.LABEL_KEYS)})
     t = fixture(spark, sf, "fx_triples")
     ct = O.concept_text(t, O.Vocab.bare()).where(F.length("text") > 0)
@@ -309,7 +324,7 @@ def raft_samples(spark, sf):
 
 
 # ---- curriculum and stage-2 dataset -----------------------------------------------------------------
-_SYS = _turn_sql("system", "'" + PROMPT + "'")
+_SYS = _turn_sql("system", PROMPT_SQL)
 
 
 @query(
@@ -325,25 +340,33 @@ def curriculum(spark, sf):
     qa = Q.qa_full(fixture(spark, sf, "fx_triples"), O.Vocab.bare())
     s1 = qa.select(F.concat_ws("|", "part", "key").alias("key"), C.two_turn_text("instruction", "output").alias("text"))
     smp = S.training_samples(entries(spark, sf), images(spark, sf))
-    s2 = smp.select(F.col("id").alias("key"), C.training_layout(F.lit(PROMPT), smp.conversations[1]["value"]).alias("text"))
+    s2 = smp.select(F.col("id").alias("key"), C.training_layout(prompt(spark, sf), smp.conversations[1]["value"]).alias("text"))
     return SP.curriculum(s1, s2)
 
 
 @query(
     "chat_dataset",
     f"""WITH src_entries AS (SELECT meta_path, pos, entry FROM fx_entries), {CHECK_CTES},
-    sp AS (SELECT id, labels_json, CASE WHEN {_b1000('id')} < 100 THEN 'eval' ELSE 'train' END AS split FROM samples),
-    rk AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY {_s48('id')}, id) AS rn FROM sp)
-    SELECT id, split, {_SYS} || {_turn_sql('user', _IMG)} || {_turn_sql('assistant', 'labels_json')} AS text FROM rk
-    WHERE (split = 'train' AND rn <= {TRAIN_N}) OR (split = 'eval' AND rn <= {SP.eval_cap(TRAIN_N)})""",
+    sp AS (SELECT id, image, labels_json, CASE WHEN {_b1000('id')} < 100 THEN 'eval' ELSE 'train' END AS split FROM samples)
+    SELECT id, image, split, {_SYS} || {_turn_sql('user', _IMG)} || {_turn_sql('assistant', 'labels_json')} AS text FROM sp""",
     ("fx_entries", "fx_images"),
 )
 def chat_dataset(spark, sf):
     smp = S.training_samples(entries(spark, sf), images(spark, sf))
-    smp = SP.split_hash(smp.select("id", smp.conversations[1]["value"].alias("answer")), "id", SEED)
-    order = [SP.score48("id", seed=SEED), F.col("id")]
-    tr = SP.first_n(smp.where("split = 'train'"), TRAIN_N, order)
-    ev = SP.first_n(smp.where("split = 'eval'"), SP.eval_cap(TRAIN_N), order)
-    both = tr.unionByName(ev)
-    return both.select("id", "split", C.training_layout(F.lit(PROMPT), "answer").alias("text"))
+    smp = SP.split_hash(smp.select("id", "image", smp.conversations[1]["value"].alias("answer")), "id", SEED)
+    return smp.select("id", "image", "split", C.training_layout(prompt(spark, sf), "answer").alias("text"))
+
+
+_TURN_TEXT = "'<|im_start|>' || CASE t.\"from\" WHEN 'human' THEN 'user' ELSE 'assistant' END || chr(10) || t.value || '<|im_end|>' || chr(10)"
+
+
+@query(
+    "chat_render_array",
+    f"""WITH src_entries AS (SELECT meta_path, pos, entry FROM fx_entries), {CHECK_CTES}
+    SELECT id, array_to_string(list_transform(conversations, lambda t: {_TURN_TEXT}), '') AS text FROM samples""",
+    ("fx_entries", "fx_images"),
+)
+def chat_render_array(spark, sf):
+    smp = S.training_samples(entries(spark, sf), images(spark, sf))
+    return smp.select("id", C.render_turns("conversations").alias("text"))
 

@@ -62,7 +62,7 @@ e3 AS (
   SELECT *,
     CASE WHEN NOT ok_json THEN 'bad_json' WHEN NOT is_obj THEN 'not_an_object'
          WHEN NOT (has_image AND has_labels) THEN 'missing_field'
-         WHEN rel IS NULL OR rel = '' OR starts_with(ltrim(rel), '{{') OR starts_with(ltrim(rel), '[') THEN 'bad_image' END AS reason
+         WHEN rel IS NULL OR rel = '' OR json_type(entry, '$.questionImage') <> 'VARCHAR' THEN 'bad_image' END AS reason
   FROM e2),
 checked AS (
   SELECT meta_path, pos, reason,
@@ -230,6 +230,4 @@ SELECT reason, count(*) AS n FROM all_rejects GROUP BY reason
 @query("entries_reject_report", _REPORT_SQL, FM)
 def entries_reject_report(spark, sf):
     ex = explode_entries(meta_files(spark, sf))
-    ok = ex.where(F.col("file_reason").isNull()).select("meta_path", "pos", "entry")
-    acc, rej = S.accept_and_reject(ok, images(spark, sf), from_valid_file=True)
-    return S.reject_report(rej.unionByName(S.file_rejects(ex)), acc)
+    return S.reject_report(S.outcomes(ex, images(spark, sf), from_valid_file=True))

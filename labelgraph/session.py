@@ -40,7 +40,6 @@ def local_session(
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("LABELGRAPH_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.sql.variant.allowDuplicateKeys", "true")
     )
     builder = builder.config(CHECKPOINT_CONF, checkpoint_dir or tempfile.mkdtemp(prefix="labelgraph-ckpt-"))
     if event_log_dir:
@@ -56,7 +55,7 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     path = sc.getConf().get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if not path:
-        if not sc.master.startswith("local"):
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             raise RuntimeError(
                 f"{CHECKPOINT_CONF} is not set: on a cluster it must name a folder every executor can "
                 "read (DFS or object store); labelgraph writes checkpoints and intermediate tables there"
@@ -70,10 +69,27 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared folder (for written intermediate tables)."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_run_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder; survives executor loss (never local)."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def _run_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/labelgraph-{spark.sparkContext.applicationId}"
+
+
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as Parquet into the shared folder and read it back: lineage ends in files that
+    every executor can read, and later scans keep column pruning, filters and statistics.
+
+    :func:`cleanup` deletes what a session wrote.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def cleanup(spark: SparkSession) -> None:
+    """Delete every intermediate table this application wrote below the shared folder."""
+    root = _run_dir(spark)
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

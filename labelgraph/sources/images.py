@@ -1,5 +1,9 @@
 """Image listing (SRC-07) for existence tests: ``binaryFile`` with the content column pruned,
-so only file metadata is read."""
+so only file metadata is read, or a manifest table of paths.
+
+Listing files builds Spark's file index on the driver; for very many images keep a manifest
+(one row per file, written by whatever stores the images) and read that instead.
+"""
 
 from __future__ import annotations
 
@@ -9,7 +13,16 @@ from pyspark.sql import functions as F
 from labelgraph.sources.paths import qualified_root, relative_to_root
 
 
-def list_images(spark: SparkSession, root: str, pattern: str = "*.{png,jpg,jpeg}") -> DataFrame:
-    """``(path, length)`` with ``path`` relative to ``root``'s parent, prefixed by its last element."""
-    df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(qualified_root(root))
+def list_images(spark: SparkSession, root: str, pattern: str | None = None) -> DataFrame:
+    """``(path, length)`` of every file below ``root`` (any name, unless ``pattern`` is given);
+    ``path`` is relative to ``root``'s parent, prefixed by its last element."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if pattern is not None:
+        reader = reader.option("pathGlobFilter", pattern)
+    df = reader.load(qualified_root(root))
     return df.select(relative_to_root(F.col("path"), root).alias("path"), "length")
+
+
+def read_manifest(spark: SparkSession, path: str, column: str = "path") -> DataFrame:
+    """Image table ``(path)`` from a Parquet manifest; nothing is listed."""
+    return spark.read.parquet(path).select(F.col(column).alias("path"))

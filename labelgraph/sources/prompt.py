@@ -9,15 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-MAX_PROMPT_BYTES = 1 << 20
-
-
 def read_prompt(spark: SparkSession, path: str) -> str:
-    """Whole text of the prompt file at ``path`` (refuses files over 1 MiB)."""
+    """Whole text of the one prompt file at ``path``."""
     rows = spark.read.text(path, wholetext=True).limit(2).collect()
     if len(rows) != 1:
         raise ValueError(f"expected exactly one prompt file at {path}, found {len(rows)}")
-    text = rows[0][0]
-    if len(text.encode("utf-8")) > MAX_PROMPT_BYTES:
-        raise ValueError("prompt file larger than 1 MiB")
-    return text
+    return rows[0][0]

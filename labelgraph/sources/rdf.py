@@ -1,16 +1,11 @@
-"""RDF/XML triple scan (SRC-01) and writer, on Spark's built-in XML source.
-
-Flat ``rdf:Description`` serialisation: each block is one row (``rowTag``); attributes
-``rdf:about`` / ``rdf:nodeID`` name the subject, child elements are predicates. The schema is
-declared, never inferred: the caller lists the predicate elements to load and their kind
-(only those columns are parsed, so this is also the projection). Kinds:
-
-* ``literal``: text content (``ARRAY<STRING>``; a struct here makes the reader drop the row),
-* ``ref``: ``rdf:resource`` or ``rdf:nodeID`` attribute,
-* ``typed``: text plus ``rdf:datatype``.
-
-All predicates of a block are turned into triples with one ``explode`` of a concatenated
-array: one scan, no shuffle. A graph is a set, so ``distinct`` is applied on (s, p, o, o_kind).
+"""RDF/XML triple scan (SRC-01) and writer.
+
+Flat ``rdf:Description`` serialisation. The file is read as text rows that end with
+``</rdf:Description>``, so one large file is split over tasks like any text; each row holds one
+block. Attributes ``rdf:about`` / ``rdf:nodeID`` name the subject, every child element is a triple:
+``rdf:resource`` and ``rdf:nodeID`` give references, anything else is a literal with an optional
+``rdf:datatype``. All predicates are read; a caller may restrict them. One scan, no shuffle, but for
+``distinct`` on (s, p, o, o_kind), since a graph is a set.
 """
 
 from __future__ import annotations
@@ -25,10 +20,10 @@ OWL_NS = "http://www.w3.org/2002/07/owl#"
 XSD_NS = "http://www.w3.org/2001/XMLSchema#"
 DEFAULT_PREFIXES = {"rdf": RDF_NS, "rdfs": RDFS_NS, "owl": OWL_NS, "xsd": XSD_NS}
 
-_REF = T.ArrayType(T.StructType([T.StructField("_rdf:resource", T.StringType()), T.StructField("_rdf:nodeID", T.StringType())]))
-_TYPED = T.ArrayType(T.StructType([T.StructField("_VALUE", T.StringType()), T.StructField("_rdf:datatype", T.StringType())]))
-_KINDS = {"literal": T.ArrayType(T.StringType()), "ref": _REF, "typed": _TYPED}
-_OUT = "struct<p:string,o:string,o_kind:string,o_datatype:string,pos:int>"
+# an attribute list, a child element (name, attributes, content) and one attribute's value
+_ATTRS = r"""((?:[^>"']|"[^"]*"|'[^']*')*)"""
+_BLOCK = r"(?s).*<rdf:Description\b" + _ATTRS + r">(.*)$"
+_CHILD = r"""(?s)<([A-Za-z_][\w.-]*(?::[\w.-]+)?)((?:[^>"'/]|/(?!>)|"[^"]*"|'[^']*')*)(?:/>|>(.*?)</\1\s*>)"""
 
 
 def expand(qname: str, prefixes: dict[str, str]) -> str:
@@ -40,26 +35,17 @@ def expand(qname: str, prefixes: dict[str, str]) -> str:
     return qname
 
 
-def description_schema(predicates: dict[str, str]) -> T.StructType:
-    fields = [T.StructField("_rdf:about", T.StringType()), T.StructField("_rdf:nodeID", T.StringType())]
-    fields += [T.StructField(name, _KINDS[kind]) for name, kind in predicates.items()]
-    return T.StructType(fields)
+def _unescape(c: Column) -> Column:
+    """XML text as its reader gives it; only text with entities is parsed."""
+    plain = F.regexp_replace(c, "\r\n?", "\n")
+    parsed = F.from_xml(F.concat(F.lit("<x>"), c, F.lit("</x>")), "struct<_VALUE:string>", {"ignoreSurroundingSpaces": "false"})
+    return F.when(F.instr(c, "&") > 0, parsed["_VALUE"]).otherwise(plain)
 
 
-def _entries(name: str, kind: str, iri: str) -> Column:
-    c = F.col(f"`{name}`")
-    if kind == "literal":
-        f = lambda x, i: F.struct(F.lit(iri).alias("p"), x.alias("o"), F.lit("literal").alias("o_kind"), F.lit(None).cast("string").alias("o_datatype"), i.alias("pos"))
-    elif kind == "typed":
-        f = lambda x, i: F.struct(F.lit(iri).alias("p"), x["_VALUE"].alias("o"), F.lit("literal").alias("o_kind"), x["_rdf:datatype"].alias("o_datatype"), i.alias("pos"))
-    else:
-
-        def f(x, i):
-            is_bnode = x["_rdf:resource"].isNull() & x["_rdf:nodeID"].isNotNull()
-            o = F.when(is_bnode, F.concat(F.lit("_:"), x["_rdf:nodeID"])).otherwise(x["_rdf:resource"])
-            return F.struct(F.lit(iri).alias("p"), o.alias("o"), F.when(is_bnode, "bnode").otherwise("iri").alias("o_kind"), F.lit(None).cast("string").alias("o_datatype"), i.alias("pos"))
-
-    return F.coalesce(F.transform(c, f), F.array().cast(f"array<{_OUT}>"))
+def _attribute(attrs: Column, name: str) -> Column:
+    """The attribute's value, null when it isn't there."""
+    quoted = F.regexp_extract(attrs, rf"""(?s)\b{name}\s*=\s*("[^"]*"|'[^']*')""", 1)
+    return F.when(quoted != F.lit(""), _unescape(F.substr(quoted, F.lit(2), F.length(quoted) - 2)))
 
 
 TRIPLE_SCHEMA = "s string, p string, o string, o_kind string, o_datatype string, pos int"
@@ -68,33 +54,42 @@ TRIPLE_SCHEMA = "s string, p string, o string, o_kind string, o_datatype string,
 def scan_rdfxml(
     spark: SparkSession,
     path: str,
-    predicates: dict[str, str],
+    predicates: dict[str, str] | list[str] | None = None,
     prefixes: dict[str, str] | None = None,
     distinct: bool = True,
     missing_ok: bool = True,
 ) -> DataFrame:
     """Read RDF/XML into the triple table ``(s, p, o, o_kind, o_datatype, pos)``.
 
-    ``predicates`` maps element names (``prefix:local``) to a kind; ``prefixes`` expands them
-    (defaults: rdf, rdfs, owl, xsd). ``pos`` is the position among same-predicate elements.
-    A missing path gives an empty table when ``missing_ok`` (the original prints and stops).
+    Every child element is read; ``predicates`` (``prefix:local`` names) restricts them.
+    ``prefixes`` expands names (defaults: rdf, rdfs, owl, xsd). ``pos`` is the element's position in
+    its block. A missing path gives an empty table when ``missing_ok`` (the original prints and stops).
     """
     pre = {**DEFAULT_PREFIXES, **(prefixes or {})}
     try:
-        raw = (
-            spark.read.format("xml")
-            .option("rowTag", "rdf:Description")
-            .option("ignoreSurroundingSpaces", "false")
-            .schema(description_schema(predicates))
-            .load(path)
-        )
+        raw = spark.read.option("lineSep", "</rdf:Description>").text(path)
     except Exception as e:  # noqa: BLE001  (PATH_NOT_FOUND is an AnalysisException)
         if missing_ok and "PATH_NOT_FOUND" in str(e):
             return spark.createDataFrame([], TRIPLE_SCHEMA)
         raise
-    subject = F.coalesce(F.col("`_rdf:about`"), F.concat(F.lit("_:"), F.col("`_rdf:nodeID`")))
-    parts = F.concat(*[_entries(n, k, expand(n, pre)) for n, k in predicates.items()])
-    t = raw.select(subject.alias("s"), F.explode(parts).alias("t")).select("s", "t.*").where(F.col("o").isNotNull())
+    text = F.regexp_replace("value", r"(?s)<!--.*?-->", "")
+    blocks = raw.select(F.regexp_extract(text, _BLOCK, 1).alias("head"), F.regexp_extract(text, _BLOCK, 2).alias("body")).where("head <> ''")
+    subject = F.coalesce(_attribute(F.col("head"), "rdf:about"), F.concat(F.lit("_:"), _attribute(F.col("head"), "rdf:nodeID")))
+    parts = [F.regexp_extract_all("body", F.lit(_CHILD), F.lit(i)).alias(n) for i, n in ((1, "name"), (2, "attrs"), (3, "inner"))]
+    rows = blocks.select(subject.alias("s"), F.posexplode(F.arrays_zip(*parts)).alias("pos", "e")).select("s", "pos", "e.*")
+    if predicates is not None:
+        rows = rows.where(F.col("name").isin(*predicates))
+    rows = rows.select(
+        "s", "pos", "name", "inner", *[_attribute(F.col("attrs"), f"rdf:{a}").alias(a) for a in ("resource", "nodeID", "datatype")]
+    )
+    prefix, local = F.substring_index("name", ":", 1), F.substring_index("name", ":", -1)
+    iri = F.col("name")
+    for name, full in pre.items():
+        iri = F.when((prefix == F.lit(name)) & F.contains("name", F.lit(":")), F.concat(F.lit(full), local)).otherwise(iri)
+    o = F.coalesce("resource", F.concat(F.lit("_:"), F.col("nodeID")), _unescape(F.col("inner")))
+    kind = F.when(F.col("resource").isNotNull(), "iri").when(F.col("nodeID").isNotNull(), "bnode").otherwise("literal")
+    t = rows.select("s", iri.alias("p"), o.alias("o"), kind.alias("o_kind"), F.col("datatype").alias("o_datatype"), "pos")
+    t = t.where("s is not null and o is not null")
     return t.dropDuplicates(["s", "p", "o", "o_kind"]) if distinct else t
 
 

@@ -11,9 +11,10 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from labelgraph.session import local_session, shared_dir
+    from labelgraph.session import cleanup, local_session, shared_dir
 
     s = local_session(4, shuffle_partitions=8, app="labelgraph-tests")
     shared_dir(s)
     yield s
+    cleanup(s)
     s.stop()

@@ -91,7 +91,8 @@ def test_meta_scan_and_images(spark):
     paths = sorted(r.meta_path for r in files.collect())
     assert paths == ["data/w/sub/meta.json", "data/x/meta.json", "data/y/meta.json", "data/z/meta.json"]
     listed = sorted(r.path for r in imgs.collect())
-    assert "data/img/7.png" in listed and len(listed) == 6
+    assert "data/img/7.png" in listed and len(listed) == 11  # any file counts, whatever its name
+    assert list_images(spark, os.path.join(DATA, "tree", "data"), "*.png").count() == 6
 
 
 def test_relative_root(spark):
@@ -105,9 +106,8 @@ def test_build_with_rejects(spark):
     files, imgs = _tree(spark)
     ex = explode_entries(files)
     ok = ex.where(F.col("file_reason").isNull()).select("meta_path", "pos", "entry")
-    acc, rej = S.accept_and_reject(ok, imgs, from_valid_file=True)
-    rej = rej.unionByName(S.file_rejects(ex))
-    report = {r.reason: r.n for r in S.reject_report(rej, acc).collect()}
+    acc, rej = S.accept_and_reject(ex, imgs, from_valid_file=True)
+    report = {r.reason: r.n for r in S.reject_report(S.outcomes(ex, imgs, from_valid_file=True)).collect()}
     assert report == {
         "accepted": 5,
         "bad_json": 1,
@@ -166,3 +166,86 @@ def test_stream_ingest_only_new_files(spark):
     per_batch = {r.batch_id: r.n for r in acc.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n")).collect()}
     assert sorted(per_batch.values()) == [2, 3]  # second run saw only the new file
     assert acc.select("id").distinct().count() == 5
+
+
+def test_stream_ingest_waits_for_images(spark):
+    from labelgraph.streaming.ingest import start_ingest
+
+    work = tempfile.mkdtemp(prefix="lg-wait-")
+    root, out = os.path.join(work, "data"), os.path.join(work, "out")
+    os.makedirs(os.path.join(root, "a"))
+    with open(os.path.join(root, "a", "meta.json"), "w") as f:
+        f.write('[{"questionImage":"1.png","labels":1},{"questionImage":"2.png","labels":2}]')
+
+    def images():
+        return list_images(spark, root)
+
+    start_ingest(spark, root, images, out, os.path.join(work, "ck")).awaitTermination(120)
+    assert spark.read.parquet(out + "/accepted").count() == 0
+    with open(os.path.join(root, "a", "2.png"), "w") as f:
+        f.write("x")
+    os.makedirs(os.path.join(root, "b"))
+    with open(os.path.join(root, "b", "meta.json"), "w") as f:
+        f.write("[")
+    start_ingest(spark, root, images, out, os.path.join(work, "ck")).awaitTermination(120)
+    assert [r.image for r in spark.read.parquet(out + "/accepted").collect()] == ["data/a/2.png"]
+    assert spark.read.parquet(out + "/pending/batch_id=1").count() == 1
+    assert [r.reason for r in spark.read.parquet(out + "/rejected").collect()] == ["bad_json"]
+
+
+def test_odd_names_and_values(spark):
+    """Folders with spaces and other characters, any image name, labels of any JSON type, repeated keys."""
+    root = os.path.join(tempfile.mkdtemp(prefix="lg-odd-"), "data")
+    entries = [
+        {"questionImage": "2.PNG", "labels": {"Areas": []}},
+        {"questionImage": "3.gif", "labels": "text label"},
+        {"questionImage": "[5].png", "labels": ""},
+        {"questionImage": "{6}.webp", "labels": 5},
+        {"questionImage": ["2.PNG"], "labels": None},
+        {"questionImage": 7, "labels": None},
+    ]
+    for folder in ("a b", "é+c%20", "plain"):
+        os.makedirs(os.path.join(root, folder))
+        for name in ("2.PNG", "3.gif", "[5].png", "{6}.webp"):
+            open(os.path.join(root, folder, name), "w").write("x")
+        body = json.dumps(entries)[:-1] + ', {"labels": 1, "questionImage": "no.png", "labels": {"x": 1}, "questionImage": "2.PNG"}]'
+        with open(os.path.join(root, folder, "meta.json"), "w", encoding="utf-8") as f:
+            f.write(body)
+    ex = explode_entries(scan_meta_files(spark, root))
+    rows = S.outcomes(ex, list_images(spark, root), from_valid_file=True).collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r.meta_path, {})[r.pos] = (r.outcome, r.labels_json)
+    assert set(by) == {"data/a b/meta.json", "data/é+c%20/meta.json", "data/plain/meta.json"}
+    for got in by.values():
+        assert [got[i][0] for i in range(7)] == ["accepted"] * 4 + ["bad_image"] * 2 + ["accepted"]
+        assert [got[i][1] for i in (0, 1, 2, 3, 6)] == ['{"Areas":[]}', '"text label"', '""', "5", '{"x":1}']
+
+
+def test_rdf_scan_splits_one_file_and_keeps_all_predicates(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="lg-rdf-"), "big.rdf")
+    with open(path, "w", encoding="utf-8") as f:
+        f.write('<?xml version="1.0"?>\n<rdf:RDF xmlns:rdf="x" xmlns:z="y">\n')
+        for i in range(4000):
+            f.write(f'<rdf:Description rdf:about="urn:{i}"><z:label>a &lt; {i} > b</z:label><z:to rdf:resource=\'urn:x&amp;{i}\'/></rdf:Description>\n')
+        f.write("</rdf:RDF>\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        t = scan_rdfxml(spark, path, prefixes={"z": "urn:z#"}, distinct=False)
+        assert t.rdd.getNumPartitions() > 1
+        assert t.count() == 8000
+        row = t.where("s = 'urn:7' and o_kind = 'literal'").first()
+        assert (row.p, row.o) == ("urn:z#label", "a < 7 > b")
+        assert t.where("s = 'urn:7' and o_kind = 'iri'").first().o == "urn:x&7"
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_prompt_of_any_size(spark):
+    from labelgraph.sources.prompt import read_prompt
+
+    path = os.path.join(tempfile.mkdtemp(prefix="lg-prompt-"), "p.txt")
+    with open(path, "w", encoding="utf-8") as f:
+        f.write("é" * (1 << 20))
+    assert len(read_prompt(spark, path)) == 1 << 20

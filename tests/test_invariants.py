@@ -26,9 +26,15 @@ def test_split_is_partition(spark):
 
 def test_smallest_k_exact_with_ties(spark):
     df = spark.range(0, 5000).withColumn("score", (F.col("id") % 7).cast("long"))
-    for k in (1, 10, 714, 715, 4999, 5000):
-        cond = SP.smallest_k_condition(df, F.col("score"), F.col("id"), k)
-        assert df.where(cond).count() == k
+    for k in (0, 1, 714, 715, 5000):
+        got = SP.mark_smallest(df, F.col("score"), k, ["id"], "low")
+        assert got.count() == 5000 and got.where("low").count() == k
+
+
+def test_split_exact_on_repeated_and_null_keys(spark):
+    df = spark.range(0, 100).select(F.when(F.col("id") % 5 > 0, F.col("id") % 5).alias("key"))
+    got = SP.split_exact(df, "key")
+    assert got.count() == 100 and got.where("split = 'eval'").count() == 10
 
 
 def test_sequence_number_dense_and_grouped(spark):
@@ -75,11 +81,59 @@ def test_distractors_exact_count(spark):
     assert d.join(labels, ["sample", "term"], "left_semi").count() == 0
 
 
-def test_smallest_k_many_ties_distributed(spark, monkeypatch):
-    monkeypatch.setattr(SP, "MAX_TIES_TO_DRIVER", 10)
-    df = spark.range(0, 3000).withColumn("score", F.lit(5).cast("long"))
-    for k in (1, 999, 3000):
-        assert df.where(SP.smallest_k_condition(df, F.col("score"), F.col("id"), k)).count() == k
+def test_prune_keeps_cycles_and_dimensions(spark):
+    closure = spark.createDataFrame(
+        [("Area", "a", "b"), ("Area", "b", "a"), ("Area", "c", "a"), ("Scope", "x", "y")], "dim string, child string, ancestor string"
+    )
+    labels = spark.createDataFrame(
+        [(1, "Area", "a", 0), (1, "Area", "b", 1), (2, "Area", "c", 0), (2, "Area", "a", 1), (3, "Area", "x", 0), (3, "Area", "y", 1)],
+        "sample_id int, dim string, term string, pos int",
+    )
+    got = sorted((r.sample_id, r.term) for r in P.prune_ancestors(labels, closure).collect())
+    assert got == [(1, "a"), (1, "b"), (2, "c"), (3, "x"), (3, "y")]
+
+
+def test_clean_json_keeps_samples_without_labels(spark):
+    labels = spark.createDataFrame([(1, "Area", "a", 0)], "sample_id int, dim string, term string, pos int")
+    got = {r.sample_id: r.labels_json for r in P.clean_json(labels, spark.createDataFrame([(1,), (2,)], "sample_id int")).collect()}
+    assert got == {1: '{"Areas":["a"],"Scopes":[],"Abilities":[]}', 2: '{"Areas":[],"Scopes":[],"Abilities":[]}'}
+
+
+def test_null_error_and_wrong_types(spark):
+    answers = [
+        '{"error": null, "labels": {"Areas": ["A"], "Scopes": [], "Abilities": ["B"]}}',
+        '{"Areas": "A", "Scopes": {}, "Abilities": 5}',
+        '{"Areas": [1], "Scopes": ["x"]}',
+    ]
+    df = spark.createDataFrame(list(enumerate(answers)), "sample_id int, answer string")
+    p = {r.sample_id: r for r in P.parse_response(df).collect()}
+    assert p[0].shape == "nested" and not p[0].has_error and p[0].typed and p[0].areas == '["A"]'
+    assert not p[1].typed and (p[1].areas, p[1].scopes, p[1].abilities) == (None, None, None)
+    assert not p[2].typed and p[2].areas is None and p[2].scopes == '["x"]'
+
+
+def test_cardinality_reports_subjects_without_targets(spark):
+    targets = spark.createDataFrame([("s1", "t1")], "subject string, term string")
+    types = spark.createDataFrame([("t1", "Area")], "term string, class string")
+    subjects = spark.createDataFrame([("s1",), ("s2",)], "subject string")
+    got = G.cardinality_violations(targets, types, [("Area", 1, 1)], subjects).collect()
+    assert [(r.subject, r.n) for r in got] == [("s2", 0)]
+
+
+def test_batch_classify_with_string_keys(spark):
+    from labelgraph.operators.batch import batch_classify
+
+    df = spark.createDataFrame([("sample_000000", "x")], "sample_id string, text string")
+    assert batch_classify(df, lambda: lambda s: s.str.upper()).first() == ("sample_000000", "X")
+
+
+def test_strides_are_coprime():
+    from math import gcd
+
+    from labelgraph.operators.raft import strides
+
+    for c in (1, 2, 6, 97, 30030, 2**40):
+        assert all(gcd(a, c) == 1 for a in strides(c))
 
 
 def test_chunked_range_matches_sequence(spark):

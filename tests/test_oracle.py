@@ -10,9 +10,10 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from labelgraph.plans.catalog import ORACLE, QUERIES
 from labelgraph.plans.fixtures import TABLES
 
-KEYS = sorted(E.oracle_sql())
+KEYS = sorted(ORACLE)
 
 
 def _norm(v):
@@ -65,6 +66,6 @@ def test_entry_runs(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("key", sorted(set(E.queries()) - set(E.oracle_sql())))
+@pytest.mark.parametrize("key", sorted(set(QUERIES) - set(ORACLE)))
 def test_rows_only_keys_run(spark, key):
     assert E.queries()[key](spark, SF_SMALL).count() >= 0

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 from conftest import SF_SMALL
 from labelgraph.operators.sequence import sequence_number
+from labelgraph.plans.catalog import QUERIES
 from labelgraph.plans.fixtures import fixture
 
 
@@ -13,7 +14,7 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_no_cross_or_nested_loop_join(spark, key):
     p = plan_of(E.queries()[key](spark, SF_SMALL))
     assert "CartesianProduct" not in p
