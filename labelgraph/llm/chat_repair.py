@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from labelgraph.llm.common import stored, task_count
+from labelgraph.llm.common import stored, task_count, tidy
 
 ROLES = ("system", "user", "assistant")
 #: Costs of the repairs. A role that is none of ROLES has to be relabelled, which costs less.
@@ -162,7 +162,7 @@ def repair_conversations(turns: DataFrame, conv: str = "conv_id", turn: str = "t
 
     c_type = ranged.schema["c"].dataType
     kind = to_arrow_type(c_type)
-    found = parts.mapInArrow(matrices, f"pid int, c {c_type.simpleString()}, m array<long>, turns long")
+    found = parts.mapInArrow(tidy(matrices), f"pid int, c {c_type.simpleString()}, m array<long>, turns long")
     by_conv: dict = {}
     for r in sorted(found.collect(), key=lambda r: r["pid"]):  # at most two for each range
         m = [list(r["m"][i : i + 4]) for i in range(0, 16, 4)]
@@ -195,7 +195,7 @@ def repair_conversations(turns: DataFrame, conv: str = "conv_id", turn: str = "t
             yield from pa.Table.from_pylist(out, schema=schema).to_batches()
 
     spec = f"u {ranged.schema['u'].dataType.simpleString()}, seq long, new_role string, action string, inserted array<string>, closed array<string>, cost long, copies long"
-    steps = ordered.mapInArrow(decide, spec)
+    steps = ordered.mapInArrow(tidy(decide), spec)
     texts = src.select(unit.alias("u"), "t").groupBy("u").agg(F.first("t").alias("t"))
     rows = steps.join(texts, "u")
     empty_turns = lambda c: F.array_join(F.transform(c, lambda r: F.concat(F.lit("<|"), r, F.lit("|>\n" + CLOSING))), "")

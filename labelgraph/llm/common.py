@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,6 +36,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def tidy(scan):
+    """The Arrow function, giving freed memory back when its task ends: Python workers live on."""
+
+    def run(batches):
+        yield from scan(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):  # not this C library
+            pass
+
+    return run
+
+
 def utf8_bytes(text: Column) -> Column:
     """UTF-8 length of a text in bytes, 0 for null."""
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")

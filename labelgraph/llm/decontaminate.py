@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelgraph.llm.common import only, stored
+from labelgraph.llm.common import only, stored, tidy
 
 WINDOW = 13
 #: Text bytes of the benchmark that one broadcast set may hold; more is scanned in blocks of it.
@@ -179,7 +179,7 @@ def _scan_pass(docs: DataFrame, held, text: str) -> DataFrame:
             done = pa.array(rows, type=kind)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], done], schema=batch.schema)
 
-    return docs.mapInArrow(scan, schema)
+    return docs.mapInArrow(tidy(scan), schema)
 
 
 def _mark_of(text: str, spans: list[dict]) -> np.ndarray:

@@ -24,14 +24,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelgraph.llm.common import stored
+from labelgraph.llm.common import stored, tidy
 from labelgraph.llm.components import components
 from labelgraph.llm.shingles import mix64, shingle_set
 
 #: Jaccard similarity of a link, as a fraction.
 NUM, DEN = 3, 4
 #: Shingles counted together by a task before it reports the repeated ones.
-COUNT_CHUNK = 8_000_000
+COUNT_CHUNK = 4_000_000
 #: Repeated shingles that a chunk reports, and that the broadcast order holds. Both only bound the
 #: order's size: any order finds all links, a shingle outside it merely counts as rare.
 CHUNK_SHINGLES, ORDER_SHINGLES = 100_000, 1_000_000
@@ -149,7 +149,7 @@ def _sets(docs: DataFrame, key: str, text: str) -> DataFrame:
         if held:
             yield report()
 
-    return src.mapInArrow(scan, f"k {key_type}, th long, node long, n long, token long, bits binary")
+    return src.mapInArrow(tidy(scan), f"k {key_type}, th long, node long, n long, token long, bits binary")
 
 
 def _order(found: DataFrame):
@@ -204,7 +204,7 @@ def _postings(docs: DataFrame, text: str, order) -> DataFrame:
             if out[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names=["token", "node", "entry"])
 
-    return docs.select(F.col(f"`{text}`")).mapInArrow(scan, "token long, node long, entry long")
+    return docs.select(F.col(f"`{text}`")).mapInArrow(tidy(scan), "token long, node long, entry long")
 
 
 def _with_pivots(postings: DataFrame) -> DataFrame:
@@ -233,7 +233,7 @@ def _with_pivots(postings: DataFrame) -> DataFrame:
             )
             last = (token[-1], p_node[-1], p_entry[-1], node[-1])
 
-    return by_token.mapInArrow(scan, "token long, node long, entry long, pivot long, p_entry long")
+    return by_token.mapInArrow(tidy(scan), "token long, node long, entry long, pivot long, p_entry long")
 
 
 def _reachable(n1, pos1, n2, pos2):
@@ -275,7 +275,7 @@ def _texts_of(docs: DataFrame, text: str, nodes: DataFrame) -> DataFrame:
                 rows = batch.take(pa.array(np.array(keep, dtype=np.int64)[hit]))
                 yield pa.RecordBatch.from_arrays([pa.array(np.array(ids, dtype=np.int64)[hit]), rows.column(0)], names=["node", "body"])
 
-    found = plain.mapInArrow(scan, "node long, body string")
+    found = plain.mapInArrow(tidy(scan), "node long, body string")
     return found.groupBy("node").agg(F.first("body").alias("body"))
 
 
@@ -300,7 +300,7 @@ def _possible(pairs: DataFrame, bits: DataFrame) -> DataFrame:
             take = pa.array([i for i, r in enumerate(rows) if bitmaps_allow(*r)], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("a").take(take), batch.column("b").take(take)], names=["a", "b"])
 
-    return full.mapInArrow(check, "a long, b long")
+    return full.mapInArrow(tidy(check), "a long, b long")
 
 
 def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -322,7 +322,7 @@ def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             take = pa.array(good, pa.int64())
             yield pa.RecordBatch.from_arrays([a.take(take), b.take(take)], names=["a", "b"])
 
-    return full.mapInArrow(check, "a long, b long")
+    return full.mapInArrow(tidy(check), "a long, b long")
 
 
 def _open_pairs(lists: DataFrame) -> DataFrame:
@@ -384,7 +384,7 @@ def _open_pairs(lists: DataFrame) -> DataFrame:
             yield batch_of(close())
 
     cols = by_token.select("token", "node", "n", "pos", "pivot")
-    return cols.mapInArrow(scan, "job long, a long, b long")
+    return cols.mapInArrow(tidy(scan), "job long, a long, b long")
 
 
 def tile_links(texts: list[str], roots: np.ndarray, left: np.ndarray, right: np.ndarray, pivot: str) -> list[tuple[int, int]]:

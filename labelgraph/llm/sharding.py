@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelgraph.llm.common import prefix_sums, stored, task_count, utf8_bytes
+from labelgraph.llm.common import prefix_sums, stored, task_count, tidy, utf8_bytes
 
 #: Bytes that a row counts besides its text.
 ROW_BYTES = 16
@@ -151,7 +151,7 @@ def shard(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text")
         number = pa.array(number + (TaskContext.get().partitionId() << 32))
         yield from held.append_column("bundle", number).to_batches(max_chunksize=65_536)
 
-    tail = stored(tail.mapInArrow(bundles, "g binary, size long, crc long, bytes long, bundle long"), "shard-bundles")
+    tail = stored(tail.mapInArrow(tidy(bundles), "g binary, size long, crc long, bytes long, bundle long"), "shard-bundles")
     # bundle sums: units plus a few for each task; large groups: at most 2 * units
     sums = [(r["bundle"], None, r["bytes"]) for r in tail.groupBy("bundle").agg(F.sum("bytes").alias("bytes")).collect()]
     sums += [(None, (bytes(r["g"]), r["size"], r["crc"]), r["bytes"]) for r in head.collect()]

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from labelgraph.llm.common import stored
+from labelgraph.llm.common import stored, tidy
 from labelgraph.llm.shingles import span_hashes
 from labelgraph.session import scratch_path
 
@@ -42,7 +42,7 @@ PART_BYTES = 1 << 20
 #: Characters of texts whose words are looked up together.
 CHARS_AT_ONCE = 1 << 19
 #: Entries and ids of a worker's cache of encoded words (some 30 bytes a word); it starts anew when full.
-CACHE_WORDS, CACHE_IDS = 3_000_000, 16_000_000
+CACHE_WORDS, CACHE_IDS = 800_000, 4_000_000
 #: Entries of the cache's recent part, which is sorted anew whenever words are added.
 RECENT_WORDS = 40_000
 _HEAD, _BLOCK, _FOOT = struct.Struct("<8sII"), struct.Struct("<IBBHH"), struct.Struct("<QQQQ8s")
@@ -149,8 +149,9 @@ class FileParts:
         )
 
 
-def read_file(data: bytes) -> tuple[int, list[int | None], np.ndarray, np.ndarray]:
-    """File number, document keys, where each document's ids start (one more at the end), all ids."""
+def read_file(data: bytes) -> tuple[int, list[int | None], np.ndarray, Iterator[np.ndarray]]:
+    """File number, document keys, where each document's ids start (one more at the end), and the
+    ids block by block."""
     view = memoryview(data)
     magic, number, _ = _HEAD.unpack_from(view, 0)
     foot = len(data) - 1 - _FOOT.size
@@ -162,11 +163,27 @@ def read_file(data: bytes) -> tuple[int, list[int | None], np.ndarray, np.ndarra
     null = np.frombuffer(view, np.uint8, n_docs, at)
     keys = np.frombuffer(view, "<i8", n_docs, at + n_docs)
     counts = np.frombuffer(view, "<u8", n_docs, at + 9 * n_docs)
-    ids = np.concatenate([decode_block(view, int(s)) for s in starts]) if n_blocks else np.zeros(0, np.uint32)
-    if len(ids) != total:
-        raise ValueError("a token block file lacks ids")
     edges = np.concatenate([[0], np.cumsum(counts.astype(np.int64))])
-    return number, [None if x else int(k) for k, x in zip(keys, null)], edges, ids
+    if edges[-1] != total:
+        raise ValueError("a token block file's counts differ")
+    return number, [None if x else int(k) for k, x in zip(keys, null)], edges, (decode_block(view, int(s)) for s in starts)
+
+
+def checksums(edges: np.ndarray, blocks: Iterator[np.ndarray]) -> list[int]:
+    """CRC-32 of each document's ids as little-endian unsigned 32-bit integers; one block is held."""
+    out, doc, at = [0] * (len(edges) - 1), 0, 0
+    for ids in blocks:
+        raw = memoryview(np.ascontiguousarray(ids, dtype="<u4")).cast("B")
+        end = at + len(ids)
+        while at < end:
+            while edges[doc + 1] <= at:
+                doc += 1
+            stop = min(end, int(edges[doc + 1]))
+            out[doc] = zlib.crc32(raw[4 * (at - end + len(ids)) : 4 * (stop - end + len(ids))], out[doc])
+            at = stop
+    if at != edges[-1]:
+        raise ValueError("a token block file lacks ids")
+    return out
 
 
 # ---- encoding ----------------------------------------------------------------------------
@@ -367,7 +384,7 @@ def write_tokens(
         for part in parts.close():
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.binary())], names=["part"])
 
-    ranged.mapInArrow(encode, "part binary").select(F.col("part").cast("string").alias("value")).write.text(path)
+    ranged.mapInArrow(tidy(encode), "part binary").select(F.col("part").cast("string").alias("value")).write.text(path)
 
 
 def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
@@ -379,9 +396,11 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
     def decode(batches):
         for batch in batches:
             for content in batch.column(0):
-                number, keys, edges, ids = read_file(content.as_py())
-                raw = np.ascontiguousarray(ids, dtype="<u4")
-                crc = [zlib.crc32(raw[a:b].data) for a, b in zip(edges[:-1], edges[1:])]
+                number, keys, edges, blocks = read_file(content.as_py())
+                if with_ids:
+                    held = list(blocks)
+                    blocks, ids = iter(held), np.concatenate(held)
+                crc = checksums(edges, blocks)
                 cols = [
                     pa.array(keys, pa.int64()),
                     pa.array(np.full(len(keys), number, np.int64)),
@@ -395,7 +414,7 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    return files.mapInArrow(decode, schema)
+    return files.mapInArrow(tidy(decode), schema)
 
 
 def token_index(spark: SparkSession, path: str) -> DataFrame:

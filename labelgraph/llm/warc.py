@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from labelgraph.llm.common import stored, utf8_bytes
+from labelgraph.llm.common import stored, tidy, utf8_bytes
 from labelgraph.session import scratch_path
 
 MAGIC = "WARC/1.1\r\n"
@@ -176,7 +176,7 @@ def _candidates(fragments: DataFrame) -> DataFrame:
         if at is not None:
             yield close()
 
-    return fragments.mapInArrow(scan, _CANDIDATE)
+    return fragments.mapInArrow(tidy(scan), _CANDIDATE)
 
 
 def _reached(candidates: DataFrame) -> DataFrame:
@@ -241,7 +241,7 @@ def _payloads(spark: SparkSession, path: str, broken: DataFrame, splits: DataFra
                 place += len(body) + _SEP
             yield _table(rows, "file string, block long, start long, body binary")
 
-    pieces = again.mapInArrow(place_them, "file string, block long, start long, body binary")
+    pieces = again.mapInArrow(tidy(place_them), "file string, block long, start long, body binary")
     pieces = pieces.groupBy("file", "block")
 
     def assign(left, right):
