@@ -55,9 +55,10 @@ def test_pipeline_equals_brute_force(spark, con):
     ids = [sorted(r.doc_id for r in df.collect()) for df in results]
 
     def passes(t):
-        n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words = brute_quality(t)
-        n_lines = sum(bool(x.strip(" \t\n\x0b\f\r")) for x in (t or "").split("\n"))  # noqa: F841  (used by the rules)
-        return not any(eval(rule) for rule in quality_rules.RULES.values())
+        names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+        found = dict(zip(names, brute_quality(t)))
+        found["n_lines"] = sum(bool(x.strip(" \t\n\x0b\f\r")) for x in (t or "").split("\n"))
+        return not any(eval(rule, {}, found) for rule in quality_rules.RULES.values())
 
     kept = sorted(i for i, r in rows.items() if passes(r.text))
     assert ids[0] == kept
