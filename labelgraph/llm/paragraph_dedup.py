@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from labelgraph.llm.common import stored
+from labelgraph.llm.common import stored, tidy
 from labelgraph.llm.components import components
 from labelgraph.llm.jaccard_join import is_link
 from labelgraph.llm.shingles import SHINGLE, mix64, shingle_hashes, shingle_set, word_hashes
@@ -30,8 +30,10 @@ BANDS, ROWS = 10, 3
 CUT_WINDOW = 12
 #: Words of a removal: with CUT_WINDOW, no shared passage of more than 50 words is missed.
 LEAST_WORDS = 29
+#: Rows gathered before they leave the Python worker.
+KEY_ROWS, UNIT_ROWS = 200_000, 20_000
 #: Bits of the filter that says which band values occur in several documents.
-FILTER_BITS = 25
+FILTER_BITS, PART_BITS = 27, 20
 
 _SEEDS = np.random.Generator(np.random.PCG64(7)).integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
 
@@ -79,45 +81,76 @@ class Paragraphs:
             at = np.cumsum(size) - size
             own = h[np.repeat(self.line_start - at, size) + np.arange(size.sum())]
             self.line_key = _combine(own, at)
-            low = np.stack([np.minimum.reduceat(mix64(own * seed), at) for seed in _SEEDS], axis=1)
+            # the hashes are scrambled already: an odd factor orders them anew
+            low = np.stack([np.minimum.reduceat(own * seed, at) for seed in _SEEDS], axis=1)
             bands = np.zeros((len(at), BANDS), dtype=np.uint64)
             for k in range(ROWS):
                 bands = mix64(bands + low[:, k::ROWS])
             self.bands = mix64(bands + np.arange(1, BANDS + 1, dtype=np.uint64))
 
-    def chars(self, at: np.ndarray) -> list[int]:
+    def chars(self, at: np.ndarray) -> np.ndarray:
         """Character offsets of byte offsets."""
         b = np.frombuffer(self.raw, dtype=np.uint8)
-        return np.concatenate([[0], np.cumsum((b & 0xC0) != 0x80)])[at].tolist()
+        return np.concatenate([[0], np.cumsum((b & 0xC0) != 0x80)])[at]
 
 
 def _keys(docs: DataFrame) -> DataFrame:
     """(key, d) of all pieces and bands; d is the document's hash."""
 
+    def pairs(keys, owners):
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(owners))], names=["key", "d"])
+
     def scan(batches):
         for batch in batches:
-            keys, owners = [], []
+            keys, owners, gathered = [], [], 0
             for t, d in zip(batch.column(1), batch.column(2).to_pylist()):
                 p = Paragraphs(t.as_py())
                 own = np.unique(np.concatenate([p.piece_key, p.bands.reshape(-1)]))
                 keys.append(own)
                 owners.append(np.full(len(own), d, dtype=np.int64))
+                gathered += len(own)
+                if gathered >= KEY_ROWS:
+                    yield pairs(keys, owners)
+                    keys, owners, gathered = [], [], 0
             if keys:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(owners))], names=["key", "d"]
-                )
+                yield pairs(keys, owners)
+
+    return docs.select("k", "t", "d").mapInArrow(tidy(scan), "key long, d long")
+
 
-    return docs.select("k", "t", "d").mapInArrow(scan, "key long, d long")
+def _bits(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two filter bits of a key."""
+    mask = np.uint64((1 << FILTER_BITS) - 1)
+    return (key & mask).astype(np.int64), ((key >> np.uint64(FILTER_BITS)) & mask).astype(np.int64)
 
 
 def _shared_filter(keys: DataFrame) -> np.ndarray:
-    """Bit map, of fixed size, of the low bits of all keys that more than one document has."""
+    """Bit map, of fixed size, of two bits for each key that more than one document has."""
     shared = keys.groupBy("key").agg(F.min("d").alias("d1"), F.max("d").alias("d2")).filter("d1 <> d2")
-    bit = F.col("key").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
-    words = shared.select(F.shiftright(bit, 6).alias("w"), F.expr("shiftleft(1L, cast(key & 63 as int))").alias("b"))
-    rows = words.groupBy("w").agg(F.bit_or("b").alias("b")).toPandas()  # at most 2^(FILTER_BITS - 6) rows
-    out = np.zeros(1 << (FILTER_BITS - 6), dtype=np.int64)
-    out[rows["w"].to_numpy(dtype=np.int64)] = rows["b"].to_numpy(dtype=np.int64)
+    mask = F.lit((1 << FILTER_BITS) - 1)
+    both = F.array(F.col("key").bitwiseAND(mask), F.shiftright("key", FILTER_BITS).bitwiseAND(mask))
+    bits = shared.select(F.explode(both).alias("bit")).withColumn("part", F.shiftright("bit", PART_BITS).cast("int"))
+    parts = bits.repartition(int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")), "part")
+
+    def pack(batches):
+        # a task holds the parts it gets, a share of the filter with one byte for a bit
+        maps: dict[int, np.ndarray] = {}
+        for batch in batches:
+            bit, part = batch.column("bit").to_numpy(), batch.column("part").to_numpy()
+            order = np.argsort(part, kind="stable")
+            edges = np.flatnonzero(np.diff(part[order], prepend=-1))
+            for own in np.split(bit[order], edges[1:]) if len(bit) else ():
+                at = int(own[0]) >> PART_BITS
+                held = maps.setdefault(at, np.zeros(1 << PART_BITS, dtype=bool))
+                held[own & ((1 << PART_BITS) - 1)] = True
+        for at, held in maps.items():
+            raw = np.packbits(held, bitorder="little").tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([raw])], names=["part", "raw"])
+
+    out = np.zeros((1 << FILTER_BITS) // 8, dtype=np.uint8)
+    size = (1 << PART_BITS) // 8
+    for r in parts.mapInArrow(tidy(pack), "part int, raw binary").toLocalIterator():  # the filter, part by part
+        out[r["part"] * size : (r["part"] + 1) * size] = np.frombuffer(r["raw"], np.uint8)
     return out
 
 
@@ -134,49 +167,53 @@ def _units(docs: DataFrame, held) -> DataFrame:
         bits = held.value
 
         def inside(keys: np.ndarray) -> np.ndarray:
-            at = (keys & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)
-            return (bits[at >> 6] >> (at & 63)) & 1 == 1
+            one, two = _bits(keys)
+            return ((bits[one >> 3] >> (one & 7)) & (bits[two >> 3] >> (two & 7)) & 1) == 1
+
+        def rows_of(batch, parts):
+            size = [len(p[4]) for p in parts]
+            doc = np.repeat([p[0] for p in parts], size)
+            cols = [pa.array(np.repeat([p[1] for p in parts], size))]
+            for which in (2, 3):  # key and line hash, null where the part has none
+                full = np.concatenate([np.zeros(n, np.int64) if p[which + 5] else p[which].view(np.int64) for p, n in zip(parts, size)])
+                cols.append(pa.array(full, mask=np.repeat([p[which + 5] for p in parts], size)))
+            for which in (4, 5):
+                cols.append(pa.array(np.concatenate([p[which] for p in parts])))
+            chars = [p[6] for p in parts]
+            cols += [pa.array(np.concatenate([c[i] for c in chars])) for i in (0, 1)]
+            body = [x for p, n in zip(parts, size) for x in (p[9] or [None] * n)]
+            k = batch.column(0).take(pa.array(doc, pa.int64()))
+            return pa.RecordBatch.from_arrays(
+                [k, *cols, pa.array(body, pa.string())], names=["k", "d", "key", "line", "start", "end", "char_start", "char_end", "body"]
+            )
 
         for batch in batches:
-            rows = []
+            parts, gathered = [], 0
             for i, (t, d) in enumerate(zip(batch.column(1), batch.column(2).to_pylist())):
                 p = Paragraphs(t.as_py())
                 piece, band = inside(p.piece_key), inside(p.bands)
                 line = band.any(axis=1)
-                if not piece.any() and not line.any():
-                    continue
-                own = [(p.piece_key[piece], None, p.piece_start[piece], p.piece_end[piece])]
-                own.append((None, p.line_key[line], p.line_start[line], p.line_end[line]))
                 at, which = np.nonzero(band)
-                own.append((p.bands[at, which], p.line_key[at], p.line_start[at], p.line_end[at]))
+                own = [
+                    (p.piece_key[piece], None, p.piece_start[piece], p.piece_end[piece]),
+                    (None, p.line_key[line], p.line_start[line], p.line_end[line]),
+                    (p.bands[at, which], p.line_key[at], p.line_start[at], p.line_end[at]),
+                ]
                 for key, name, s, e in own:
                     if not len(s):
                         continue
                     b0, b1 = p.starts[s], p.ends[e - 1]
-                    null = [None] * len(s)
-                    body = [p.raw[x:y].decode("utf-8", "replace") for x, y in zip(b0, b1)] if key is None else null
-                    rows.extend(
-                        zip(
-                            [i] * len(s),
-                            [d] * len(s),
-                            null if key is None else key.view(np.int64).tolist(),
-                            null if name is None else name.view(np.int64).tolist(),
-                            s.tolist(),
-                            e.tolist(),
-                            p.chars(b0),
-                            p.chars(b1),
-                            body,
-                        )
-                    )
-            if rows:
-                cols = list(zip(*rows))
-                ints = [pa.array(c, pa.int64()) for c in cols[1:8]]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(cols[0], pa.int64())), *ints, pa.array(cols[8], pa.string())],
-                    names=["k", "d", "key", "line", "start", "end", "char_start", "char_end", "body"],
-                )
-
-    return docs.select("k", "t", "d").mapInArrow(scan, f"k {kind}, d long, {_UNIT}")
+                    body = [p.raw[x:y].decode("utf-8", "replace") for x, y in zip(b0.tolist(), b1.tolist())] if key is None else None
+                    none = s if key is None else key
+                    parts.append((i, d, none, s if name is None else name, s, e, (p.chars(b0), p.chars(b1)), key is None, name is None, body))
+                    gathered += len(s)
+                if gathered >= UNIT_ROWS:
+                    yield rows_of(batch, parts)
+                    parts, gathered = [], 0
+            if parts:
+                yield rows_of(batch, parts)
+
+    return docs.select("k", "t", "d").mapInArrow(tidy(scan), f"k {kind}, d long, {_UNIT}")
 
 
 def _similar_lines(units: DataFrame) -> DataFrame:
@@ -200,7 +237,7 @@ def _similar_lines(units: DataFrame) -> DataFrame:
             take = pa.array([i for i, (x, y) in enumerate(texts) if is_link(shingle_set(x), shingle_set(y))], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take)], names=["a", "b"])
 
-    found = components(stored(full.mapInArrow(check, "a long, b long"), "dedup-links"))
+    found = components(stored(full.mapInArrow(tidy(check), "a long, b long"), "dedup-links"))
     return bodies.select("line").join(found.withColumnRenamed("node", "line"), "line", "left").select("line", F.coalesce("root", "line").alias("root"))
 
 
