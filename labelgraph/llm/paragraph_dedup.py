@@ -238,7 +238,8 @@ def _similar_lines(units: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take)], names=["a", "b"])
 
     found = components(stored(full.mapInArrow(tidy(check), "a long, b long"), "dedup-links"))
-    return bodies.select("line").join(found.withColumnRenamed("node", "line"), "line", "left").select("line", F.coalesce("root", "line").alias("root"))
+    roots = bodies.select("line").join(found.withColumnRenamed("node", "line"), "line", "left").select("line", F.coalesce("root", "line").alias("root"))
+    return stored(roots, "dedup-roots")
 
 
 def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -262,6 +263,7 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text")
     spans = []
     for part in (pieces, lines):
         first = part.groupBy("class").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first.d <> last.d").drop("last")
+        first = stored(first, "dedup-first")  # a plain side of the join, so Spark can split a class that many rows share
         own = part.join(first, "class").filter(F.col("d") != F.col("first.d"))
         spans.append(own.select("k", "d", "start", "end", "char_start", "char_end", F.col("first.k").alias("kept")))
     spans = spans[0].unionByName(spans[1])
