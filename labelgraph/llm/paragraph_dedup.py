@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from labelgraph.llm.common import stored, tidy
 from labelgraph.llm.components import components
-from labelgraph.llm.jaccard_join import is_link
+from labelgraph.llm.jaccard_join import DEN, NUM, is_link
 from labelgraph.llm.shingles import SHINGLE, mix64, shingle_hashes, shingle_set, word_hashes
 
 #: Words of a line that makes a paragraph.
@@ -30,6 +30,8 @@ BANDS, ROWS = 10, 3
 CUT_WINDOW = 12
 #: Words of a removal: with CUT_WINDOW, no shared passage of more than 50 words is missed.
 LEAST_WORDS = 29
+#: Lines of a bucket's chunk; two chunks are compared at a time.
+TILE = 256
 #: Rows gathered before they leave the Python worker.
 KEY_ROWS, UNIT_ROWS = 200_000, 20_000
 #: Bits of the filter that says which band values occur in several documents.
@@ -216,14 +218,78 @@ def _units(docs: DataFrame, held) -> DataFrame:
     return docs.select("k", "t", "d").mapInArrow(tidy(scan), f"k {kind}, d long, {_UNIT}")
 
 
+def tile_links(sets: list[np.ndarray], roots: list[int]) -> list[tuple[int, int]]:
+    """Links between members of different roots, as far as they join components; every such pair
+    is compared by its exact overlap unless links found before connect it."""
+    size = np.array([len(x) for x in sets])
+    root = np.array(roots)
+    owner = np.repeat(np.arange(len(sets)), size)
+    ids = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    order = np.argsort(ids, kind="stable")
+    posting, edge = owner[order], np.concatenate([[0], np.cumsum(np.bincount(ids))])
+    at = np.cumsum(size) - size
+    out = []
+    for i in range(1, len(sets)):
+        own = ids[at[i] : at[i] + size[i]]
+        n = edge[own + 1] - edge[own]
+        take = np.repeat(edge[own] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        both = np.bincount(posting[take], minlength=len(sets))[:i]
+        for j in np.flatnonzero(DEN * both >= NUM * (size[i] + size[:i] - both)):
+            if root[i] != root[j]:
+                out.append((i, int(j)))
+                root[root == root[j]] = root[i]
+    return out
+
+
+def _tiled(bands: DataFrame, ends: DataFrame, roots: DataFrame, bodies: DataFrame) -> DataFrame:
+    """(a, b): links between lines of one bucket that the pivots leave in different components.
+
+    An open bucket is cut into chunks by hash, and every two chunks meet in a tile of bounded
+    size, so all its pairs are compared and a hot bucket is spread over many tasks."""
+    rest = bands.join(ends, "key").filter("line <> lo and line <> hi").select("key", "line").join(roots, "line")
+    rest = stored(rest, "dedup-rest")
+    left = rest.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.count(F.lit(1)).alias("n")).filter("r1 <> r2")
+    left = stored(left.select("key", F.ceil(F.col("n") / TILE).cast("int").alias("chunks")), "dedup-open")
+    at = F.pmod(F.xxhash64("line", "key"), F.col("chunks")).cast("int")
+    member = rest.join(left, "key").withColumn("at", at).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    member = member.select(F.xxhash64("key", F.least("at", "other"), F.greatest("at", "other")).alias("tile"), "line", "root")
+    member = member.join(bodies, "line")
+    by_tile = member.repartition(int(bands.sparkSession.conf.get("spark.sql.shuffle.partitions")), "tile").sortWithinPartitions("tile")
+
+    def links_of(rows):
+        name, roots, texts = zip(*rows)
+        found = tile_links([shingle_set(x) for x in texts], list(roots)) if len(set(roots)) > 1 else []
+        return [(name[i], name[j]) for i, j in found]
+
+    def scan(batches):
+        last, rows = None, []
+        for batch in batches:
+            out = []
+            for tile, *row in zip(*[batch.column(c).to_pylist() for c in ("tile", "line", "root", "body")]):
+                if tile != last and rows:
+                    out += links_of(rows)
+                    rows = []
+                last = tile
+                rows.append(row)
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
+        if rows:
+            out = links_of(rows)
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    return by_tile.mapInArrow(tidy(scan), "a long, b long")
+
+
 def _similar_lines(units: DataFrame) -> DataFrame:
     """(line, root): lines joined to components by exact similarity of colliding pairs.
 
-    In each band bucket every line meets the bucket's smallest and largest, not all others; the
-    bands shuffle who these are.
+    In each band bucket every line meets two pivots first, the ends of an order that differs from
+    bucket to bucket. Where the others of a bucket are then in different components, all its pairs
+    that no link connects are compared in tiles.
     """
-    bands = units.filter("key is not null and line is not null").select("key", "line").distinct()
-    ends = bands.groupBy("key").agg(F.min("line").alias("lo"), F.max("line").alias("hi")).filter("lo <> hi")
+    bands = stored(units.filter("key is not null and line is not null").select("key", "line").distinct(), "dedup-bands")
+    turned = F.col("line").bitwiseXOR(F.col("key"))
+    ends = bands.groupBy("key").agg(F.min(turned).alias("lo"), F.max(turned).alias("hi")).filter("lo <> hi")
+    ends = stored(ends.select("key", *[F.col(c).bitwiseXOR(F.col("key")).alias(c) for c in ("lo", "hi")]), "dedup-pivots")
     met = bands.join(ends, "key").select("line", F.explode(F.array("lo", "hi")).alias("a")).filter("line <> a")
     pairs = met.select(F.least("line", "a").alias("a"), F.greatest("line", "a").alias("b")).distinct()
     bodies = units.filter("key is null").groupBy("line").agg(F.first("body").alias("body"))
@@ -237,9 +303,15 @@ def _similar_lines(units: DataFrame) -> DataFrame:
             take = pa.array([i for i, (x, y) in enumerate(texts) if is_link(shingle_set(x), shingle_set(y))], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take)], names=["a", "b"])
 
-    found = components(stored(full.mapInArrow(tidy(check), "a long, b long"), "dedup-links"))
-    roots = bodies.select("line").join(found.withColumnRenamed("node", "line"), "line", "left").select("line", F.coalesce("root", "line").alias("root"))
-    return stored(roots, "dedup-roots")
+    def rooted(links):
+        found = components(links).withColumnRenamed("node", "line")
+        roots = bodies.select("line").join(found, "line", "left").select("line", F.coalesce("root", "line").alias("root"))
+        return stored(roots, "dedup-roots")
+
+    links = stored(full.mapInArrow(tidy(check), "a long, b long"), "dedup-links")
+    roots = rooted(links)
+    more = stored(_tiled(bands, ends, roots, bodies), "dedup-tiles")
+    return roots if more.isEmpty() else rooted(links.unionByName(more))
 
 
 def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -128,6 +128,21 @@ def test_near_lines_join_by_bands(spark):
     assert got == want
 
 
+def test_a_hot_bucket_is_compared_whole(spark, monkeypatch):
+    monkeypatch.setattr(PD, "TILE", 8, raising=False)
+    rng = random.Random(9)
+    head, bodies = prose(rng, 60), []
+    for _ in range(30):  # lines of one template, and a near copy of each
+        words = (head + " " + prose(rng, 30)).split()
+        bodies += [" ".join(words), " ".join(words[:-2] + ["edited", "here"])]
+    sets = [set(shingle_set(t).tolist()) for t in bodies]
+    links = {(i, j) for i in range(60) for j in range(i) if 4 * len(sets[i] & sets[j]) >= 3 * len(sets[i] | sets[j])}
+    assert links == {(2 * i + 1, 2 * i) for i in range(30)}
+    rows = [(1, 100 + i, None) for i in range(60)] + [(None, 100 + i, t) for i, t in enumerate(bodies)]
+    got = {r.line - 100: r.root - 100 for r in PD._similar_lines(spark.createDataFrame(rows, "key long, line long, body string")).collect()}
+    assert got == {i: i // 2 * 2 for i in range(60)}
+
+
 # ---- 2 -----------------------------------------------------------------------------------
 def brute_contamination(text, items, window=13):
     def words(t):
