@@ -189,8 +189,9 @@ def checksums(edges: np.ndarray, blocks: Iterator[np.ndarray]) -> list[int]:
 # ---- encoding ----------------------------------------------------------------------------
 # Texts of ASCII and Latin-1 letters are cut into the tokenizer's words here: after lower-casing,
 # runs of letters, single digits, and runs of anything else but white space (which U+001C to U+001F
-# are not to it). Special tokens and its contractions need the tokenizer's own pattern.
-_OTHER = re.compile("[^\x00-\x7fÀ-ÖØ-öø-ÿ]|<[|]|'(?:s|t|re|ve|m|ll|d)", re.IGNORECASE)
+# are not to it). Special tokens and its contractions need the tokenizer's own pattern. Case is
+# ignored in the contractions alone: a class that ignores it lets U+0130 and others through.
+_OTHER = re.compile("[^\x00-\x7fÀ-ÖØ-öø-ÿ]|<[|]|(?i:'(?:s|t|re|ve|m|ll|d))")
 _CHUNKS = re.compile(rb"[^\x09-\x0d ]+")
 _LETTER, _DIGIT, _REST, _SPACE = 1, 2, 3, 0
 _CLASS = np.full(256, _REST, dtype=np.uint8)

@@ -506,6 +506,19 @@ def test_token_files_equal_the_tokenizer(spark, edge, empty, edge_rows, tmp_path
     assert TB.encode_documents(empty, Q.tokenizer_path(), Q.END_ID).count() == 0
 
 
+def test_the_shortcut_equals_the_tokenizer_for_every_character_it_takes():
+    from tokenizers import Tokenizer
+
+    tok, enc = Tokenizer.from_file(Q.tokenizer_path()), TB.WordEncoder(Q.tokenizer_path())
+    taken = [chr(c) for c in range(0x110000) if not TB._OTHER.search(chr(c))]
+    odd = [chr(c) for c in (0x130, 0x131, 0x178, 0x17F, 0x1E9E, 0x212A, 0x212B)]
+    texts = ["\u0130stanbul and \u0130zmir"] + [f"{c} x{c}y {c}A 1{c}2 {c}{c}. {c}" for c in dict.fromkeys(taken + odd)]
+    got = [np.frombuffer(raw, "<u4").tolist() for raw in enc(texts)]
+    assert got == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert enc.by_words and len(taken) == 128 + 62 and not set(odd) & set(taken)
+    assert all(TB._OTHER.search(t) for t in ("it'S", "we'RE", "<|x"))
+
+
 def test_another_kind_of_tokenizer_is_encoded_whole():
     import public_tokenizers
     from tokenizers import Tokenizer
