@@ -1,10 +1,11 @@
 """Substring dedup: paragraphs by MinHash bands, verified exactly, removed by components.
 
-Paragraphs are the longer lines of a text and, so that a passage inside another line is found too,
-the pieces between content-defined cut points: of every CUT_WINDOW consecutive word shingles the
+Paragraphs are the lines of a text, the blocks of consecutive short lines between blank or long
+ones and, so that a passage inside another line is found too, the pieces between content-defined
+cut points: of every CUT_WINDOW consecutive word shingles the
 one with the smallest hash starts a piece, so equal passages are cut alike wherever they stand.
-A line's bands are runs of MinHash values; a piece has one band of all its shingles. Colliding
-lines are compared exactly, lines that are similar enough form components, and of a component (or
+A line's or block's bands are runs of MinHash values; a piece has one band of all its shingles.
+Colliding lines are compared exactly, lines that are similar enough form components, and of a component (or
 of equal pieces) the occurrence in the first document stays and the others are to be removed.
 """
 
@@ -20,15 +21,16 @@ from labelgraph.llm.components import components
 from labelgraph.llm.jaccard_join import DEN, NUM, is_link
 from labelgraph.llm.shingles import SHINGLE, mix64, shingle_hashes, shingle_set, word_hashes
 
-#: Words of a line that makes a paragraph.
-LINE_WORDS = 20
+#: Words of a line that makes a paragraph: one shingle. Consecutive lines of fewer than SHORT_WORDS
+#: words make a block, which is treated as one more line.
+LINE_WORDS, SHORT_WORDS = SHINGLE, 20
 #: Bands of ROWS MinHash values: lines of similarity 0.75 collide with probability 0.996, of 0.9
 #: with 0.9999998.
 BANDS, ROWS = 10, 3
 #: Shingles among which a cut point is chosen. A passage of W words contains whole pieces of at
 #: least W - 2 * (CUT_WINDOW - 1) words.
 CUT_WINDOW = 12
-#: Words of a removal: with CUT_WINDOW, no shared passage of more than 50 words is missed.
+#: Words of a removal that consists of pieces: with CUT_WINDOW, no shared passage of more than 50 words is missed.
 LEAST_WORDS = 29
 #: Lines of a bucket's chunk; two chunks are compared at a time.
 TILE = 256
@@ -73,8 +75,7 @@ class Paragraphs:
         row = np.cumsum(b == 10)[self.starts] if n else np.zeros(0, np.int64)
         first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]])) if n else np.zeros(0, np.int64)
         last = np.append(first[1:], n)
-        long = last - first >= LINE_WORDS
-        self.line_start, self.line_end = first[long], last[long]
+        self.line_start, self.line_end = self._lines(first, last, row[first])
         self.line_key = np.zeros(0, dtype=np.uint64)
         self.bands = np.zeros((0, BANDS), dtype=np.uint64)
         if len(self.line_start):
@@ -89,6 +90,21 @@ class Paragraphs:
             for k in range(ROWS):
                 bands = mix64(bands + low[:, k::ROWS])
             self.bands = mix64(bands + np.arange(1, BANDS + 1, dtype=np.uint64))
+            # up to two shingles are similar to equal sets alone, and those share every band
+            self.bands[size <= 2] = self.bands[size <= 2, :1]
+
+    @staticmethod
+    def _lines(first: np.ndarray, last: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Word spans of the lines, and of the blocks of two or more consecutive short lines."""
+        short = last - first < SHORT_WORDS
+        joined = short[1:] & short[:-1] & (np.diff(row) == 1)
+        begin = np.flatnonzero(np.concatenate([[True], ~joined])) if len(first) else np.zeros(0, np.int64)
+        stop = np.append(begin[1:], len(first)) - 1
+        block = stop > begin
+        start = np.concatenate([first, first[begin[block]]])
+        end = np.concatenate([last, last[stop[block]]])
+        keep = end - start >= LINE_WORDS
+        return start[keep], end[keep]
 
     def chars(self, at: np.ndarray) -> np.ndarray:
         """Character offsets of byte offsets."""
@@ -196,6 +212,8 @@ def _units(docs: DataFrame, held) -> DataFrame:
                 piece, band = inside(p.piece_key), inside(p.bands)
                 line = band.any(axis=1)
                 at, which = np.nonzero(band)
+                first = (which == 0) | (p.bands[at, which] != p.bands[at, 0])
+                at, which = at[first], which[first]
                 own = [
                     (p.piece_key[piece], None, p.piece_start[piece], p.piece_end[piece]),
                     (None, p.line_key[line], p.line_start[line], p.line_end[line]),
@@ -319,7 +337,7 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text")
     n_words, kept (the key of a document that keeps the passage).
 
     A passage is a run of repeated paragraphs that another document has before (by key, null
-    first, then text hash), of LEAST_WORDS words or more. Repeats inside one document alone are
+    first, then text hash): with a line or block among them, or of LEAST_WORDS words or more. Repeats inside one document alone are
     no removals; rows equal in key and text are one document. Null, empty and short texts have no
     passages. Extra columns are ignored; an empty table gives an empty result.
     """
@@ -337,10 +355,10 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text")
         first = part.groupBy("class").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first.d <> last.d").drop("last")
         first = stored(first, "dedup-first")  # a plain side of the join, so Spark can split a class that many rows share
         own = part.join(first, "class").filter(F.col("d") != F.col("first.d"))
-        spans.append(own.select("k", "d", "start", "end", "char_start", "char_end", F.col("first.k").alias("kept")))
+        spans.append(own.select("k", "d", "start", "end", "char_start", "char_end", F.col("first.k").alias("kept"), F.col("line").isNotNull().alias("whole")))
     spans = spans[0].unionByName(spans[1])
     # runs of touching spans in each document; rows are one document's own paragraphs
-    spans = spans.groupBy("k", "d", "start", "end", "char_start", "char_end").agg(F.min("kept").alias("kept"))
+    spans = spans.groupBy("k", "d", "start", "end", "char_start", "char_end").agg(F.min("kept").alias("kept"), F.max("whole").alias("whole"))
     by_doc = Window.partitionBy("k", "d").orderBy("start", "end")
     reach = F.max("end").over(by_doc.rowsBetween(Window.unboundedPreceding, -1))
     spans = spans.withColumn("new", F.when(F.col("start") <= reach, 0).otherwise(1)).withColumn("run", F.sum("new").over(by_doc))
@@ -349,8 +367,9 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text")
         F.max("char_end").alias("end"),
         (F.max("end") - F.min("start")).alias("n_words"),
         F.min("kept").alias("kept"),
+        F.max("whole").alias("whole"),
     )
-    runs = runs.filter(F.col("n_words") >= LEAST_WORDS)
+    runs = runs.filter((F.col("n_words") >= LEAST_WORDS) | F.col("whole"))
     return runs.select(F.col("k").alias(key), F.col("d").alias("text_hash"), "start", "end", "n_words", "kept")
 
 

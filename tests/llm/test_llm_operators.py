@@ -143,6 +143,24 @@ def test_a_hot_bucket_is_compared_whole(spark, monkeypatch):
     assert got == {i: i // 2 * 2 for i in range(60)}
 
 
+def test_short_lines_and_wrapped_passages_are_paragraphs(spark):
+    rng = random.Random(21)
+    rows, want = [], set()
+    for i, n in enumerate((5, 6, 7, 12, 19, 20, 24, 28)):  # one equal line
+        line = prose(rng, n)
+        rows += [(2 * i, prose(rng, 40) + "\n" + line + "\n" + prose(rng, 30)), (2 * i + 1, line + "\n\n" + prose(rng, 25))]
+        want.add((2 * i + 1, n))
+    for i in range(20, 40):  # a near copy wrapped over short lines, with an edit in its middle
+        words = prose(rng, 60).split()
+        other = [w if k != 30 else "edited" for k, w in enumerate(words)]
+        wrap = lambda w, n: "\n".join(" ".join(w[k : k + n]) for k in range(0, 60, n))
+        rows += [(2 * i, prose(rng, 30) + "\n" + wrap(words, 10)), (2 * i + 1, wrap(other, 12) + "\n\n" + prose(rng, 30))]
+        want.add((2 * i + 1, 60))
+    rows += [(1000, prose(rng, 4) + "\n\n" + prose(rng, 30)), (1001, "four words of it\n" + prose(rng, 30)), (1002, "four words of it\n" + prose(rng, 30))]
+    got = PD.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.n_words) for r in got} == want and all(r.kept == r.doc_id - 1 for r in got)
+
+
 # ---- 2 -----------------------------------------------------------------------------------
 def brute_contamination(text, items, window=13):
     def words(t):
