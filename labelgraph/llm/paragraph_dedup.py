@@ -28,10 +28,11 @@ LINE_WORDS, SHORT_WORDS = SHINGLE, 20
 #: with 0.9999998.
 BANDS, ROWS = 10, 3
 #: Shingles among which a cut point is chosen. A passage of W words contains whole pieces of at
-#: least W - 2 * (CUT_WINDOW - 1) words.
+#: least W - 2 * CUT_WINDOW + 1 words: the first cut is at CUT_WINDOW - 1 at most, the last one at
+#: W - CUT_WINDOW - 4 at least, and a piece's words end 4 behind its last shingle's start.
 CUT_WINDOW = 12
 #: Words of a removal that consists of pieces: with CUT_WINDOW, no shared passage of more than 50 words is missed.
-LEAST_WORDS = 29
+LEAST_WORDS = 28
 #: Lines of a bucket's chunk; two chunks are compared at a time.
 TILE = 256
 #: Rows gathered before they leave the Python worker.

@@ -161,6 +161,22 @@ def test_short_lines_and_wrapped_passages_are_paragraphs(spark):
     assert {(r.doc_id, r.n_words) for r in got} == want and all(r.kept == r.doc_id - 1 for r in got)
 
 
+def test_the_worst_cut_passage_of_51_words_is_found(spark):
+    rng, rows = random.Random(17), []
+    while len(rows) < 6:
+        words = prose(rng, 51)
+        cuts = PD.cut_points(PD.shingle_hashes(PD.word_hashes(words)[0]))
+        if (cuts[0], cuts[-1]) != (11, 51 - 16):
+            continue
+        pair = [prose(rng, 40) + " " + words + " " + prose(rng, 40) for _ in range(2)]
+        a, b = (PD.Paragraphs(t) for t in pair)
+        both = np.isin(b.piece_key, a.piece_key)
+        if b.piece_end[both].max() - b.piece_start[both].min() == 28:
+            rows += [(len(rows) + i, t) for i, t in enumerate(pair)]
+    got = PD.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.kept, r.n_words) for r in got} == {(i + 1, i, 28) for i in (0, 2, 4)}
+
+
 # ---- 2 -----------------------------------------------------------------------------------
 def brute_contamination(text, items, window=13):
     def words(t):
