@@ -5,12 +5,15 @@ ones and, so that a passage inside another line is found too, the pieces between
 cut points: of every CUT_WINDOW consecutive word shingles the
 one with the smallest hash starts a piece, so equal passages are cut alike wherever they stand.
 A line's or block's bands are runs of MinHash values; a piece has one band of all its shingles.
-Colliding lines are compared exactly, lines that are similar enough form components, and of a component (or
-of equal pieces) the occurrence in the first document stays and the others are to be removed.
+Colliding lines are compared exactly and lines that are similar enough form components. Pieces count as runs
+of LEAST_WORDS words, told apart by a digest of their words. Of a component (or of equal runs) the
+occurrence in the first document stays and the others are to be removed.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -107,6 +110,18 @@ class Paragraphs:
         keep = end - start >= LINE_WORDS
         return start[keep], end[keep]
 
+    def windows(self, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Word spans of the shortest runs of held pieces that have LEAST_WORDS words, from each
+        piece onwards and from each piece back; they cover every longer run."""
+        n = len(self.piece_start)
+        one = np.concatenate([np.arange(n), np.searchsorted(self.piece_start, self.piece_end - LEAST_WORDS, side="right") - 1])
+        two = np.concatenate([np.searchsorted(self.piece_end, self.piece_start + LEAST_WORDS), np.arange(n)])
+        inside = (one >= 0) & (two < n)
+        one, two = np.unique(np.stack([one[inside], two[inside]]), axis=1)
+        missing = np.concatenate([[0], np.cumsum(~held)])
+        whole = missing[two + 1] == missing[one]
+        return self.piece_start[one[whole]], self.piece_end[two[whole]]
+
     def chars(self, at: np.ndarray) -> np.ndarray:
         """Character offsets of byte offsets."""
         b = np.frombuffer(self.raw, dtype=np.uint8)
@@ -176,9 +191,14 @@ def _shared_filter(keys: DataFrame) -> np.ndarray:
 _UNIT = "key long, line long, start long, end long, char_start long, char_end long, body string"
 
 
+def _digest(raw: bytes) -> str:
+    """A digest of the words, as ``word_hashes`` tells them apart."""
+    return hashlib.md5(b" ".join(raw.lower().split()), usedforsecurity=False).hexdigest()
+
+
 def _units(docs: DataFrame, held) -> DataFrame:
-    """Paragraphs whose keys are in the filter, with k, d and their spans. Pieces: key, line null.
-    Lines: one row for each colliding band (key, line = content hash) and one with key null and the
+    """Paragraphs whose keys are in the filter, with k, d and their spans. Runs of pieces: key and
+    line null, a digest of the words in ``body``. Lines: one row for each colliding band (key, line = content hash) and one with key null and the
     line itself in ``body``."""
     kind = docs.schema["k"].dataType.simpleString()
 
@@ -216,7 +236,7 @@ def _units(docs: DataFrame, held) -> DataFrame:
                 first = (which == 0) | (p.bands[at, which] != p.bands[at, 0])
                 at, which = at[first], which[first]
                 own = [
-                    (p.piece_key[piece], None, p.piece_start[piece], p.piece_end[piece]),
+                    (None, None, *p.windows(piece)),
                     (None, p.line_key[line], p.line_start[line], p.line_end[line]),
                     (p.bands[at, which], p.line_key[at], p.line_start[at], p.line_end[at]),
                 ]
@@ -224,7 +244,10 @@ def _units(docs: DataFrame, held) -> DataFrame:
                     if not len(s):
                         continue
                     b0, b1 = p.starts[s], p.ends[e - 1]
-                    body = [p.raw[x:y].decode("utf-8", "replace") for x, y in zip(b0.tolist(), b1.tolist())] if key is None else None
+                    body = None
+                    if key is None:
+                        raw = [p.raw[x:y] for x, y in zip(b0.tolist(), b1.tolist())]
+                        body = [_digest(x) if name is None else x.decode("utf-8", "replace") for x in raw]
                     none = s if key is None else key
                     parts.append((i, d, none, s if name is None else name, s, e, (p.chars(b0), p.chars(b1)), key is None, name is None, body))
                     gathered += len(s)
@@ -311,7 +334,7 @@ def _similar_lines(units: DataFrame) -> DataFrame:
     ends = stored(ends.select("key", *[F.col(c).bitwiseXOR(F.col("key")).alias(c) for c in ("lo", "hi")]), "dedup-pivots")
     met = bands.join(ends, "key").select("line", F.explode(F.array("lo", "hi")).alias("a")).filter("line <> a")
     pairs = met.select(F.least("line", "a").alias("a"), F.greatest("line", "a").alias("b")).distinct()
-    bodies = units.filter("key is null").groupBy("line").agg(F.first("body").alias("body"))
+    bodies = units.filter("key is null and line is not null").groupBy("line").agg(F.first("body").alias("body"))
     bodies = stored(bodies, "dedup-lines")
     left, right = (bodies.select(F.col("line").alias(c), F.col("body").alias(f"body_{c}")) for c in ("a", "b"))
     full = pairs.join(left, "a").join(right, "b").select("a", "b", "body_a", "body_b")
@@ -333,12 +356,22 @@ def _similar_lines(units: DataFrame) -> DataFrame:
     return roots if more.isEmpty() else rooted(links.unionByName(more))
 
 
+def _runs(spans: DataFrame, owner: list[str], start: str = "start", end: str = "end") -> DataFrame:
+    """``spans`` with the number of the run of touching spans that each is in, by owner; an owner's
+    rows are one document's own paragraphs."""
+    by = Window.partitionBy(*owner).orderBy(start, end)
+    reach = F.max(end).over(by.rowsBetween(Window.unboundedPreceding, -1))
+    return spans.withColumn("new", F.when(F.col(start) <= reach, 0).otherwise(1)).withColumn("run", F.sum("new").over(by)).drop("new")
+
+
 def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Passages to remove, one row each: key, text_hash, start and end (characters of the text),
     n_words, kept (the key of a document that keeps the passage).
 
-    A passage is a run of repeated paragraphs that another document has before (by key, null
-    first, then text hash): with a line or block among them, or of LEAST_WORDS words or more. Repeats inside one document alone are
+    A passage is a run of repeated lines, blocks and stretches of LEAST_WORDS words or more that
+    all have their first occurrence (by key, null first, then text hash) in one other document,
+    which keeps them. Passages that different documents keep are rows of their own and can
+    overlap; one that lies inside another is left out. Repeats inside one document alone are
     no removals; rows equal in key and text are one document. Null, empty and short texts have no
     passages. Extra columns are ignored; an empty table gives an empty result.
     """
@@ -348,35 +381,35 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text")
     held = spark.sparkContext.broadcast(_shared_filter(_keys(src)))
     units = stored(_units(src, held), "dedup-units")
     place = F.struct("k", "d")
-    # equal pieces, and similar lines, as classes with their first document
-    pieces = units.filter("line is null").withColumn("class", F.col("key"))
-    lines = units.filter("key is null").join(_similar_lines(units), "line").withColumn("class", F.col("root"))
+    # equal runs of pieces, and similar lines, as classes with their first document
+    pieces = units.filter("key is null and line is null").withColumn("class", F.col("body"))
+    lines = units.filter("key is null and line is not null").join(_similar_lines(units), "line").withColumn("class", F.col("root"))
     spans = []
     for part in (pieces, lines):
         first = part.groupBy("class").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first.d <> last.d").drop("last")
         first = stored(first, "dedup-first")  # a plain side of the join, so Spark can split a class that many rows share
         own = part.join(first, "class").filter(F.col("d") != F.col("first.d"))
-        spans.append(own.select("k", "d", "start", "end", "char_start", "char_end", F.col("first.k").alias("kept"), F.col("line").isNotNull().alias("whole")))
-    spans = spans[0].unionByName(spans[1])
-    # runs of touching spans in each document; rows are one document's own paragraphs
-    spans = spans.groupBy("k", "d", "start", "end", "char_start", "char_end").agg(F.min("kept").alias("kept"), F.max("whole").alias("whole"))
-    by_doc = Window.partitionBy("k", "d").orderBy("start", "end")
-    reach = F.max("end").over(by_doc.rowsBetween(Window.unboundedPreceding, -1))
-    spans = spans.withColumn("new", F.when(F.col("start") <= reach, 0).otherwise(1)).withColumn("run", F.sum("new").over(by_doc))
-    runs = spans.groupBy("k", "d", "run").agg(
-        F.min("char_start").alias("start"),
-        F.max("char_end").alias("end"),
-        (F.max("end") - F.min("start")).alias("n_words"),
-        F.min("kept").alias("kept"),
-        F.max("whole").alias("whole"),
+        spans.append(own.select("k", "d", "start", "end", "char_start", "char_end", F.col("first").alias("keeper")))
+    spans = spans[0].unionByName(spans[1]).distinct()
+    # runs of touching spans of one keeper in each document
+    runs = _runs(spans, ["k", "d", "keeper"]).groupBy("k", "d", "keeper", "run")
+    runs = runs.agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min("char_start").alias("char_start"), F.max("char_end").alias("char_end"))
+    before = Window.partitionBy("k", "d").orderBy("start", F.desc("end"), "keeper").rowsBetween(Window.unboundedPreceding, -1)
+    reach = F.coalesce(F.max("end").over(before), F.lit(-1))
+    runs = runs.withColumn("reach", reach).filter("end > reach")
+    return runs.select(
+        F.col("k").alias(key),
+        F.col("d").alias("text_hash"),
+        F.col("char_start").alias("start"),
+        F.col("char_end").alias("end"),
+        (F.col("end") - F.col("start")).alias("n_words"),
+        F.col("keeper.k").alias("kept"),
     )
-    runs = runs.filter((F.col("n_words") >= LEAST_WORDS) | F.col("whole"))
-    return runs.select(F.col("k").alias(key), F.col("d").alias("text_hash"), "start", "end", "n_words", "kept")
 
 
 def remove_passages(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """All documents, each text without its repeated passages; columns unchanged otherwise."""
-    found = repeated_passages(docs, key, text)
+    found = _runs(repeated_passages(docs, key, text), ["text_hash"]).groupBy("text_hash", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
     cuts = found.groupBy(F.col("text_hash").alias("_cut_of")).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_cuts"))  # one document's
     t = F.col(f"`{text}`")
     src = docs.withColumn("_cut_hash", F.xxhash64(F.col(f"`{key}`"), t))

@@ -177,6 +177,26 @@ def test_the_worst_cut_passage_of_51_words_is_found(spark):
     assert {(r.doc_id, r.kept, r.n_words) for r in got} == {(i + 1, i, 28) for i in (0, 2, 4)}
 
 
+def test_a_removal_is_held_by_the_document_it_names(spark):
+    rng = random.Random(31)
+    one, two = prose(rng, 60), prose(rng, 60)
+    chain = prose(rng, 84).split()
+    common = [" ".join(chain[12 * i : 12 * i + 24]) for i in range(6)]
+    rows = [(i, prose(rng, 30) + " " + c + " " + prose(rng, 30)) for i, c in enumerate(common)]
+    rows += [(10, prose(rng, 30) + " " + " ".join(chain) + " " + prose(rng, 30))]  # chained short phrases of six documents
+    rows += [(20, one), (21, prose(rng, 20) + "\n" + two), (22, one + "\n" + two + "\n" + prose(rng, 30))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = PD.Paragraphs(rows[6][1])
+    held = np.isin(whole.piece_key, np.concatenate([PD.Paragraphs(t).piece_key for _, t in rows[:6]]))
+    assert np.diff(np.flatnonzero(np.diff(np.concatenate([[0], held, [0]]))))[::2].max() >= 4  # touching pieces
+    got = PD.repeated_passages(df).collect()
+    text = dict(rows)
+    assert {(r.doc_id, r.kept, r.n_words) for r in got} == {(22, 20, 60), (22, 21, 60)}
+    assert all(text[r.doc_id][r.start : r.end] in text[r.kept] for r in got)
+    cut = {r.doc_id: r.text for r in PD.remove_passages(df).collect()}
+    assert cut[10] == text[10] and cut[22].split() == text[22].split()[120:]
+
+
 # ---- 2 -----------------------------------------------------------------------------------
 def brute_contamination(text, items, window=13):
     def words(t):
