@@ -11,8 +11,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelgraph.llm import chat_repair, decontaminate, jaccard_join, mixing, paragraph_dedup, quality_rules, sharding, token_blocks, url_filter, warc
-from labelgraph.llm.common import only, read_table
+from labelgraph.llm import (
+    chat_repair,
+    decontaminate,
+    jaccard_join,
+    mixing,
+    paragraph_dedup,
+    periodic_runs,
+    quality_rules,
+    sharding,
+    token_blocks,
+    url_filter,
+    warc,
+)
+from labelgraph.llm.common import only, read_table, words_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -263,3 +275,23 @@ def tokenizer_path() -> str:
 @query("op10_token_blocks")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_blocks.encode_documents(read_table(spark, sf_dir, "documents"), tokenizer_path(), END_ID)
+
+
+# ---- 11: periodic runs -------------------------------------------------------------------
+def planted_repeats(docs: DataFrame) -> DataFrame:
+    """The query's texts: with h = crc32(doc_id) and g = h / 10, every tenth document's words from
+    a = g % n on repeat the first p = 1 + (n - a) / (3 + g % 8) of them; other texts, and those of
+    null ids, stay."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    rows = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, words_of(F.col("text"))).alias("w"))
+    n, g = F.size("w"), F.expr("h div 10")
+    rows = rows.select("doc_id", "text", "w", n.alias("n"), g.alias("g"), F.when(n > 0, g % n).cast("int").alias("a"))
+    p = 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)).cast("int")
+    rows = rows.select("doc_id", "text", "w", "n", "a", p.alias("p"))
+    again = F.expr("slice(concat(slice(w, 1, a), flatten(array_repeat(slice(w, a + 1, p), cast(ceil((n - a) / p) as int)))), 1, n)")
+    return rows.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(again, " ")).otherwise(F.coalesce("text", F.lit(""))).alias("text"))
+
+
+@query("op11_periodic_runs")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.summary(periodic_runs.periodic_runs(planted_repeats(read_table(spark, sf_dir, "documents"))))
