@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import re
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -50,6 +51,52 @@ def tidy(scan):
     return run
 
 
+def packed_longs(df: DataFrame, *names: str) -> list[np.ndarray]:
+    """The named long columns of a table of bounded size, as arrays in the driver.
+
+    Tasks pack their rows into bytes, so the driver takes one value for each task and column,
+    not one Python object for each row, whatever the session's Arrow setting is.
+    """
+
+    def pack(batches):
+        held: list[list[bytes]] = [[] for _ in names]
+        for batch in batches:
+            for i, own in enumerate(held):
+                own.append(batch.column(i).to_numpy().astype("<i8").tobytes())
+        raw = [b"".join(own) for own in held]
+        if raw[0]:
+            yield pa.RecordBatch.from_arrays([pa.array([r], pa.binary()) for r in raw], names=list(names))
+
+    rows = only(df, *names).mapInArrow(pack, ", ".join(f"`{c}` binary" for c in names))
+    parts: list[list[np.ndarray]] = [[] for _ in names]
+    for row in rows.toLocalIterator():
+        for i, own in enumerate(parts):
+            own.append(np.frombuffer(row[i], "<i8"))
+    return [np.concatenate(own) if own else np.zeros(0, dtype=np.int64) for own in parts]
+
+
+#: Bits of :func:`low_bits_filter`: 8 MB whatever the number of keys.
+FILTER_BITS = 26
+
+
+def low_bits_filter(keys: DataFrame, key: str) -> np.ndarray:
+    """Bit map, of fixed size, of the low bits of a column of hashes; test it with :func:`in_filter`.
+
+    Other keys may pass, so it only saves work and an exact join has to follow.
+    """
+    at = F.col(key).bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+    words = keys.select(F.shiftright(at, 6).alias("w"), F.expr(f"shiftleft(1L, cast(`{key}` & 63L as int))").alias("b"))
+    w, b = packed_longs(words.groupBy("w").agg(F.bit_or("b").alias("b")), "w", "b")  # at most 2^20 rows
+    out = np.zeros(1 << (FILTER_BITS - 6), dtype=np.int64)
+    out[w] = b
+    return out
+
+
+def in_filter(held: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = keys & np.int64((1 << FILTER_BITS) - 1)
+    return (held[at >> 6] >> (at & 63)) & 1 == 1
+
+
 def utf8_bytes(text: Column) -> Column:
     """UTF-8 length of a text in bytes, 0 for null."""
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")

@@ -20,6 +20,7 @@ from labelgraph.llm import (
     periodic_runs,
     quality_rules,
     sharding,
+    source_audit,
     token_blocks,
     url_filter,
     warc,
@@ -295,3 +296,42 @@ def planted_repeats(docs: DataFrame) -> DataFrame:
 @query("op11_periodic_runs")
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.summary(periodic_runs.periodic_runs(planted_repeats(read_table(spark, sf_dir, "documents"))))
+
+
+# ---- 12: source divergence audit ---------------------------------------------------------
+_TERMS_SQL = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+def _share_sql(n: str, total: str) -> str:
+    return f"1 + (1000000000::HUGEINT * ({n} + 2)) // ({total} + 2 * v)"
+
+
+@query(
+    "op12_source_audit",
+    f"""
+WITH docs AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_TERMS_SQL} AS w FROM documents),
+occ AS (SELECT rid, lang, source, unnest(w) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS ln FROM occ GROUP BY lang, term HAVING count(DISTINCT rid) >= 10),
+cnt AS (SELECT lang, source, term, count(*) AS n FROM occ JOIN kept USING (lang, term) GROUP BY ALL),
+grp AS (SELECT DISTINCT lang, source FROM docs),
+vs AS (SELECT lang, count(*) AS v, sum(ln) AS l_total FROM kept GROUP BY lang),
+ns AS (SELECT g.lang, g.source, coalesce(sum(n), 0) AS total FROM grp g LEFT JOIN cnt USING (lang, source) GROUP BY g.lang, g.source),
+own AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n, CAST({_share_sql('coalesce(n, 0)', 'total')} AS BIGINT) AS p, CAST({_share_sql('ln', 'l_total')} AS BIGINT) AS q
+  FROM kept JOIN vs USING (lang) JOIN ns USING (lang) LEFT JOIN cnt USING (lang, source, term)),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM own a JOIN own b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // (p + q) AS value FROM own WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INT) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
+""",
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit(read_table(spark, sf_dir, "documents"))
