@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from labelgraph.llm import (
     chat_repair,
     decontaminate,
+    hyper_minhash,
     jaccard_join,
     mixing,
     paragraph_dedup,
@@ -335,3 +336,30 @@ SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR
 )
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_audit.audit(read_table(spark, sf_dir, "documents"))
+
+
+# ---- 13: near duplicates by HyperMinHash -------------------------------------------------
+@query(
+    "op13_hyper_minhash",
+    rf"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w
+  FROM documents),
+sh AS (
+  SELECT DISTINCT rid, list_slice(w, i, i + least(2, len(w)) - 1) AS s
+  FROM (SELECT rid, w, unnest(range(1, len(w) - least(2, len(w)) + 2)) AS i FROM docs WHERE len(w) > 0)),
+n AS (SELECT rid, count(*) AS n FROM sh GROUP BY rid),
+shared AS (SELECT a.rid AS x, b.rid AS y, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.rid < b.rid GROUP BY 1, 2),
+link AS (SELECT x, y FROM shared JOIN n nx ON nx.rid = x JOIN n ny ON ny.rid = y WHERE 100 * c >= 80 * (nx.n + ny.n - c)),
+sides AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
+reach(x, y) AS (SELECT x, y FROM sides UNION SELECT r.x, s.y FROM reach r JOIN sides s ON r.y = s.x),
+named AS (
+  SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(least(d.doc_id, min(o.doc_id)), d.doc_id, min(o.doc_id)) AS component_id
+  FROM docs d LEFT JOIN n ON n.rid = d.rid LEFT JOIN reach r ON r.x = d.rid LEFT JOIN docs o ON o.rid = r.y
+  GROUP BY d.rid, d.doc_id, n.n)
+SELECT doc_id, n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept FROM named
+""",
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hyper_minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
