@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelgraph.llm.common import stored, tidy
+from labelgraph.llm.common import packed_longs, stored, tidy
 from labelgraph.llm.components import components
 from labelgraph.llm.shingles import mix64, shingle_set
 
@@ -167,10 +167,10 @@ def _order(found: DataFrame):
         least, room = r["step"], room - r["c"]
     if least is None:
         return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
-    top = sums.filter(F.col("step") >= least).select("token", "n").toPandas()  # at most ORDER_SHINGLES rows
-    token = top["token"].to_numpy(dtype=np.int64).view(np.uint64)
+    token, n = packed_longs(sums.filter(F.col("step") >= least), "token", "n")  # at most ORDER_SHINGLES rows
+    token = token.view(np.uint64)
     by = np.argsort(token)
-    return token[by], top["n"].to_numpy(dtype=np.int64)[by]
+    return token[by], n[by]
 
 
 # ---- pass 2: inverted lists of the prefixes ----------------------------------------------
@@ -247,9 +247,9 @@ def _needed_filter(nodes: DataFrame) -> np.ndarray:
     """Bit map of the nodes' hashes: fixed size whatever their number; a false hit only costs work."""
     bit = F.pmod(F.xxhash64("node"), F.lit(1 << FILTER_BITS))
     words = nodes.select(F.shiftright(bit, 6).alias("w"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(node), {1 << FILTER_BITS}) & 63 as int))").alias("b"))
-    rows = words.groupBy("w").agg(F.bit_or("b").alias("b")).toPandas()  # at most 2^20 rows
+    w, b = packed_longs(words.groupBy("w").agg(F.bit_or("b").alias("b")), "w", "b")  # at most 2^20 rows
     out = np.zeros(1 << (FILTER_BITS - 6), dtype=np.int64)
-    out[rows["w"].to_numpy(dtype=np.int64)] = rows["b"].to_numpy(dtype=np.int64)
+    out[w] = b
     return out
 
 
