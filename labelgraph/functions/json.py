@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from labelgraph import constants as K
+from labelgraph.functions.pyjson import json_list, json_object, json_string
 from labelgraph.functions.text import col_
 
 
@@ -68,5 +69,6 @@ def label_struct(dim: Column, names: Column) -> Column:
 
 
 def label_json(dim: Column, names: Column) -> Column:
-    """Compact JSON of :func:`label_struct` (JSON-equal to the original's ``json.dumps``)."""
-    return F.to_json(label_struct(dim, names))
+    """JSON of :func:`label_struct`, byte-equal to the original's ``json.dumps``."""
+    listed = json_list(names, json_string)
+    return json_object({key: F.when(dim == F.lit(d), listed).otherwise("[]") for d, key in zip(K.DIM_NAMES, K.LABEL_KEYS)})

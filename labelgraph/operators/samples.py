@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from labelgraph import constants as K
 from labelgraph.functions.json import STRICT, is_json_string, json_is_valid
+from labelgraph.functions.pyjson import json_string, rewritten
 from labelgraph.functions.text import col_, zero_padded_id
 from labelgraph.operators.sequence import sequence_number
 
@@ -71,7 +72,7 @@ def check_entries(
     text is not JSON was a JSON string (``from_json`` unquotes strings): not an object. Rows of
     files that did not (column ``file_reason``) keep that reason.
 
-    The image must be a non-empty JSON string; labels are any JSON value, kept as JSON. Of
+    The image must be a non-empty JSON string; labels are any JSON value, written as Python does. Of
     repeated keys the last one counts.
     """
     e = F.col(entry)
@@ -92,8 +93,7 @@ def check_entries(
         reason = F.coalesce(F.col("file_reason"), reason)
     out = base.withColumn("reason", reason)
     ok = F.col("reason").isNull()
-    quoted = F.regexp_extract(F.to_json(F.array(lab)), r"(?s)^\[(.*)\]$", 1)
-    labels = F.when(is_json_string(e, lab, label_key), quoted).otherwise(F.coalesce(lab, F.lit("null")))
+    labels = F.when(is_json_string(e, lab, label_key), json_string(lab)).otherwise(F.coalesce(rewritten(lab), F.lit("null")))
     return out.select(
         *entries.columns,
         "reason",
@@ -170,10 +170,10 @@ def file_rejects(exploded: DataFrame) -> DataFrame:
 
 def normalise_annotation(line: Column | str) -> Column:
     """Assistant answer from an annotation line whose ``conversations`` is either a label
-    object (taken as the answer) or a two-turn list (second turn's ``value``)."""
+    object (taken as the answer, written as Python does) or a two-turn list (second turn's ``value``)."""
     conv = F.get_json_object(col_(line), "$.conversations")
     is_obj = F.startswith(F.ltrim(conv), F.lit("{"))
-    return F.when(is_obj, conv).otherwise(F.get_json_object(conv, "$[1].value"))
+    return F.when(is_obj, rewritten(conv)).otherwise(F.get_json_object(conv, "$[1].value"))
 
 
 def annotation_shape(line: Column | str) -> Column:

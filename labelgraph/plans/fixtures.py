@@ -19,6 +19,8 @@ FX_SQL["fx_triples"] = """
 SELECT 'urn:t#'||replace(r_name,' ','_') AS s,'type' AS p,'urn:t#Area' AS o,'iri' AS o_kind,0 AS pos FROM region
 UNION ALL SELECT 'urn:t#'||n_name,'type','urn:t#Area','iri',0 FROM nation
 UNION ALL SELECT 'urn:t#'||replace(s_name,'#','_'),'type','urn:t#Area','iri',0 FROM supplier
+UNION ALL SELECT 'urn:t#'||n_name||' é😀','type','urn:t#Area','iri',0 FROM nation
+UNION ALL SELECT 'urn:t#'||n_name||' é😀','partOfArea','urn:t#'||n_name,'iri',0 FROM nation
 UNION ALL SELECT DISTINCT 'urn:t#'||p_type,'type','urn:t#Scope','iri',0 FROM part
 UNION ALL SELECT DISTINCT 'urn:t#'||replace(p_brand,'#','_'),'type','urn:t#Scope','iri',0 FROM part
 UNION ALL SELECT DISTINCT 'urn:t#'||c_mktsegment,'type','urn:t#Ability','iri',0 FROM customer
@@ -64,7 +66,7 @@ FX_SQL["fx_entries"] = """
 SELECT 'data/'||source||'/'||CAST(d.doc_id AS STRING)||'/meta.json' AS meta_path, 0 AS pos,
  CASE WHEN d.doc_id%23=0 THEN '{"questionImage": ' WHEN d.doc_id%29=0 THEN '"a string"' ELSE
  '{"n":'||CAST(d.doc_id AS STRING)||CASE WHEN d.doc_id%17=0 THEN '' WHEN d.doc_id%31=0 THEN ',"questionImage":["img.png"]' WHEN d.doc_id%37=0 THEN ',"questionImage":"[5].png"' WHEN d.doc_id%2=0 THEN ',"questionImage":"..'||chr(92)||chr(92)||'img'||chr(92)||chr(92)||CAST(d.doc_id AS STRING)||'.png"' ELSE ',"questionImage":"img/'||CAST(d.doc_id AS STRING)||'.png"' END
- ||CASE WHEN l.doc_id IS NULL THEN '' WHEN d.doc_id%19=0 THEN ',"labels":null' WHEN d.doc_id%11=0 THEN ',"labels":"text label"' ELSE ',"labels":{"Areas":["NATION_'||CAST(d.doc_id%25 AS STRING)||'"],"Scopes":["Brand_'||CAST(1+d.doc_id%25 AS STRING)||'"],"Abilities":["'||CASE WHEN toxic=1 THEN 'MACHINERY' ELSE 'BUILDING' END||'"]}' END||'}' END AS entry
+ ||CASE WHEN l.doc_id IS NULL THEN '' WHEN d.doc_id%19=0 THEN ',"labels":null' WHEN d.doc_id%11=0 THEN ',"labels":"text label é😀 '||chr(92)||'u00e9'||chr(92)||'n'||chr(92)||'"q'||chr(92)||'""' ELSE ',"labels":{"Areas":["'||CASE WHEN d.doc_id%7=3 THEN 'Zoë 😀, '||chr(92)||'"x'||chr(92)||'": ' ELSE 'NATION_'||CAST(d.doc_id%25 AS STRING) END||'"],"Scopes":["Brand_'||CAST(1+d.doc_id%25 AS STRING)||'"],"Abilities":["'||CASE WHEN toxic=1 THEN 'MACHINERY' ELSE 'BUILDING' END||'"]}' END||'}' END AS entry
 FROM documents d LEFT JOIN labels l ON d.doc_id=l.doc_id
 """
 

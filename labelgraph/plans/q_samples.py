@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from labelgraph import constants as K
 from labelgraph.functions.json import has_key
+from labelgraph.functions.pyjson import json_of
 from labelgraph.operators import samples as S
 from labelgraph.plans.fixtures import fixture
-from labelgraph.plans.registry import query
+from labelgraph.plans.registry import py_list_sql, py_string_sql, query
 from labelgraph.session import scratch_path
 from labelgraph.sources import jsonl
 from labelgraph.sources.meta import explode_entries, quarantine
@@ -44,6 +45,19 @@ def canon_final(p: str) -> str:
     return f"(CASE WHEN {canon_sql(p)} = '' THEN '.' ELSE {canon_sql(p)} END)"
 
 
+def lists_object_sql(doc: str, path: str) -> str:
+    """An object of string lists inside a JSON text, as Python writes it."""
+    own = py_list_sql(f"CAST(json_extract({doc}, '{path}.' || k) AS VARCHAR[])")
+    keys = f"list_transform(json_keys({doc}, '{path}'), lambda k: {py_string_sql('k')} || ': ' || {own})"
+    return f"('{{' || array_to_string({keys}, ', ') || '}}')"
+
+
+# labels of the fixture: an object of string lists, a string, or null
+_LABELS_SQL = f"""CASE json_type(entry, '$.labels')
+      WHEN 'OBJECT' THEN {lists_object_sql('entry', '$.labels')}
+      WHEN 'VARCHAR' THEN {py_string_sql("json_extract_string(entry, '$.labels')")}
+      ELSE 'null' END"""
+
 CHECK_CTES = f"""
 e0 AS (
   SELECT meta_path, pos, entry,
@@ -68,7 +82,7 @@ checked AS (
   SELECT meta_path, pos, reason,
     CASE WHEN reason IS NULL THEN replace(CASE WHEN starts_with(rel, '/') OR dir = '' THEN rel
          WHEN ends_with(dir, '/') THEN dir || rel ELSE dir || '/' || rel END, chr(92), '/') END AS image,
-    CASE WHEN reason IS NULL THEN json_extract(entry, '$.labels')::VARCHAR END AS labels_json
+    CASE WHEN reason IS NULL THEN {_LABELS_SQL} END AS labels_json
   FROM e3),
 checked2 AS (SELECT *, CASE WHEN image IS NOT NULL THEN {canon_final('image')} END AS image_path FROM checked),
 listing AS (SELECT DISTINCT {canon_final('path')} AS image_path FROM fx_images),
@@ -161,13 +175,23 @@ def conversation_struct(spark, sf):
 _SAMPLE_COLS = "SELECT id, image, conversations[1].value AS human, conversations[2].value AS gpt FROM samples"
 
 
-def _sample_cols(df):
-    return df.select("id", "image", df.conversations[0]["value"].alias("human"), df.conversations[1]["value"].alias("gpt"))
+def _sample_cols(df, *more):
+    return df.select("id", "image", df.conversations[0]["value"].alias("human"), df.conversations[1]["value"].alias("gpt"), *more)
 
 
-@query("train_samples", with_entries(_SAMPLE_COLS), FE)
+def _sample_line_sql() -> str:
+    """The whole line of the output file, byte for byte."""
+    turns = ", ".join(
+        f"""{{"from": "{role}", "value": ' || {py_string_sql(f'conversations[{i}].value')} || '}}""" for i, role in enumerate((K.HUMAN_ROLE, K.ASSISTANT_ROLE), 1)
+    )
+    return f"""('{{"id": "' || id || '", "image": ' || {py_string_sql('image')} || ', "conversations": [{turns}]}}')"""
+
+
+@query("train_samples", with_entries(f"{_SAMPLE_COLS.replace(' FROM samples', '')}, {_sample_line_sql()} AS line FROM samples"), FE)
 def train_samples(spark, sf):
-    return _sample_cols(S.training_samples(entries(spark, sf), images(spark, sf)))
+    s = S.training_samples(entries(spark, sf), images(spark, sf))
+    row = F.struct("id", "image", "conversations")
+    return _sample_cols(s.select("id", "image", "conversations", json_of(row, jsonl.SAMPLE_SCHEMA).alias("line")), "line")
 
 
 @query("jsonl_roundtrip", with_entries(_SAMPLE_COLS), FE)
@@ -179,15 +203,15 @@ def jsonl_roundtrip(spark, sf):
     return _sample_cols(jsonl.read_samples(spark, path))
 
 
-_ANNOT_SQL = """
+_ANNOT_SQL = f"""
 ann AS (
-  SELECT id, CASE WHEN CAST(substr(id, 8) AS BIGINT) % 2 = 0 AND starts_with(labels_json, '{')
-    THEN '{"id":"' || id || '","image":"' || image || '","conversations":' || labels_json || '}'
-    ELSE to_json({'id': id, 'image': image, 'conversations': conversations}) END AS line
+  SELECT id, CASE WHEN CAST(substr(id, 8) AS BIGINT) % 2 = 0 AND starts_with(labels_json, '{{')
+    THEN '{{"id":"' || id || '","image":"' || image || '","conversations":' || labels_json || '}}'
+    ELSE to_json({{'id': id, 'image': image, 'conversations': conversations}}) END AS line
   FROM samples),
-conv AS (SELECT id, json_extract(line, '$.conversations')::VARCHAR AS c FROM ann)
-SELECT id, CASE WHEN starts_with(ltrim(c), '{') THEN 'object' WHEN starts_with(ltrim(c), '[') THEN 'list' END AS shape,
-       CASE WHEN starts_with(ltrim(c), '{') THEN c ELSE json_extract_string(c, '$[1].value') END AS answer
+conv AS (SELECT id, line, json_type(line, '$.conversations') AS kind FROM ann)
+SELECT id, CASE kind WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'list' END AS shape,
+       CASE kind WHEN 'OBJECT' THEN {lists_object_sql('line', '$.conversations')} ELSE json_extract_string(line, '$.conversations[1].value') END AS answer
 FROM conv"""
 
 

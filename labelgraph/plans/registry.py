@@ -72,8 +72,25 @@ edges AS (
 """
 
 
+def py_string_sql(x: str) -> str:
+    """DuckDB text of a string as Python's ``json.dumps`` writes it, code point by code point."""
+    short = {'"': r'\"', "\\": "\\\\", "\n": r"\n", "\r": r"\r", "\t": r"\t", "\b": r"\b", "\f": r"\f"}
+    cases = " ".join(f"WHEN {ord(c)} THEN '{e}'" for c, e in short.items())
+    unit = r"printf('\u%04x', {})"
+    pair = f"{unit.format('55296 + (u - 65536) // 1024')} || {unit.format('56320 + (u - 65536) % 1024')}"
+    one = f"CASE u {cases} ELSE CASE WHEN u BETWEEN 32 AND 126 THEN chr(u) WHEN u < 65536 THEN {unit.format('u')} ELSE {pair} END END"
+    points = f"list_transform(range(1, length({x}) + 1), lambda i: CAST(unicode(substring({x}, CAST(i AS INT), 1)) AS INT))"
+    slow = f"array_to_string(list_transform({points}, lambda u: {one}), '')"
+    plain = f"regexp_full_match({x}, '[ !#-\\[\\]-~]*')"
+    return f"""('"' || CASE WHEN {plain} THEN {x} ELSE {slow} END || '"')"""
+
+
+def py_list_sql(items: str) -> str:
+    return f"('[' || array_to_string(list_transform({items}, lambda s: {py_string_sql('s')}), ', ') || ']')"
+
+
 def label_json_sql(dim: str, names: str) -> str:
     parts = []
     for d, key in zip(K.DIM_NAMES, K.LABEL_KEYS):
-        parts.append(f"'{key}': CASE WHEN {dim} = '{d}' THEN {names} ELSE []::VARCHAR[] END")
-    return "CAST(to_json({" + ", ".join(parts) + "}) AS VARCHAR)"
+        parts.append(f""" '"{key}": ' || CASE WHEN {dim} = '{d}' THEN {py_list_sql(names)} ELSE '[]' END """)
+    return "('{' || " + "|| ', ' ||".join(parts) + "|| '}')"

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from labelgraph.functions.pyjson import json_of
+
 TURN = T.StructType([T.StructField("from", T.StringType()), T.StructField("value", T.StringType())])
 SAMPLE_SCHEMA = T.StructType(
     [
@@ -18,9 +20,9 @@ QA_SCHEMA = T.StructType([T.StructField("instruction", T.StringType()), T.Struct
 
 
 def write_jsonl(df: DataFrame, path: str, single_file: bool = False, skip_empty: bool = True) -> int:
-    """Overwrite ``path`` with one JSON object per line (a directory of part files); returns
-    the number of rows written, counted by an ``observe`` metric during the write itself (no
-    second pass over the data).
+    """Overwrite ``path`` with one JSON object per line (a directory of part files), each line
+    byte-equal to Python's ``json.dumps``; returns the number of rows written, counted by an
+    ``observe`` metric during the write itself (no second pass over the data).
 
     ``single_file`` coalesces to one part (only for small outputs). With ``skip_empty`` an
     empty frame writes nothing and returns 0, like the original's "no output when empty"
@@ -31,7 +33,8 @@ def write_jsonl(df: DataFrame, path: str, single_file: bool = False, skip_empty:
     obs = Observation("jsonl_rows")
     out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     out = out.coalesce(1) if single_file else out
-    out.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    line = json_of(F.struct(*[F.col(f"`{c}`") for c in df.columns]), df.schema)
+    out.select(line.alias("value")).write.mode("overwrite").text(path)
     return int(obs.get["rows"])
 
 

@@ -219,7 +219,7 @@ def test_odd_names_and_values(spark):
     assert set(by) == {"data/a b/meta.json", "data/é+c%20/meta.json", "data/plain/meta.json"}
     for got in by.values():
         assert [got[i][0] for i in range(7)] == ["accepted"] * 4 + ["bad_image"] * 2 + ["accepted"]
-        assert [got[i][1] for i in (0, 1, 2, 3, 6)] == ['{"Areas":[]}', '"text label"', '""', "5", '{"x":1}']
+        assert [got[i][1] for i in (0, 1, 2, 3, 6)] == ['{"Areas": []}', '"text label"', '""', "5", '{"x": 1}']
 
 
 def test_rdf_scan_splits_one_file_and_keeps_all_predicates(spark):
