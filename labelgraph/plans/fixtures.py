@@ -104,6 +104,18 @@ FX_SQL["fx_pages"] = """
 SELECT doc_id, CAST(1+floor(n_chars/2000) AS INT) AS n_pages FROM documents
 """
 
+# a graph with planted cycles: chains of suppliers that close, nations that are below some of their
+# customers, customers below themselves
+FX_SQL["fx_links"] = """
+SELECT 'S'||CAST(s_suppkey AS STRING) AS child, 'S'||CAST(s_suppkey-1 AS STRING) AS parent FROM supplier WHERE s_suppkey%8<>0
+UNION ALL SELECT 'S'||CAST(s_suppkey-5 AS STRING), 'S'||CAST(s_suppkey AS STRING) FROM supplier WHERE s_suppkey%24=7
+UNION ALL SELECT 'S'||CAST(s_suppkey AS STRING), 'N'||CAST(s_nationkey AS STRING) FROM supplier
+UNION ALL SELECT 'C'||CAST(c_custkey AS STRING), 'N'||CAST(c_nationkey AS STRING) FROM customer
+UNION ALL SELECT 'N'||CAST(c_nationkey AS STRING), 'C'||CAST(c_custkey AS STRING) FROM customer WHERE c_custkey%40=7
+UNION ALL SELECT 'C'||CAST(c_custkey AS STRING), 'C'||CAST(c_custkey AS STRING) FROM customer WHERE c_custkey%97=0 OR c_custkey%80=7
+UNION ALL SELECT 'N'||CAST(n_nationkey AS STRING), 'R'||CAST(n_regionkey AS STRING) FROM nation
+"""
+
 # fixture -> fixtures it reads (besides base tables)
 FX_DEPS = {"fx_meta_files": ["fx_entries"]}
 
@@ -157,6 +169,14 @@ def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _FIXTURES[key]
 
 
+def derived(spark: SparkSession, sf_dir: str, name: str, build):
+    """What ``build()`` derives from fixtures and stores, once for a session and folder."""
+    key = (_session_key(spark), sf_dir.rstrip("/"), name)
+    if key not in _FIXTURES:
+        _FIXTURES[key] = build()
+    return _FIXTURES[key]
+
+
 def with_fixtures(sql: str, *names: str) -> str:
     """Prefix an oracle query with the fixture views it needs, as DuckDB CTEs."""
     ordered: list[str] = []

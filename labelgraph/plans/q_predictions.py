@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from labelgraph import constants as K
 from labelgraph.operators import ontology as O
 from labelgraph.operators import predictions as P
+from labelgraph.operators import reach as R
 from labelgraph.plans.fixtures import fixture
-from labelgraph.plans.q_graph import closure_names
+from labelgraph.plans.q_graph import term_index
 from labelgraph.plans.registry import CONCEPT_CTES, WS, lname_sql, query
 
 V = O.Vocab.bare()
@@ -43,7 +44,7 @@ def pred_dedupe(spark, sf):
 
 @query("pred_prune_ancestors", f"WITH RECURSIVE {CONCEPT_CTES}, {_DD}, {_PRUNE} SELECT sample_id, dim, term, pos FROM pruned", FP)
 def pred_prune_ancestors(spark, sf):
-    return P.prune_ancestors(preds(spark, sf), closure_names(spark, sf))
+    return R.prune_covered(preds(spark, sf), term_index(spark, sf))
 
 
 @query(
@@ -85,7 +86,7 @@ def _json_by_dim(dim_col: str = "dim") -> str:
 )
 def pred_clean_json(spark, sf):
     v = vocab(spark, sf)
-    pruned = P.prune_ancestors(preds(spark, sf), closure_names(spark, sf))
+    pruned = R.prune_covered(preds(spark, sf), term_index(spark, sf))
     clean = pruned.join(v, ["term", "dim"], "left_semi")
     return P.clean_json(clean, preds(spark, sf).select("sample_id"))
 
@@ -264,5 +265,5 @@ def pred_pipeline(spark, sf):
     """Extract, parse, keep known terms of the right dimension, dedupe, prune, write again: a row per response."""
     p = parsed(spark, sf)
     known = P.long_labels(p).join(vocab(spark, sf), ["term", "dim"], "left_semi")
-    clean = P.clean_json(P.prune_ancestors(known, closure_names(spark, sf)), p.select("sample_id"))
+    clean = P.clean_json(R.prune_covered(known, term_index(spark, sf)), p.select("sample_id"))
     return p.select("sample_id", "error").join(clean, "sample_id")
