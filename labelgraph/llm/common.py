@@ -178,3 +178,21 @@ def _free(stem: str, taken: set[str]) -> str:
 def only(df: DataFrame, *cols: str) -> DataFrame:
     """The named columns alone: extra columns, whatever their names, don't reach the operator."""
     return df.select(*[F.col(f"`{c}`") for c in cols])
+
+
+def carried(docs: DataFrame, *need: str):
+    """The columns ``need`` and all others as one struct, so that no name of theirs can meet one
+    that an operator uses; and a function that gives a result back its columns, in order.
+
+    ``restore(df, *more, without=())`` unpacks ``df`` and adds further columns; columns named in
+    ``without`` are left out.
+    """
+    name = _free("carried", set(need))
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in need]
+    own = docs.select(*[F.col(f"`{c}`") for c in need], F.struct(*(rest or [F.lit(0).alias("none")])).alias(name))
+
+    def restore(df: DataFrame, *more, without: tuple[str, ...] = ()) -> DataFrame:
+        cols = [F.col(f"`{c}`") if c in need else F.col(name).getField(c).alias(c) for c in docs.columns if c not in without]
+        return df.select(*cols, *more)
+
+    return own, restore

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelgraph.llm.common import only, stored, tidy
+from labelgraph.llm.common import carried, only, stored, tidy
 
 WINDOW = 13
 #: Text bytes of the benchmark that one broadcast set may hold; more is scanned in blocks of it.
@@ -205,22 +205,24 @@ def verdicts(annotated: DataFrame) -> DataFrame:
 
 
 def remove_documents(docs: DataFrame, benchmark: DataFrame, **kw) -> DataFrame:
-    """The documents that are not contaminated, with their own columns only."""
-    judged = annotate(docs, benchmark, **kw)
+    """The documents that are not contaminated, with their own columns only, whatever their names."""
+    own, restore = carried(docs, kw.get("text", "text"))
+    judged = annotate(own, benchmark, **kw)
     c = F.col("contamination")
     bad = (c["n_hit"] > 0) & (20 * c["n_hit"] >= c["n_words"])
-    return judged.filter(~bad).drop("contamination")
+    return restore(judged.filter(~bad))
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", **kw) -> DataFrame:
     """All documents, each text without its hit spans; what stands between two spans is kept."""
-    judged = annotate(docs, benchmark, text=text, **kw)
+    own, restore = carried(docs, text)
+    judged = annotate(own, benchmark, text=text, **kw)
     t, spans = F.col(f"`{text}`"), F.col("contamination.hit_spans")
     ends = F.concat(F.array(F.lit(0)), F.transform(spans, lambda s: s["end"]))
     starts = F.concat(F.transform(spans, lambda s: s["start"]), F.array(F.length(t)))
     pieces = F.transform(F.arrays_zip(ends.alias("a"), starts.alias("b")), lambda p: F.substr(t, p["a"] + 1, p["b"] - p["a"]))
     cut = F.when(F.size(spans) > 0, F.concat_ws("", pieces)).otherwise(t)
-    return judged.withColumn(text, cut).drop("contamination")
+    return restore(judged.withColumn(text, cut))
 
 
 def items_digest(ids: list[str]) -> str:

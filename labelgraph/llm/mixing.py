@@ -14,9 +14,9 @@ from fractions import Fraction
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelgraph.llm.common import prefix_sums, stored
+from labelgraph.llm.common import carried, only, prefix_sums, stored
 
-#: Columns that ``mix`` adds; columns of these names, ``_member`` and ``_order`` are replaced.
+#: Columns that ``mix`` adds; columns of these names are replaced.
 RESULT = ("mix_size", "mix_copies", "mix_source_size", "mix_target")
 #: 60 bits of MD5, so that SQL and Spark order documents alike.
 ORDER_HEX = 15
@@ -137,7 +137,7 @@ def mix(
         member = F.when(F.size(member) == 0, F.array(F.lit(None).cast("string"))).otherwise(member)
     else:
         member = F.array(col.cast("string"))
-    docs = docs.drop(*RESULT, "_member", "_order")
+    docs, restore = carried(docs, *dict.fromkeys((key, text, sources)))
     add = {"mix_size": words, "_member": member, "_order": seeded_order(key, text, seed)}
     own = docs.withColumns(add)
     classes = stored(
@@ -179,18 +179,18 @@ def mix(
     middle = 2 * F.col("_cut_before") + F.col("mix_size") <= 2 * F.col("_rest")
     single = placed.filter(~(at_cut & (F.col("_cut_n") > 1)))
     single = single.withColumn("mix_copies", F.col("_whole") + F.when(at_cut, middle).otherwise(once_more).cast("int"))
-    keep = [*docs.columns, *RESULT]
-    out = single.select(*[F.col(f"`{c}`") for c in keep])
+    out = restore(single, *RESULT, without=RESULT)
     if any(r["n"] > 1 for r in cuts.values()):
         shared = placed.filter(at_cut & (F.col("_cut_n") > 1))
         shared = prefix_sums(shared, ["_order", "mix_size"], {"_in": "mix_size"}, groups=["_member"], name="mix-cut")
         more = 2 * (F.col("_cut_before") + F.col("_in")) + F.col("mix_size") <= 2 * F.col("_rest")
         shared = shared.withColumn("mix_copies", F.col("_whole") + more.cast("int"))
-        out = out.unionByName(shared.select(*[F.col(f"`{c}`") for c in keep]))
+        out = out.unionByName(restore(shared, *RESULT, without=RESULT))
     return out
 
 
 def repeat_rows(mixed: DataFrame, columns: list[str]) -> DataFrame:
     """The mix itself: each document as often as it is taken, with the named columns."""
-    rows = mixed.filter("mix_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies"))))
-    return rows.select(*[F.col(f"`{c}`") for c in columns])
+    own, restore = carried(mixed, "mix_copies")
+    rows = restore(own.filter("mix_copies > 0").select("*", F.explode(F.sequence(F.lit(1), F.col("mix_copies"))).alias("copy")))
+    return only(rows, *columns)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from labelgraph.llm.common import stored, tidy
+from labelgraph.llm.common import carried, stored, tidy
 from labelgraph.llm.components import components
 from labelgraph.llm.jaccard_join import DEN, NUM, is_link
 from labelgraph.llm.shingles import SHINGLE, mix64, shingle_hashes, shingle_set, word_hashes
@@ -408,15 +408,19 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text")
 
 
 def remove_passages(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """All documents, each text without its repeated passages; columns unchanged otherwise."""
+    """All documents, each text without its repeated passages; columns unchanged otherwise.
+
+    Null texts and keys stay as they are, repeated rows are cut alike, an empty table stays empty.
+    """
     found = _runs(repeated_passages(docs, key, text), ["text_hash"]).groupBy("text_hash", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
     cuts = found.groupBy(F.col("text_hash").alias("_cut_of")).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_cuts"))  # one document's
     t = F.col(f"`{text}`")
-    src = docs.withColumn("_cut_hash", F.xxhash64(F.col(f"`{key}`"), t))
+    own, restore = carried(docs, key, text)
+    src = own.withColumn("_cut_hash", F.xxhash64(F.col(f"`{key}`"), t))
     out = src.join(cuts, F.col("_cut_hash") == F.col("_cut_of"), "left")
     begin = F.concat(F.array(F.lit(0).cast("long")), F.transform("_cuts", lambda c: c["end"]))
     stop = F.concat(F.transform("_cuts", lambda c: c["start"]), F.array(F.length(t).cast("long")))
     kept = F.transform(
         F.arrays_zip(begin.alias("a"), stop.alias("b")), lambda p: F.substr(t, (p["a"] + 1).cast("int"), (p["b"] - p["a"]).cast("int"))
     )
-    return out.withColumn(text, F.when(F.col("_cuts").isNull(), t).otherwise(F.concat_ws("", kept))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return restore(out.withColumn(text, F.when(F.col("_cuts").isNull(), t).otherwise(F.concat_ws("", kept))))

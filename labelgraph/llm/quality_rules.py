@@ -10,9 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelgraph.llm.common import words_of
+from labelgraph.llm.common import carried, words_of
 
 WINDOW = 8
+MEASUREMENTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 
 #: Rule name -> condition on the measurements that fails a document; the position is its bit.
 RULES: dict[str, str] = {
@@ -51,11 +52,12 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     that occurs twice or more in the text, the first occurrence included. Lines count when they
     have a word; a duplicate line equals an earlier one of the text. Rows are measured one by one,
     without a shuffle, so repeated rows and long texts need nothing special. A column that already
-    has the name of a measurement is replaced.
+    has the name of a measurement is replaced; others pass through, whatever their names.
     """
-    t = F.coalesce(F.col(text), F.lit(""))
+    docs, restore = carried(docs, text)
+    t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    out = docs.withColumns({"_words": words_of(F.col(text)), "_lines": lines})
+    out = docs.withColumns({"_words": words_of(F.col(f"`{text}`")), "_lines": lines})
     out = out.withColumn("_hashes", _window_hashes("_words"))
     # only a text whose hashes repeat sorts them; each step is a column of its own, so that
     # the functions of the next step read it instead of computing it for every element
@@ -81,7 +83,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
             "n_repeat_words": F.coalesce(rep, F.lit(0)).cast("long"),
         }
     )
-    return out.drop("_words", "_lines", "_hashes", "_at", "_starts")
+    return restore(out, *MEASUREMENTS, without=MEASUREMENTS)
 
 
 def ledger(measured: DataFrame) -> DataFrame:

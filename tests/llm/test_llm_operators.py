@@ -230,7 +230,7 @@ def test_decontamination_equals_brute_force(spark, edge, empty, edge_rows, monke
     cut = {r.doc_id: r.text for r in DE.remove_spans(edge.where("doc_id in (7, 9, 13)"), bench).collect()}
     assert cut[7] == "" and "日本語" not in cut[9] and "line one" not in cut[13]
     kept = DE.remove_documents(edge, bench)
-    assert kept.count() == sum(not w[5] for w in want) and "contamination" not in kept.columns
+    assert kept.count() == sum(not w[5] for w in want) and kept.columns == edge.columns  # its own column of that name included
 
 
 # ---- 3 -----------------------------------------------------------------------------------
@@ -590,3 +590,44 @@ def test_entry_point_has_every_query(spark):
     names = E.queries()
     assert {f"op{n}_" for n in range(1, 11)} <= {re.match(r"op\d+_", k)[0] for k in names if k.startswith("op")}
     assert "pipeline" in names and os.path.exists(os.path.join(os.path.dirname(E.__file__), "corpus_pipeline.py"))
+
+
+# ---- clashing column names ---------------------------------------------------------------
+HARD = ["_words", "_lines", "_at", "_member", "_order", "_whole", "_cut", "_p", "_copy", "_cut_of", "_cuts", "_cut_hash", "_join_th", "_join_k", "carried", "row"]
+HARD += ["n_words", "kept", "failed_bits", "mix_size", "mix_copies", "mix_target", "contamination", "a.b", "c d", "th", "node", "k", "t", "text2"]
+
+
+def test_pipeline_stages_pass_any_columns(spark, edge_rows):
+    import corpus_pipeline as CP
+    from labelgraph.llm.common import read_table, stored
+
+    plain = spark.createDataFrame([(i, t, "en", s, 0) for i, t, s in edge_rows], "doc_id long, text string, lang string, source string, n_chars long")
+    plain = plain.unionByName(read_table(spark, SF_SMALL, "documents").limit(60))
+    more = plain.select("*", *[F.concat(F.lit(f"{c}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))).alias(c) for c in HARD])
+    for name, stage in CP.STAGES:
+        a, b = stored(stage(spark, plain, SF_SMALL), f"plain-{name}"), stored(stage(spark, more, SF_SMALL), f"more-{name}")
+        if name == "token_blocks":
+            assert a.count() == b.count()
+            break
+        assert b.columns == more.columns
+        assert sorted(map(str, b.select(*plain.columns).collect())) == sorted(map(str, a.collect()))
+        for r in b.collect():
+            for c in HARD:
+                assert r[c] == f"{c}:{'-' if r.doc_id is None else r.doc_id}"
+        plain, more = a, b
+
+
+def test_operators_pass_any_columns(spark, edge_rows):
+    from labelgraph.llm.common import read_table
+
+    plain = spark.createDataFrame(edge_rows, "doc_id long, text string, source string")
+    more = plain.select("*", *[F.lit(c).alias(c) for c in HARD])
+    bench = read_table(spark, SF_SMALL, "benchmark")
+    for op in (PD.remove_passages, lambda d: DE.remove_spans(d, bench), lambda d: DE.remove_documents(d, bench)):
+        a, b = op(plain), op(more)
+        assert b.columns == more.columns
+        assert sorted(map(str, b.select(*plain.columns).collect())) == sorted(map(str, a.collect()))
+    for op, new in ((QR.measure, QR.MEASUREMENTS), (MX.mix, MX.RESULT)):
+        a, b = op(plain), op(more)
+        assert set(b.columns) == {*more.columns, *new} and len(b.columns) == len(set(b.columns))
+        assert sorted(map(str, b.select(*a.columns).collect())) == sorted(map(str, a.collect()))
