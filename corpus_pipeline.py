@@ -1,7 +1,8 @@
 """Corpus pipeline: quality rules, near duplicates, decontamination, mixing, token blocks.
 
 Each stage takes (spark, docs, sf_dir) and works on all that the one before kept; all but the last
-return the columns of ``documents``. ``run`` writes every stage's result as Parquet in the shared
+return the columns of ``documents``, whatever further columns it has. Repeated rows are documents of
+their own until near duplicates go, null ids are ids like others, an empty table stays empty. ``run`` writes every stage's result as Parquet in the shared
 folder and rereads it for the next.
 """
 
@@ -10,29 +11,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from labelgraph.llm import decontaminate, jaccard_join, mixing, quality_rules, token_blocks
-from labelgraph.llm.common import read_table, stored
+from labelgraph.llm.common import carried, read_table, stored
 from labelgraph.llm.queries import END_ID, tokenizer_path
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no quality rule rejects."""
-    led = quality_rules.ledger(quality_rules.measure(docs))
-    return quality_rules.apply_policy(led).filter("kept").select(*docs.columns)
+    """Documents that no quality rule rejects; those without words (null, empty) are rejected."""
+    own, restore = carried(docs, "doc_id", "text")
+    led = quality_rules.ledger(quality_rules.measure(own))
+    return restore(quality_rules.apply_policy(led).filter("kept"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest id."""
-    return jaccard_join.keep_one(docs)
+    """One document of each group of near duplicates, the one with the smallest id; texts without
+    words are in no group."""
+    own, restore = carried(docs, "doc_id", "text")
+    return restore(jaccard_join.keep_one(own))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without benchmark contamination."""
+    """Documents without benchmark contamination; texts without words have none."""
     return decontaminate.remove_documents(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix by source weights: a document as many times as it is taken."""
-    return mixing.repeat_rows(mixing.mix(docs), docs.columns)
+    """The mix by source weights: a document as many times as it is taken; null is a source."""
+    own, restore = carried(docs, "doc_id", "text", "source")
+    return restore(mixing.repeat_rows(mixing.mix(own), own.columns))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
