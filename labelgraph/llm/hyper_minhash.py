@@ -9,15 +9,18 @@ of these sizes share on average.
 Equal sets are one class. Bands of six registers (empty ones borrow from a filled one) say which
 classes may be alike. In each band bucket the class with most company is the pivot, the likely
 original; every class is compared with its closest pivot first. Buckets whose members that leaves in
-several components are compared whole, in tiles that carry registers, not texts, and only members of
-different components whose sizes allow a link. Pairs whose estimate is far below the threshold are
-dropped, all others are verified on the full shingle sets of the texts.
+several components are compared whole, in tiles that carry registers and bitmaps, not texts, and only
+members of different components whose sizes allow a link. The tiles run twice: first each class
+outside its bucket's main component names the one partner that is likeliest, then, with the
+components that gives, all pairs that are still apart are named. Pairs whose estimate is far below
+the threshold are dropped, as are those whose bitmaps differ in more places than a link allows; all
+others are verified on the full shingle sets of the texts.
 """
 
 from __future__ import annotations
 
 import math
-from functools import reduce
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +42,8 @@ EMPTY = 0xFFFF
 BANDS, BAND_SIZE = 42, 6
 #: A pair is dropped when its estimate is this many standard errors below the threshold.
 MARGIN = 6.0
+#: Bits of a bitmap for each element, at least.
+BITS_EACH = 8
 #: Members of a bucket up to which it is one tile, and members of a tile's side beyond that.
 TILE = 1024
 #: Texts whose sketch a task remembers, so that copies are not sketched again.
@@ -84,18 +89,27 @@ _EDGES = np.concatenate([2.0 ** -(i + 1) * (1 + np.arange(_CELLS) / _CELLS) for
 _ENDS = np.concatenate([2.0 ** -(i + 1) * (1 + (np.arange(_CELLS) + 1) / _CELLS) for i in range(HASH_BITS)])
 
 
+@lru_cache(maxsize=4096)
+def _cells(size: int) -> np.ndarray:
+    """Probability of each cell to hold a bucket's least value, for a set of this size."""
+    return np.exp(size * np.log1p(-_EDGES / BUCKETS)) - np.exp(size * np.log1p(-_ENDS / BUCKETS))
+
+
 def expected_collisions(n: np.ndarray, m: np.ndarray) -> np.ndarray:
     """Registers that two sets of n and m unrelated elements share on average.
 
     A bucket's least value lies in a cell with a probability given by the set's size; an eighth of
     a power of two holds 2^MANTISSA / 8 registers that are about equally likely.
     """
-
-    def cells(size):
-        size = np.asarray(size, dtype=np.float64)[:, None]
-        return np.exp(size * np.log1p(-_EDGES / BUCKETS)) - np.exp(size * np.log1p(-_ENDS / BUCKETS))
-
-    return BUCKETS * (cells(n) * cells(m)).sum(axis=1) * _CELLS / (1 << MANTISSA)
+    if not len(n):
+        return np.zeros(0)
+    (sizes_n, at_n), (sizes_m, at_m) = (np.unique(x, return_inverse=True) for x in (n, m))
+    cells_n, cells_m = (np.stack([_cells(int(k)) for k in sizes]) for sizes in (sizes_n, sizes_m))
+    if len(sizes_n) * len(sizes_m) <= len(n):
+        chance = (cells_n @ cells_m.T)[at_n, at_m]
+    else:
+        chance = np.concatenate([(cells_n[at_n[i : i + 2048]] * cells_m[at_m[i : i + 2048]]).sum(axis=1) for i in range(0, len(n), 2048)])
+    return BUCKETS * chance * _CELLS / (1 << MANTISSA)
 
 
 def passes(same: np.ndarray, filled: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
@@ -225,36 +239,81 @@ def _star_pairs(rows: DataFrame) -> DataFrame:
     return best.select(F.col("best.p.c").alias("a"), F.col("c").alias("b"))
 
 
-def tile_pairs(regs: np.ndarray, n: np.ndarray, root: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs of the two sides that have different roots and whose estimate allows a link."""
-    out = []
+def bitmap(s: np.ndarray) -> bytes:
+    """A power of two of bits, BITS_EACH or more for each element; elements set a bit by their hash."""
+    bits = np.zeros(1 << max(6, (BITS_EACH * len(s) - 1).bit_length()), dtype=bool)
+    bits[((s >> np.uint64(20)) & np.uint64(len(bits) - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def bitmaps_allow(x: int, wide_x: int, n: int, y: int, wide_y: int, m: int) -> bool:
+    """Whether sets with these bitmaps and sizes can be a link: a bit that one of them has alone is
+    an element that one set has alone. The wider bitmap is folded to the width of the other."""
+    while wide_x != wide_y:
+        if wide_x < wide_y:
+            x, wide_x, y, wide_y = y, wide_y, x, wide_x
+        wide_x //= 2
+        x = (x >> wide_x) | (x & ((1 << wide_x) - 1))
+    return (x ^ y).bit_count() <= n + m - 2 * -(-NUM * (n + m) // (NUM + DEN))
+
+
+def tile_pairs(regs: np.ndarray, bits: list[bytes], n: np.ndarray, root: np.ndarray, left: np.ndarray, right: np.ndarray, best: bool, step: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs (index left, index right, equal registers) that have different roots and that registers
+    and bitmaps allow to be links; with ``best`` one for each left index, that with most equal ones.
+    Members of one size step meet in two windows and are compared in that of the lower step."""
+    out: list[tuple[int, int, int]] = []
     filled = regs != EMPTY
-    other, other_filled = regs[right], filled[right]
-    for i in left:
-        fits = (root[right] != root[i]) & (DEN * np.minimum(n[right], n[i]) >= NUM * np.maximum(n[right], n[i]))
-        at = np.flatnonzero(fits)
+    maps: dict[int, int] = {}
+
+    def as_int(k: int) -> int:
+        if k not in maps:
+            maps[k] = int.from_bytes(bits[k], "little")
+        return maps[k]
+
+    for i in left.tolist():
+        fits = (root[right] != root[i]) & (np.minimum(step[right], step[i]) == window) & (DEN * np.minimum(n[right], n[i]) >= NUM * np.maximum(n[right], n[i]))
+        at = right[fits]
         if not len(at):
             continue
-        same = ((other[at] == regs[i]) & filled[i]).sum(axis=1)
-        either = (other_filled[at] | filled[i]).sum(axis=1)
-        j = right[at[passes(same, either, n[right[at]], np.full(len(at), n[i]))]]
-        out.append((np.full(len(j), i), j))
-    return out
+        same = ((regs[at] == regs[i]) & filled[i]).sum(axis=1)
+        ok = passes(same, (filled[at] | filled[i]).sum(axis=1), n[at], np.full(len(at), n[i]))
+        at, same = at[ok], same[ok]
+        if best:
+            order = np.argsort(-same, kind="stable")
+            at, same = at[order], same[order]
+        for j, score in zip(at.tolist(), same.tolist()):
+            if bitmaps_allow(as_int(i), 8 * len(bits[i]), int(n[i]), as_int(j), 8 * len(bits[j]), int(n[j])):
+                out.append((i, j, score))
+                if best:
+                    break
+    i, j, score = (np.array(x, dtype=np.int64) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
+    return i, j, score
+
+
+def _bitmaps(bodies: DataFrame) -> DataFrame:
+    def scan(batches):
+        for batch in batches:
+            raw = [bitmap(shingle_set(t.as_py())) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.binary())], names=["c", "bits"])
+
+    return bodies.select("c", "body").mapInArrow(tidy(scan), "c long, bits binary")
 
 
-def _tile_pairs(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of classes that share a bucket, have different roots and may be links.
+def _tile_pairs(rows: DataFrame, classes: DataFrame, best: bool) -> DataFrame:
+    """Pairs (a, b) of classes that share a bucket, have different roots and may be links; with
+    ``best`` one pair for each class outside the main roots of its buckets.
 
-    ``rows`` are the members (key, c, root) of buckets with several roots. A small bucket is one
+    ``rows`` are the members (key, c, root) of buckets with several roots, ``classes`` have n, regs
+    and bits. A small bucket is one
     tile. In a large one the members of its most frequent root are major, the others minor; minor
     ones meet each other and the major ones, in chunks, and only where their sizes, in steps that
     cover the threshold, are neighbours. So a bucket of any size spreads over tasks.
     """
     by_root = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m"))
     per_key = by_root.groupBy("key").agg(F.max_by("root", F.struct("m", "root")).alias("major"), F.sum("m").alias("m"))
-    sized = rows.join(classes.select("c", "n", "regs"), "c").join(per_key, "key").withColumn("minor", F.col("root") != F.col("major"))
+    sized = rows.join(classes.select("c", "n", "regs", "bits"), "c").join(per_key, "key").withColumn("minor", F.col("root") != F.col("major"))
     small = sized.filter(F.col("m") <= TILE).select(
-        "key", F.lit(2).alias("x"), F.lit(0).alias("w"), F.lit(0).alias("i"), F.lit(0).alias("j"), "c", "n", "root", "minor", F.lit(0).alias("s"), F.lit(0).alias("chunk"), "regs"
+        "key", F.lit(2).alias("x"), F.lit(0).alias("w"), F.lit(0).alias("i"), F.lit(0).alias("j"), "c", "n", "root", "minor", F.lit(0).alias("s"), F.lit(0).alias("chunk"), "regs", "bits"
     )
     large = sized.filter(F.col("m") > TILE).withColumn("s", F.floor(F.log("n") / math.log(DEN / NUM * 1.01)).cast("int"))
     counts = large.groupBy("key", "s").agg(F.count(F.when(F.col("minor"), 1)).alias("m1"), F.count(F.when(~F.col("minor"), 1)).alias("m2"))
@@ -274,23 +333,22 @@ def _tile_pairs(rows: DataFrame, classes: DataFrame) -> DataFrame:
     as_major = tiles(1, "k1", lambda d: (d, own))
     large = large.withColumn("tile", F.explode(F.when(F.col("minor"), F.concat(among, across)).otherwise(as_major)))
     large = large.withColumn("w", F.explode(F.array(F.col("s") - 1, F.col("s"))))
-    large = large.select("key", "tile.x", "w", "tile.i", "tile.j", "c", "n", "root", "minor", "s", "chunk", "regs")
+    large = large.select("key", "tile.x", "w", "tile.i", "tile.j", "c", "n", "root", "minor", "s", "chunk", "regs", "bits")
     every = small.unionByName(large).repartition("key", "x", "w", "i", "j").sortWithinPartitions("key", "x", "w", "i", "j")
 
-    def compare(x, w, i, j, c, n, root, minor, s, chunk, regs):
+    def compare(x, w, i, j, c, n, root, minor, s, chunk, regs, bits):
         if x == 2:
             left, right = np.flatnonzero(minor), np.arange(len(c))
+        elif x == 0 and i == j:
+            left = right = np.flatnonzero(minor)
         else:
             left = np.flatnonzero(minor & (chunk == i))
             right = np.flatnonzero(minor & (chunk == j)) if x == 0 else np.flatnonzero(~minor)
-        found = tile_pairs(regs, n, root, left, right)
-        if not found:
-            return None
-        a, b = (np.concatenate(side) for side in zip(*found))
-        if x != 2:  # members of one size step meet in two windows, pairs count in the lower step's
-            keep = np.minimum(s[a], s[b]) == w
-            a, b = a[keep], b[keep]
-        return np.minimum(c[a], c[b]), np.maximum(c[a], c[b])
+        a, b, score = tile_pairs(regs, bits, n, root, left, right, best, s, w)
+        if best and x == 0 and i != j:  # either side looks for its partner
+            a2, b2, score2 = tile_pairs(regs, bits, n, root, right, left, best, s, w)
+            a, b, score = np.append(a, a2), np.append(b, b2), np.append(score, score2)
+        return c[a], c[b], score
 
     def scan(batches):
         held: list[pa.RecordBatch] = []
@@ -300,30 +358,28 @@ def _tile_pairs(rows: DataFrame, classes: DataFrame) -> DataFrame:
             part = pa.Table.from_batches(held).combine_chunks()
             plain = {name: part[name].to_numpy() for name in ("c", "n", "root", "minor", "s", "chunk")}
             regs = np.frombuffer(b"".join(part["regs"].to_pylist()), dtype=np.uint16).reshape(-1, BUCKETS)
-            return compare(*last[1:], **plain, regs=regs)
+            found = compare(*last[1:], **plain, regs=regs, bits=part["bits"].to_pylist())
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["a", "b", "score"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
             name = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("key", "x", "w", "i", "j")])
             cut = np.flatnonzero(np.concatenate([[True], (name[:, 1:] != name[:, :-1]).any(axis=0)]))
-            out = []
             for lo, hi in zip(cut, [*cut[1:], batch.num_rows]):
                 at = tuple(int(v) for v in name[:, lo])
                 if at != last:
                     if held:
-                        out.append(close())
+                        yield close()
                     last, held = at, []
                 held.append(batch.slice(lo, hi - lo))
-            out = [x for x in out if x is not None]
-            if out:
-                a, b = (np.unique(np.stack([np.concatenate(side) for side in zip(*out)]), axis=1))
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-        found = close() if held else None
-        if found is not None:
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["a", "b"])
+        if held:
+            yield close()
 
-    return every.mapInArrow(tidy(scan), "a long, b long").distinct()
+    found = every.mapInArrow(tidy(scan), "a long, b long, score long")
+    if best:
+        found = found.groupBy("a").agg(F.max_by("b", F.struct("score", "b")).alias("b"))
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 # ---- verification ------------------------------------------------------------------------
@@ -400,13 +456,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     bodies = stored(_bodies(docs, text, classes, _ends(star)), "hmh-star-texts")
     links = stored(_verify(star, bodies), "hmh-links")
     roots = stored(components(links), "hmh-roots")
-    # then what is still apart in some bucket
-    apart = rows.select("key", "c").join(roots.select(F.col("node").alias("c"), "root"), "c", "left").withColumn("root", F.coalesce("root", "c"))
-    open_keys = apart.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 <> r2").select("key")
-    apart = stored(apart.join(open_keys, "key", "left_semi"), "hmh-apart")
-    more = stored(_tile_pairs(apart, classes).join(star, ["a", "b"], "left_anti"), "hmh-pairs")
-    links = links.unionByName(_verify(more, stored(_bodies(docs, text, classes, _ends(more)), "hmh-texts")))
-    joined = components(links)
+    # then what is still apart in some bucket: the likeliest partners, then all
+    apart = _apart(rows, roots)
+    bodies = stored(_bodies(docs, text, classes, apart.select("c").distinct()), "hmh-texts")
+    sized = stored(classes.select("c", "n", "regs").join(_bitmaps(bodies), "c"), "hmh-bitmaps")
+    partners = stored(_tile_pairs(apart, sized, best=True).join(_ordered(star), ["a", "b"], "left_anti"), "hmh-partners")
+    links = stored(links.unionByName(_verify(partners, bodies)), "hmh-links")
+    apart = _apart(apart, stored(components(links), "hmh-roots"))
+    done = _ordered(star).unionByName(partners)
+    more = stored(_tile_pairs(apart, sized, best=False).join(done, ["a", "b"], "left_anti"), "hmh-pairs")
+    joined = components(links.unionByName(_verify(more, bodies)))
     # names: the smallest key of each component
     sets = light.filter("n > 0").groupBy("hi", "lo").agg(F.min("k").alias("k"), F.count(F.lit(1)).alias("times"))
     sets = sets.join(classes.select("hi", "lo", "c"), ["hi", "lo"]).join(joined.withColumnRenamed("node", "c"), "c", "left")
@@ -418,5 +477,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     return out.select(F.col("k").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("k").eqNullSafe(component).alias("kept"))
 
 
+def _apart(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """(key, c, root) of the members of all buckets that hold several roots."""
+    own = rows.select("key", "c").join(roots.select(F.col("node").alias("c"), "root"), "c", "left").withColumn("root", F.coalesce("root", "c"))
+    several = own.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 <> r2").select("key")
+    return stored(own.join(several, "key", "left_semi"), "hmh-apart")
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
 def _ends(pairs: DataFrame) -> DataFrame:
     return reduce(DataFrame.union, [pairs.select(F.col(end).alias("c")) for end in ("a", "b")]).distinct()

@@ -121,3 +121,18 @@ def test_recall_of_bands_at_the_threshold():
             keys = HM.band_keys(np.stack([HM.registers(s[:size]), HM.registers(s)]))
             missed += not (keys[0] == keys[1]).any()
     assert missed == 0
+
+
+def test_bitmaps_never_rule_out_a_link():
+    rng = np.random.default_rng(4)
+    for size in (1, 4, 9, 63, 64, 200, 1000):
+        for extra in (size // 4, size // 3 + 1):
+            s = HM.mix64(rng.integers(0, 1 << 63, size + extra, dtype=np.uint64))
+            small, large = np.unique(s[:size]), np.unique(s)
+            x, y = HM.bitmap(small), HM.bitmap(large)
+            sides = [(int.from_bytes(b, "little"), 8 * len(b), len(own)) for b, own in ((x, small), (y, large))]
+            ok = HM.bitmaps_allow(*sides[0], *sides[1])
+            assert ok == HM.bitmaps_allow(*sides[1], *sides[0])
+            assert ok or not HM.is_link(small, large)
+            if size >= 200:
+                assert ok == HM.is_link(small, large)
