@@ -55,10 +55,10 @@ def mark_smallest(df: DataFrame, score: Column, k: int, tiebreak: list[str], col
     for shift in (32, 16, 0):
         b = F.shiftright(F.col("_score"), shift).bitwiseAND(0xFFFF)
         hist = sorted((r[0], r[1]) for r in cur.groupBy(b.alias("b")).count().collect())
-        before, chosen = 0, None
+        before, chosen, at_value = 0, None, 0
         for value, n in hist:
             if before + n >= remaining:
-                chosen = value
+                chosen, at_value = value, n
                 break
             before += n
         if chosen is None:  # no more rows than k: everything qualifies
@@ -66,6 +66,8 @@ def mark_smallest(df: DataFrame, score: Column, k: int, tiebreak: list[str], col
         remaining -= before
         prefix = (prefix << 16) | int(chosen)
         cur = cur.where(b == F.lit(chosen))
+    if at_value == remaining:  # all rows at the cut fit: nothing to number
+        return scored.withColumn(col, F.col("_score") <= F.lit(prefix)).drop("_score")
     at_cut = F.col("_score") == F.lit(prefix)
     from labelgraph.operators.sequence import sequence_number
 

@@ -7,7 +7,7 @@ with ids hashed into a fixed vocabulary (a real sub-word tokenizer can be applie
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelgraph import constants as K
@@ -38,15 +38,17 @@ def causal_labels(input_ids: Column | str, attention_mask: Column | str, mask_pa
     return F.transform(F.arrays_zip(ids.alias("i"), col_(attention_mask).alias("m")), lambda z: F.when(z["m"] == 1, z["i"]).otherwise(F.lit(ignore_index)))
 
 
-def batch_longest_pad(df: DataFrame, ids: str, seq: str, batch_size: int, pad_id: int = K.PAD_ID) -> DataFrame:
+def batch_longest_pad(df: DataFrame, ids: str, seq: str, batch_size: int, pad_id: int = K.PAD_ID, size: str | None = None) -> DataFrame:
     """Pad each row, whole, to the longest row of its batch ``floor(seq / batch_size)``.
 
-    The window is partitioned by batch, so every window group holds ``batch_size`` rows.
+    The longest size is a partial aggregate by batch that is joined back, so the arrays are never
+    sorted. ``size`` names a column that holds the arrays' sizes, where one is known without them.
     """
+    n = F.col(size) if size else F.size(ids)
     d = df.withColumn("batch", F.floor(F.col(seq) / batch_size).cast("long"))
-    d = d.withColumn("batch_len", F.max(F.size(ids)).over(Window.partitionBy("batch")))
-    fill = F.col("batch_len") - F.size(ids)
-    return d.withColumn("padded", F.concat(ids, F.array_repeat(F.lit(pad_id), fill)))
+    longest = d.groupBy(F.col("batch").alias("_batch")).agg(F.max(n).alias("batch_len"))
+    d = d.join(longest, F.col("batch").eqNullSafe(F.col("_batch"))).drop("_batch")
+    return d.withColumn("padded", F.concat(ids, F.array_repeat(F.lit(pad_id), F.col("batch_len") - F.size(ids))))
 
 
 def masked_accuracy(pairs: DataFrame, pred: str = "pred", label: str = "label", ignore_index: int = K.IGNORE_INDEX) -> DataFrame:

@@ -155,9 +155,11 @@ padded AS (SELECT doc_id, n_tokens, len(t) AS n_real,
    FROM cut)"""
 
 
-def _tokenised(spark, sf):
+def _tokenised(spark, sf, whole: bool = False):
+    """Ids of all tokens, or of those that truncation keeps; the others aren't hashed then."""
     d = docs(spark, sf).select("doc_id", ws_tokens("text").alias("tokens"))
-    d = d.select("doc_id", F.size("tokens").alias("n_tokens"), T.hashed_ids("tokens").alias("ids"))
+    used = F.col("tokens") if whole else F.slice("tokens", 1, K.MAX_LENGTH)
+    d = d.select("doc_id", F.size("tokens").alias("n_tokens"), T.hashed_ids(used).alias("ids"))
     input_ids, mask = T.truncate_pad("ids")
     n_real = F.least(F.size("ids"), F.lit(K.MAX_LENGTH))
     return d.select("doc_id", "n_tokens", n_real.alias("n_real"), input_ids.alias("input_ids"), mask.alias("mask"), "ids")
@@ -191,8 +193,8 @@ def tok_labels(spark, sf):
       array_to_string(list_concat(ids, list_transform(range(n - len(ids)), lambda x: 0)), ' ') AS padded FROM b""",
 )
 def tok_batch_pad(spark, sf):
-    t = _tokenised(spark, sf)
-    p = T.batch_longest_pad(t, "ids", "doc_id", BATCH)
+    t = _tokenised(spark, sf, whole=True)
+    p = T.batch_longest_pad(t, "ids", "doc_id", BATCH, size="n_tokens")
     return p.select("doc_id", "batch", "batch_len", F.array_join("padded", " ").alias("padded"))
 
 
