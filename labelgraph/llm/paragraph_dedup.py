@@ -34,7 +34,8 @@ BANDS, ROWS = 10, 3
 #: least W - 2 * CUT_WINDOW + 1 words: the first cut is at CUT_WINDOW - 1 at most, the last one at
 #: W - CUT_WINDOW - 4 at least, and a piece's words end 4 behind its last shingle's start.
 CUT_WINDOW = 12
-#: Words of a removal that consists of pieces: with CUT_WINDOW, no shared passage of more than 50 words is missed.
+#: Words of a run of pieces, and the fewest words of a removal: with CUT_WINDOW, no shared passage of
+#: more than 50 words is missed.
 LEAST_WORDS = 28
 #: Lines of a bucket's chunk; two chunks are compared at a time.
 TILE = 256
@@ -364,13 +365,15 @@ def _runs(spans: DataFrame, owner: list[str], start: str = "start", end: str = "
     return spans.withColumn("new", F.when(F.col(start) <= reach, 0).otherwise(1)).withColumn("run", F.sum("new").over(by)).drop("new")
 
 
-def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
     """Passages to remove, one row each: key, text_hash, start and end (characters of the text),
     n_words, kept (the key of a document that keeps the passage).
 
     A passage is a run of repeated lines, blocks and stretches of LEAST_WORDS words or more that
     all have their first occurrence (by key, null first, then text hash) in one other document,
-    which keeps them. Passages that different documents keep are rows of their own and can
+    which keeps them, and that cover at least ``least_words`` words. A lone short line that recurs
+    in many documents is no passage: with ``least_words=LINE_WORDS`` every verified repeat of a
+    line is a row, as a list of repeated lines. Passages that different documents keep are rows of their own and can
     overlap; one that lies inside another is left out. Repeats inside one document alone are
     no removals; rows equal in key and text are one document. Null, empty and short texts have no
     passages. Extra columns are ignored; an empty table gives an empty result.
@@ -394,6 +397,7 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text")
     # runs of touching spans of one keeper in each document
     runs = _runs(spans, ["k", "d", "keeper"]).groupBy("k", "d", "keeper", "run")
     runs = runs.agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min("char_start").alias("char_start"), F.max("char_end").alias("char_end"))
+    runs = runs.filter(F.col("end") - F.col("start") >= least_words)
     before = Window.partitionBy("k", "d").orderBy("start", F.desc("end"), "keeper").rowsBetween(Window.unboundedPreceding, -1)
     reach = F.coalesce(F.max("end").over(before), F.lit(-1))
     runs = runs.withColumn("reach", reach).filter("end > reach")

@@ -157,8 +157,41 @@ def test_short_lines_and_wrapped_passages_are_paragraphs(spark):
         rows += [(2 * i, prose(rng, 30) + "\n" + wrap(words, 10)), (2 * i + 1, wrap(other, 12) + "\n\n" + prose(rng, 30))]
         want.add((2 * i + 1, 60))
     rows += [(1000, prose(rng, 4) + "\n\n" + prose(rng, 30)), (1001, "four words of it\n" + prose(rng, 30)), (1002, "four words of it\n" + prose(rng, 30))]
-    got = PD.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = PD.repeated_passages(df, least_words=PD.LINE_WORDS).collect()
     assert {(r.doc_id, r.n_words) for r in got} == want and all(r.kept == r.doc_id - 1 for r in got)
+    # a removal has the words of a passage: lone short lines stay in their documents
+    removed = PD.repeated_passages(df).collect()
+    assert {(r.doc_id, r.n_words) for r in removed} == {x for x in want if x[1] >= PD.LEAST_WORDS} and len(removed) == 21
+
+
+def test_removals_against_brute_force(spark):
+    # every stretch of 51 words that an earlier document has is cut for the most part, and documents
+    # that share no stretch of LEAST_WORDS words and no line with another keep their text
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()]
+    rng = random.Random(13)
+    rows += [(10_000 + i, prose(rng, 30) + " " + " ".join(t.split()[:70]) + " " + prose(rng, 30)) for i, (_, t) in enumerate(rows[:20]) if t]
+    found = {}
+    for r in PD.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect():
+        found.setdefault(r.doc_id, []).append((r.start, r.end))
+    seen, lines = {}, {}
+    for i, t in sorted(rows):
+        for line in (t or "").lower().split("\n"):
+            lines.setdefault(tuple(line.split()), set()).add(i)
+    for i, t in sorted(rows):
+        spans = [m.span() for m in re.finditer(r"[^\x20\x09-\x0D]+", t or "")]
+        words = [t[a:b].lower() for a, b in spans]
+        grams = {n: [tuple(words[k : k + n]) for k in range(len(words) - n + 1)] for n in (51, PD.LEAST_WORDS)}
+        repeated = [k for k, g in enumerate(grams[51]) if seen.get(g, i) != i]
+        hit = {k + j for k in repeated for j in range(51)}
+        cut = {k for k in hit if any(a <= spans[k][0] and spans[k][1] <= b for a, b in found.get(i, []))}
+        assert len(cut) >= 0.5 * len(hit), i
+        near = any(len(own) > 1 and i in own and len(line) >= PD.LEAST_WORDS for line, own in lines.items())
+        if i in found and not hit:
+            assert near or any(seen.get(g, i) != i for g in grams[PD.LEAST_WORDS]), i
+        for own in grams.values():
+            for g in own:
+                seen.setdefault(g, i)
 
 
 def test_the_worst_cut_passage_of_51_words_is_found(spark):
