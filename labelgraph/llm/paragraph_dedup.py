@@ -39,20 +39,22 @@ CUT_WINDOW = 12
 LEAST_WORDS = 28
 #: Lines of a bucket's chunk; two chunks are compared at a time.
 TILE = 256
-#: Rows gathered before they leave the Python worker.
-KEY_ROWS, UNIT_ROWS = 200_000, 20_000
+#: Characters of the texts that a worker treats together; a longer text is one chunk.
+CHUNK_CHARS = 1_000_000
 #: Bits of the filter that says which band values occur in several documents.
 FILTER_BITS, PART_BITS = 27, 20
 
 _SEEDS = np.random.Generator(np.random.PCG64(7)).integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
 
 
-def cut_points(h: np.ndarray, window: int = CUT_WINDOW) -> np.ndarray:
-    """Positions that hold the minimum (the last one, of equals) of a window of ``window`` hashes."""
+def cut_points(h: np.ndarray, window: int = CUT_WINDOW, own: np.ndarray | None = None) -> np.ndarray:
+    """Positions that hold the minimum (the last one, of equals) of a window of ``window`` hashes;
+    ``own`` tells the windows that count."""
     if len(h) < window:
         return np.zeros(0, dtype=np.int64)
     views = np.lib.stride_tricks.sliding_window_view(h, window)[:, ::-1]
-    return np.unique(np.arange(len(views)) + window - 1 - views.argmin(axis=1))
+    at = np.arange(len(views)) + window - 1 - views.argmin(axis=1)
+    return np.unique(at if own is None else at[own])
 
 
 def _combine(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -63,20 +65,31 @@ def _combine(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 class Paragraphs:
-    """The paragraphs of one text: pieces and lines with word spans, content hashes and bands."""
+    """The paragraphs of some texts: pieces and lines with word spans, content hashes and bands.
 
-    def __init__(self, text: str | None):
-        words, self.starts, self.ends = word_hashes(text)
-        self.raw = (text or "").encode("utf-8", "surrogatepass")
+    Words are numbered through all the texts, which an empty line keeps apart; ``doc`` is the text
+    that a word is in. Many texts at once cost about as many array operations as one.
+    """
+
+    def __init__(self, *texts: str | None):
+        whole = "\n\n".join(t or "" for t in texts)
+        words, self.starts, self.ends = word_hashes(whole)
+        self.raw = whole.encode("utf-8", "surrogatepass")
+        b = np.frombuffer(self.raw, dtype=np.uint8)
+        size = np.array([len((t or "").encode("utf-8", "surrogatepass")) + 2 for t in texts], dtype=np.int64)
+        self.base = np.cumsum(size) - size
+        self.doc = np.searchsorted(self.base, self.starts, side="right") - 1
+        self.first_word = np.searchsorted(self.starts, self.base)
         n = len(words)
         h = shingle_hashes(words) if n >= SHINGLE else np.zeros(0, dtype=np.uint64)
-        cuts = cut_points(h)
-        # a piece: the shingles from one cut point to the next, and the words they cover
-        self.piece_start = cuts[:-1]
-        self.piece_end = cuts[1:] + (SHINGLE - 1)
-        self.piece_key = _combine(h[cuts[0] : cuts[-1]], cuts[:-1] - cuts[0]) if len(cuts) > 1 else np.zeros(0, np.uint64)
+        reach = CUT_WINDOW + SHINGLE - 2  # words from a window's first to its last
+        cuts = cut_points(h, CUT_WINDOW, self.doc[: max(0, n - reach)] == self.doc[reach:])
+        # a piece: the shingles from one cut point to the next of the same text, and the words they cover
+        same = self.doc[cuts[1:]] == self.doc[cuts[:-1]]
+        self.piece_start = cuts[:-1][same]
+        self.piece_end = cuts[1:][same] + (SHINGLE - 1)
+        self.piece_key = _combine(h[cuts[0] : cuts[-1]], cuts[:-1] - cuts[0])[same] if len(cuts) > 1 else np.zeros(0, np.uint64)
         # lines by the line feeds before each word
-        b = np.frombuffer(self.raw, dtype=np.uint8)
         row = np.cumsum(b == 10)[self.starts] if n else np.zeros(0, np.int64)
         first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]])) if n else np.zeros(0, np.int64)
         last = np.append(first[1:], n)
@@ -118,37 +131,48 @@ class Paragraphs:
         one = np.concatenate([np.arange(n), np.searchsorted(self.piece_start, self.piece_end - LEAST_WORDS, side="right") - 1])
         two = np.concatenate([np.searchsorted(self.piece_end, self.piece_start + LEAST_WORDS), np.arange(n)])
         inside = (one >= 0) & (two < n)
-        one, two = np.unique(np.stack([one[inside], two[inside]]), axis=1)
+        pair = np.unique(one[inside] * n + two[inside])
+        one, two = pair // max(n, 1), pair % max(n, 1)
         missing = np.concatenate([[0], np.cumsum(~held)])
-        whole = missing[two + 1] == missing[one]
+        own = self.doc[self.piece_start]
+        whole = (missing[two + 1] == missing[one]) & (own[one] == own[two])
         return self.piece_start[one[whole]], self.piece_end[two[whole]]
 
-    def chars(self, at: np.ndarray) -> np.ndarray:
-        """Character offsets of byte offsets."""
+    def chars(self) -> np.ndarray:
+        """Characters before each byte, over all texts."""
         b = np.frombuffer(self.raw, dtype=np.uint8)
-        return np.concatenate([[0], np.cumsum((b & 0xC0) != 0x80)])[at]
+        return np.concatenate([[0], np.cumsum((b & 0xC0) != 0x80)])
+
+
+def _chunks(batch):
+    """Texts of a batch by the million characters, with their row numbers and document hashes."""
+    rows, texts, held = [], [], 0
+    owners = batch.column(2).to_numpy()
+    for i, t in enumerate(batch.column(1)):
+        text = t.as_py()
+        rows.append(i)
+        texts.append(text)
+        held += len(text or "")
+        if held >= CHUNK_CHARS:
+            yield np.array(rows), Paragraphs(*texts), owners[rows]
+            rows, texts, held = [], [], 0
+    if rows:
+        yield np.array(rows), Paragraphs(*texts), owners[rows]
 
 
 def _keys(docs: DataFrame) -> DataFrame:
     """(key, d) of all pieces and bands; d is the document's hash."""
 
-    def pairs(keys, owners):
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(owners))], names=["key", "d"])
-
     def scan(batches):
         for batch in batches:
-            keys, owners, gathered = [], [], 0
-            for t, d in zip(batch.column(1), batch.column(2).to_pylist()):
-                p = Paragraphs(t.as_py())
-                own = np.unique(np.concatenate([p.piece_key, p.bands.reshape(-1)]))
-                keys.append(own)
-                owners.append(np.full(len(own), d, dtype=np.int64))
-                gathered += len(own)
-                if gathered >= KEY_ROWS:
-                    yield pairs(keys, owners)
-                    keys, owners, gathered = [], [], 0
-            if keys:
-                yield pairs(keys, owners)
+            for _, p, d in _chunks(batch):
+                key = np.concatenate([p.piece_key, p.bands.reshape(-1)])
+                doc = np.concatenate([p.doc[p.piece_start], np.repeat(p.doc[p.line_start], BANDS)])
+                order = np.lexsort((key, doc))
+                key, doc = key[order], doc[order]
+                new = np.ones(len(key), dtype=bool)
+                new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
+                yield pa.RecordBatch.from_arrays([pa.array(key[new].view(np.int64)), pa.array(d[doc[new]])], names=["key", "d"])
 
     return docs.select("k", "t", "d").mapInArrow(tidy(scan), "key long, d long")
 
@@ -189,7 +213,8 @@ def _shared_filter(keys: DataFrame) -> np.ndarray:
     return out
 
 
-_UNIT = "key long, line long, start long, end long, char_start long, char_end long, body string"
+_UNIT = "d long, key long, line long, start long, end long, char_start long, char_end long, body string"
+_UNIT_NAMES = [c.split()[0] for c in _UNIT.split(", ")]
 
 
 def _digest(raw: bytes) -> str:
@@ -199,8 +224,9 @@ def _digest(raw: bytes) -> str:
 
 def _units(docs: DataFrame, held) -> DataFrame:
     """Paragraphs whose keys are in the filter, with k, d and their spans. Runs of pieces: key and
-    line null, a digest of the words in ``body``. Lines: one row for each colliding band (key, line = content hash) and one with key null and the
-    line itself in ``body``."""
+    line null, a digest of the words in ``body``. Lines: one row for each (line = content hash; the
+    line itself in ``body``, once for equal lines read together), and one with key and line alone
+    for each of its bands that may collide."""
     kind = docs.schema["k"].dataType.simpleString()
 
     def scan(batches):
@@ -210,55 +236,49 @@ def _units(docs: DataFrame, held) -> DataFrame:
             one, two = _bits(keys)
             return ((bits[one >> 3] >> (one & 7)) & (bits[two >> 3] >> (two & 7)) & 1) == 1
 
-        def rows_of(batch, parts):
-            size = [len(p[4]) for p in parts]
-            doc = np.repeat([p[0] for p in parts], size)
-            cols = [pa.array(np.repeat([p[1] for p in parts], size))]
-            for which in (2, 3):  # key and line hash, null where the part has none
-                full = np.concatenate([np.zeros(n, np.int64) if p[which + 5] else p[which].view(np.int64) for p, n in zip(parts, size)])
-                cols.append(pa.array(full, mask=np.repeat([p[which + 5] for p in parts], size)))
-            for which in (4, 5):
-                cols.append(pa.array(np.concatenate([p[which] for p in parts])))
-            chars = [p[6] for p in parts]
-            cols += [pa.array(np.concatenate([c[i] for c in chars])) for i in (0, 1)]
-            body = [x for p, n in zip(parts, size) for x in (p[9] or [None] * n)]
-            k = batch.column(0).take(pa.array(doc, pa.int64()))
-            return pa.RecordBatch.from_arrays(
-                [k, *cols, pa.array(body, pa.string())], names=["k", "d", "key", "line", "start", "end", "char_start", "char_end", "body"]
-            )
-
+        def spans(batch, rows, p, d, s, e, line, body):
+            """Rows of paragraphs from word ``s`` up to word ``e``."""
+            doc = p.doc[s]
+            before = p.chars()
+            b0, b1, zero = p.starts[s], p.ends[e - 1], before[p.base[doc]]
+            word = p.first_word[doc]
+            none = pa.nulls(len(s), pa.int64())
+            cols = [batch.column(0).take(pa.array(rows[doc])), d[doc], none, none if line is None else line]
+            cols += [s - word, e - word, before[b0] - zero, before[b1] - zero]
+            texts = [p.raw[x:y] for x, y in zip(b0.tolist(), b1.tolist())]
+            if body is None:
+                cols.append(pa.array([_digest(x) for x in texts], pa.string()))
+            else:
+                cols.append(pa.array([x.decode("utf-8", "replace") if own else None for x, own in zip(texts, body)], pa.string()))
+            return [c if isinstance(c, pa.Array) else pa.array(c) for c in cols]
+
+        names = ["k", *_UNIT_NAMES]
         for batch in batches:
-            parts, gathered = [], 0
-            for i, (t, d) in enumerate(zip(batch.column(1), batch.column(2).to_pylist())):
-                p = Paragraphs(t.as_py())
-                piece, band = inside(p.piece_key), inside(p.bands)
-                line = band.any(axis=1)
-                at, which = np.nonzero(band)
+            for rows, p, d in _chunks(batch):
+                s, e = p.windows(inside(p.piece_key))
+                if len(s):
+                    yield pa.RecordBatch.from_arrays(spans(batch, rows, p, d, s, e, None, None), names=names)
+                band = inside(p.bands)
+                line = np.flatnonzero(band.any(axis=1))
+                if not len(line):
+                    continue
+                key = p.line_key[line].view(np.int64)
+                once = np.unique(key, return_index=True)[1]
+                own = np.zeros(len(line), dtype=bool)
+                own[once] = True
+                yield pa.RecordBatch.from_arrays(spans(batch, rows, p, d, p.line_start[line], p.line_end[line], key, own), names=names)
+                line = line[once]
+                at, which = np.nonzero(band[line])
+                at = line[at]
                 first = (which == 0) | (p.bands[at, which] != p.bands[at, 0])
                 at, which = at[first], which[first]
-                own = [
-                    (None, None, *p.windows(piece)),
-                    (None, p.line_key[line], p.line_start[line], p.line_end[line]),
-                    (p.bands[at, which], p.line_key[at], p.line_start[at], p.line_end[at]),
-                ]
-                for key, name, s, e in own:
-                    if not len(s):
-                        continue
-                    b0, b1 = p.starts[s], p.ends[e - 1]
-                    body = None
-                    if key is None:
-                        raw = [p.raw[x:y] for x, y in zip(b0.tolist(), b1.tolist())]
-                        body = [_digest(x) if name is None else x.decode("utf-8", "replace") for x in raw]
-                    none = s if key is None else key
-                    parts.append((i, d, none, s if name is None else name, s, e, (p.chars(b0), p.chars(b1)), key is None, name is None, body))
-                    gathered += len(s)
-                if gathered >= UNIT_ROWS:
-                    yield rows_of(batch, parts)
-                    parts, gathered = [], 0
-            if parts:
-                yield rows_of(batch, parts)
-
-    return docs.select("k", "t", "d").mapInArrow(tidy(scan), f"k {kind}, d long, {_UNIT}")
+                n = len(at)
+                cols = [pa.nulls(n, batch.schema.field(0).type), pa.nulls(n, pa.int64())]
+                cols += [pa.array(p.bands[at, which].view(np.int64)), pa.array(p.line_key[at].view(np.int64))]
+                cols += [pa.nulls(n, pa.int64())] * 4 + [pa.nulls(n, pa.string())]
+                yield pa.RecordBatch.from_arrays(cols, names=names)
+
+    return docs.select("k", "t", "d").mapInArrow(tidy(scan), f"k {kind}, {_UNIT}")
 
 
 def tile_links(sets: list[np.ndarray], roots: list[int]) -> list[tuple[int, int]]:
@@ -335,7 +355,7 @@ def _similar_lines(units: DataFrame) -> DataFrame:
     ends = stored(ends.select("key", *[F.col(c).bitwiseXOR(F.col("key")).alias(c) for c in ("lo", "hi")]), "dedup-pivots")
     met = bands.join(ends, "key").select("line", F.explode(F.array("lo", "hi")).alias("a")).filter("line <> a")
     pairs = met.select(F.least("line", "a").alias("a"), F.greatest("line", "a").alias("b")).distinct()
-    bodies = units.filter("key is null and line is not null").groupBy("line").agg(F.first("body").alias("body"))
+    bodies = units.filter("key is null and line is not null").groupBy("line").agg(F.max("body").alias("body"))
     bodies = stored(bodies, "dedup-lines")
     left, right = (bodies.select(F.col("line").alias(c), F.col("body").alias(f"body_{c}")) for c in ("a", "b"))
     full = pairs.join(left, "a").join(right, "b").select("a", "b", "body_a", "body_b")
