@@ -14,6 +14,7 @@ from labelgraph import constants as K
 from labelgraph.functions.json import STRICT, is_json_string, json_is_valid
 from labelgraph.functions.pyjson import json_string, rewritten
 from labelgraph.functions.text import col_, zero_padded_id
+from labelgraph.operators.member import may_contain, member_filter
 from labelgraph.operators.sequence import sequence_number
 
 REASONS = ("bad_json", "not_a_list", "not_an_object", "missing_field", "bad_image", "image_not_found")
@@ -110,6 +111,23 @@ def image_exists(checked: DataFrame, images: DataFrame, keep: bool = True) -> Da
     return checked.join(listing, "image_path", how)
 
 
+def image_exists_filtered(checked: DataFrame, images: DataFrame, keep: bool = True) -> DataFrame:
+    """:func:`image_exists` for two tables that are both too large to broadcast.
+
+    A filter of fixed size over the listing's paths settles nearly all missing images where their
+    rows are read: for the semi join they are dropped, for the anti join they are the result. Only
+    rows that may have an image take part in the shuffle join, which decides exactly. Rows without
+    a path have no image.
+    """
+    listing = images.select(canonical_path("path").alias("image_path"))
+    flagged = may_contain(checked, "image_path", member_filter(listing, "image_path"), "_may_exist")
+    likely = flagged.where("_may_exist").drop("_may_exist")
+    if keep:
+        return likely.join(listing, "image_path", "left_semi").select(*checked.columns)
+    sure = flagged.where("not _may_exist").drop("_may_exist")
+    return sure.unionByName(likely.join(listing, "image_path", "left_anti").select(*checked.columns))
+
+
 def outcomes(entries: DataFrame, images: DataFrame, from_valid_file: bool = False) -> DataFrame:
     """Checked entries with ``outcome``: ``accepted`` or the reason of the reject, in one pass.
 

@@ -145,13 +145,13 @@ def entries_paths(spark, sf):
 @query("entries_image_semi", with_entries("SELECT meta_path, pos, image_path FROM accepted"), FE)
 def entries_image_semi(spark, sf):
     c = S.check_entries(entries(spark, sf)).where(F.col("reason").isNull())
-    return S.image_exists(c, images(spark, sf), keep=True).select("meta_path", "pos", "image_path")
+    return S.image_exists_filtered(c, images(spark, sf), keep=True).select("meta_path", "pos", "image_path")
 
 
 @query("entries_image_anti", with_entries("SELECT meta_path, pos, image_path FROM missing"), FE)
 def entries_image_anti(spark, sf):
     c = S.check_entries(entries(spark, sf)).where(F.col("reason").isNull())
-    return S.image_exists(c, images(spark, sf), keep=False).select("meta_path", "pos", "image_path")
+    return S.image_exists_filtered(c, images(spark, sf), keep=False).select("meta_path", "pos", "image_path")
 
 
 @query("entries_labels_json", with_entries("SELECT meta_path, pos, labels_json FROM checked2 WHERE reason IS NULL"), FE)
