@@ -39,6 +39,17 @@ def split_hash(df: DataFrame, key: str, seed: str = K.DEFAULT_SEED, eval_per_mil
     return df.withColumn("split", F.when(bucket1000(key, seed=seed) < eval_per_mille, "eval").otherwise("train"))
 
 
+def bucket_at(hist: list[tuple[int, int]], remaining: int) -> tuple[int | None, int, int]:
+    """The bucket that holds the ``remaining``-th smallest row (None when there are fewer rows), the
+    rows before it and its own."""
+    before = 0
+    for value, n in sorted(hist):
+        if before + n >= remaining:
+            return value, before, n
+        before += n
+    return None, before, 0
+
+
 def mark_smallest(df: DataFrame, score: Column, k: int, tiebreak: list[str], col: str) -> DataFrame:
     """Add boolean ``col``: true for exactly the ``k`` rows with the smallest (score, tiebreak).
 
@@ -54,13 +65,7 @@ def mark_smallest(df: DataFrame, score: Column, k: int, tiebreak: list[str], col
     remaining, prefix = k, 0
     for shift in (32, 16, 0):
         b = F.shiftright(F.col("_score"), shift).bitwiseAND(0xFFFF)
-        hist = sorted((r[0], r[1]) for r in cur.groupBy(b.alias("b")).count().collect())
-        before, chosen, at_value = 0, None, 0
-        for value, n in hist:
-            if before + n >= remaining:
-                chosen, at_value = value, n
-                break
-            before += n
+        chosen, before, at_value = bucket_at([(r[0], r[1]) for r in cur.groupBy(b.alias("b")).count().collect()], remaining)
         if chosen is None:  # no more rows than k: everything qualifies
             return df.withColumn(col, F.lit(True))
         remaining -= before

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from labelgraph import constants as K
 from labelgraph.functions import chat as C
 from labelgraph.functions.text import WS_CLASS, ws_tokens
+from labelgraph.operators import growing_split as G
 from labelgraph.operators import media as M
 from labelgraph.operators import ontology as O
 from labelgraph.operators import predictions as P
@@ -19,7 +20,7 @@ from labelgraph.operators import tokens as T
 from labelgraph.plans.fixtures import fixture, register_tables
 from labelgraph.plans.q_samples import CHECK_CTES, entries, images
 from labelgraph.plans.q_ontology import _QA_FULL_SQL
-from labelgraph.plans.registry import CONCEPT_CTES, query, strip_sql
+from labelgraph.plans.registry import CONCEPT_CTES, ORACLE, query, strip_sql
 from labelgraph.session import cut_lineage, scratch_path
 from labelgraph.sources.prompt import read_prompt
 
@@ -79,6 +80,42 @@ def split_exact(spark, sf):
     return SP.split_exact(docs(spark, sf).select("doc_id"), "doc_id", SEED).select("doc_id", "split")
 
 
+def _first_batch(where: str) -> str:
+    return f"""SELECT doc_id, CASE WHEN row_number() OVER (ORDER BY {_s48('doc_id')}, doc_id) <= ceil(0.1 * count(*) OVER ())
+    THEN 'eval' ELSE 'train' END AS split FROM documents WHERE {where}"""
+
+
+def _grown(spark, sf):
+    """The documents stored in two increments, with the cut after each."""
+    path, d = scratch_path(spark, "growing-split"), docs(spark, sf).select("doc_id")
+    cuts = []
+    for batch, part in enumerate((_EARLY, f"not ({_EARLY})")):
+        G.append_batch(d.where(part), "doc_id", path, batch, SEED)
+        cuts.append(G.find_cut(spark, path))
+    return path, cuts
+
+
+_EARLY = "doc_id % 5 < 3"
+
+
+@query("split_exact_grown", ORACLE["split_exact"])
+def split_exact_grown(spark, sf):
+    """Split after two appends, from the stored scores: equal to the split of all rows at once."""
+    path, (_, cut) = _grown(spark, sf)
+    return G.split_at(spark, path, cut).withColumnRenamed("key", "doc_id")
+
+
+@query(
+    "split_exact_moved",
+    f"""WITH old AS ({_first_batch(_EARLY)}), new AS ({_first_batch('TRUE')})
+    SELECT doc_id, old.split AS was, new.split AS split FROM old JOIN new USING (doc_id) WHERE old.split <> new.split""",
+)
+def split_exact_moved(spark, sf):
+    """Rows of the first increment that change sides with the second."""
+    path, (old, new) = _grown(spark, sf)
+    return G.moved(spark, path, old, new).select(F.col("key").alias("doc_id"), "was", "split")
+
+
 _RANKED = f"""r AS (SELECT doc_id, CASE WHEN {_b1000('doc_id')} < 100 THEN 'eval' ELSE 'train' END AS split,
   row_number() OVER (PARTITION BY CASE WHEN {_b1000('doc_id')} < 100 THEN 'eval' ELSE 'train' END
                      ORDER BY {_s48('doc_id')}, doc_id) AS rn FROM documents)"""
