@@ -70,5 +70,9 @@ def label_struct(dim: Column, names: Column) -> Column:
 
 def label_json(dim: Column, names: Column) -> Column:
     """JSON of :func:`label_struct`, byte-equal to the original's ``json.dumps``."""
-    listed = json_list(names, json_string)
+    return label_json_listed(dim, json_list(names, json_string))
+
+
+def label_json_listed(dim: Column, listed: Column) -> Column:
+    """:func:`label_json` of a list that is JSON text already."""
     return json_object({key: F.when(dim == F.lit(d), listed).otherwise("[]") for d, key in zip(K.DIM_NAMES, K.LABEL_KEYS)})

@@ -9,6 +9,7 @@ from labelgraph.functions.json import label_json, label_struct
 from labelgraph.functions.text import example_prefix_always, example_prefix_if_missing, local_name, strip
 from labelgraph.operators import ontology as O
 from labelgraph.operators import qa as Q
+from labelgraph.operators import segments as SG
 from labelgraph.plans.fixtures import fixture
 from labelgraph.plans.registry import CONCEPT_CTES, NL2, label_json_sql, lname_sql, query, strip_sql
 
@@ -216,6 +217,38 @@ def qa_parent_children(spark, sf):
     return Q.qa_parent_children(tri(spark, sf), V)
 
 
+# small segments, so that ordinary parents have several
+_SEGMENT = 3
+
+
+@query(
+    "children_segments",
+    f"""WITH {CONCEPT_CTES}, n AS (SELECT parent, {lname_sql('child')} AS name,
+      row_number() OVER (PARTITION BY parent ORDER BY {lname_sql('child')}) - 1 AS i FROM edges)
+    SELECT parent, CAST(i // {_SEGMENT} AS BIGINT) AS segment, count(*) AS n, string_agg(name, ',' ORDER BY name) AS text
+    FROM n GROUP BY parent, i // {_SEGMENT}""",
+    FX,
+)
+def children_segments(spark, sf):
+    return SG.child_segments(tri(spark, sf), V, size=_SEGMENT)
+
+
+@query(
+    "comment_segments",
+    f"""WITH n AS (SELECT s, o, pos, row_number() OVER (PARTITION BY s ORDER BY pos, o) - 1 AS i FROM fx_triples WHERE p = 'comment')
+    SELECT s AS iri, CAST(i // {_SEGMENT} AS BIGINT) AS segment, count(*) AS n, string_agg(o, chr(30) ORDER BY pos, o) AS text
+    FROM n GROUP BY s, i // {_SEGMENT}""",
+    FX,
+)
+def comment_segments(spark, sf):
+    return SG.comment_segments(tri(spark, sf), V, sep=SEP, size=_SEGMENT)
+
+
+@query("qa_parent_children_segments", f"WITH {CONCEPT_CTES}, {_CP_CTE} {_QA_PARENT_SEL}", FX)
+def qa_parent_children_segments(spark, sf):
+    return SG.qa_parent_children(tri(spark, sf), V, size=_SEGMENT)
+
+
 _QA_FULL_SQL = f"""WITH {CONCEPT_CTES}, {_PC_CTE}, {_CP_CTE},
 qdef AS ({_QA_DEF_SQL}),
 qchild AS ({_QA_CHILD_SEL}),
