@@ -128,12 +128,12 @@ def _role(r: str | None) -> str | None:
 def repair_conversations(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """One row per turn of the repaired conversations: conv, seq (0, 1, ... in a conversation),
     turn, role, new_role, action, inserted (empty turns before it), closed (empty turns after the
-    last one), cost, copies, rendered.
+    last one), cost, rendered.
 
     The rendered pieces of a conversation in seq order are its chat text; no conversation is
     gathered into one string. Turns are ordered by turn (null first), then role, then a hash of
-    the text. Rows equal in conversation, turn, role and text are one turn, with their number in
-    copies. A null or unknown role gets one of the three, a null text is empty; turns with a null
+    the text. Every row is a turn of its own: rows equal in all of these follow one another (a
+    stored row number ends the order) and are merged like any neighbours of one role. A null or unknown role gets one of the three, a null text is empty; turns with a null
     conversation form one conversation. Extra columns are ignored; no rows give no rows.
 
     Roles and hashes alone are sorted and repaired; the texts are shuffled once, to their decisions.
@@ -142,13 +142,13 @@ def repair_conversations(turns: DataFrame, conv: str = "conv_id", turn: str = "t
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     src = turns.select(F.col(f"`{conv}`").alias("c"), F.col(f"`{turn}`").alias("n"), F.col(f"`{role}`").alias("r"), body.alias("t"))
     unit = F.struct("c", "n", "r", F.xxhash64("t").alias("h"))
-    light = stored(src.select(unit.alias("u")).groupBy("u").agg(F.count(F.lit(1)).alias("copies")), "chat-turns")
-    keys = ["u.c", "u.n", "u.r", "u.h"]
+    light = stored(src.select(unit.alias("u"), F.monotonically_increasing_id().alias("i")), "chat-turns")
+    keys = ["u.c", "u.n", "u.r", "u.h", "i"]
     n = task_count(spark, light.count())
-    ranged = light.repartitionByRange(n, *keys).select("u", "u.c", F.col("u.r").alias("r"), "copies", F.spark_partition_id().alias("pid"))
+    ranged = light.repartitionByRange(n, *keys).select("u", "u.c", F.col("u.r").alias("r"), "i", F.spark_partition_id().alias("pid"))
     ranged = stored(ranged, "chat-ranges")
     split = ranged.groupBy("c").agg(F.count_distinct("pid").alias("pids")).filter("pids > 1").select(F.col("c").alias("sc"))
-    parts = ranged.join(split, ranged["c"].eqNullSafe(split["sc"])).drop("sc").repartition(n, "pid").sortWithinPartitions("pid", "u")
+    parts = ranged.join(split, ranged["c"].eqNullSafe(split["sc"])).drop("sc").repartition(n, "pid").sortWithinPartitions("pid", "u", "i")
 
     def matrices(batches):
         for run in _runs(batches, ["pid", "c", "r"]):
@@ -169,16 +169,16 @@ def repair_conversations(turns: DataFrame, conv: str = "conv_id", turn: str = "t
         by_conv.setdefault(r["c"], []).append((r["pid"], m, r["turns"]))
     known = {(pid, c): b for c, segments in by_conv.items() for pid, b in borders(segments).items()}
     held = spark.sparkContext.broadcast(known)
-    ordered = ranged.repartition(n, "pid").sortWithinPartitions("pid", "u")
+    ordered = ranged.repartition(n, "pid").sortWithinPartitions("pid", "u", "i")
     u_kind = to_arrow_type(ranged.schema["u"].dataType)
     schema = pa.schema(
         [("u", u_kind), ("seq", pa.int64()), ("new_role", pa.string()), ("action", pa.string()), ("inserted", pa.list_(pa.string())),
-         ("closed", pa.list_(pa.string())), ("cost", pa.int64()), ("copies", pa.int64())]
+         ("closed", pa.list_(pa.string())), ("cost", pa.int64())]
     )
 
     def decide(batches):
         out: list[dict] = []
-        for run in _runs(batches, ["pid", "c", "r", "u", "copies"]):
+        for run in _runs(batches, ["pid", "c", "r", "u"]):
             before, after, ahead = held.value.get((run[0]["pid"], run[0]["c"]), (START, None, 0))
             steps = repair([_role(x["r"]) for x in run], before, after)
             for i, (x, (cost, action, new, empty)) in enumerate(zip(run, steps)):
@@ -186,7 +186,7 @@ def repair_conversations(turns: DataFrame, conv: str = "conv_id", turn: str = "t
                 closing = _CLOSE[{"system": SYSTEM, "user": USER, "assistant": ASSISTANT}[new]] if last else ()
                 out.append(
                     {"u": x["u"], "seq": ahead + i, "new_role": new, "action": action, "inserted": list(empty), "closed": list(closing) if last else None,
-                     "cost": cost + INSERT * len(closing), "copies": x["copies"]}
+                     "cost": cost + INSERT * len(closing)}
                 )
             if len(out) > 10_000:
                 yield from pa.Table.from_pylist(out, schema=schema).to_batches()
@@ -194,7 +194,7 @@ def repair_conversations(turns: DataFrame, conv: str = "conv_id", turn: str = "t
         if out:
             yield from pa.Table.from_pylist(out, schema=schema).to_batches()
 
-    spec = f"u {ranged.schema['u'].dataType.simpleString()}, seq long, new_role string, action string, inserted array<string>, closed array<string>, cost long, copies long"
+    spec = f"u {ranged.schema['u'].dataType.simpleString()}, seq long, new_role string, action string, inserted array<string>, closed array<string>, cost long"
     steps = ordered.mapInArrow(tidy(decide), spec)
     texts = src.select(unit.alias("u"), "t").groupBy("u").agg(F.first("t").alias("t"))
     rows = steps.join(texts, "u")
@@ -212,6 +212,5 @@ def repair_conversations(turns: DataFrame, conv: str = "conv_id", turn: str = "t
         F.size("inserted").cast("long").alias("inserted"),
         F.greatest(F.coalesce(F.size("closed"), F.lit(0)), F.lit(0)).cast("long").alias("closed"),
         "cost",
-        "copies",
         F.concat(F.when(merged, "\n").otherwise(opening), "t", end).alias("rendered"),
     )

@@ -313,7 +313,7 @@ def test_conversations_over_several_ranges_and_odd_rows(spark):
     for c in ("c", "r", "h", "pid"):
         df = df.withColumn(c, F.lit(0))
     got = CR.repair_conversations(df.repartition(4)).collect()
-    assert len(got) == 2005
+    assert len(got) == 2006
     long = sorted((r for r in got if r.conv_id == 1), key=lambda r: r.seq)
     assert [r.seq for r in long] == list(range(2000)) == [r.turn for r in long]
     steps = CR.repair([r.role if r.role in CR.ROLES else None for r in long])
@@ -324,7 +324,12 @@ def test_conversations_over_several_ranges_and_odd_rows(spark):
         for role in re.findall(r"<\|(system|user|assistant)\|>", text):
             state = CR._NEXT[state, role]
         assert state == CR.ASSISTANT and text.endswith(CR.CLOSING)
-    assert [r.copies for r in got if r.conv_id == 2 and r.turn is None] == [2]
+    # a turn said twice stays twice in the text, also where many equal turns span several ranges
+    two = sorted((r for r in got if r.conv_id == 2), key=lambda r: r.seq)
+    assert [r.turn for r in two] == [None, None, 1] and "".join(r.rendered for r in two).startswith("<|user|>\na\na<|end|>\n")
+    same = spark.createDataFrame([(7, None, "user", "ok")] * 900 + [(7, 1, "assistant", "done")], "conv_id long, turn long, role string, text string")
+    said = sorted(CR.repair_conversations(same.repartition(4)).collect(), key=lambda r: r.seq)
+    assert [r.seq for r in said] == list(range(901)) and "".join(r.rendered for r in said).count("ok") == 900
     assert CR.repair_conversations(df.limit(0)).count() == 0
 
 
