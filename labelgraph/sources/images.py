@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from labelgraph.session import list_in_few_tasks
 from labelgraph.sources.paths import qualified_root, relative_to_root
 
 
@@ -19,6 +20,7 @@ def list_images(spark: SparkSession, root: str, pattern: str | None = None) -> D
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if pattern is not None:
         reader = reader.option("pathGlobFilter", pattern)
+    list_in_few_tasks(spark)
     df = reader.load(qualified_root(root))
     return df.select(relative_to_root(F.col("path"), root).alias("path"), "length")
 
