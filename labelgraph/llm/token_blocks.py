@@ -251,7 +251,7 @@ class WordEncoder:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tok = Tokenizer.from_file(path)
         self.tok.no_padding()
@@ -260,17 +260,23 @@ class WordEncoder:
         self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
         for token, i in vocab.items():
             self.ends[i] = token.endswith("</w>")
-        # the same tokenizer for words that are already normalised and cut
-        self.plain = Tokenizer.from_file(path)
-        self.plain.normalizer = normalizers.Sequence([])
+        # the same tokenizer, with the same model in memory, for words that are already normalised and cut
+        self.plain = Tokenizer(self.tok.model)
+        added = self.tok.get_added_tokens_decoder()
+        self.plain.add_special_tokens([t for _, t in sorted(added.items()) if t.special])
+        self.plain.add_tokens([t for _, t in sorted(added.items()) if not t.special])
         cut = [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
         self.plain.pre_tokenizer = pre_tokenizers.Sequence(cut)
-        self.cache = WordCache()
-        self.chunks: dict[bytes, bytes] = {}
+        self.forget()
         probe = "It is a TEST, caf\u00e9 (42)!"
         # another kind of tokenizer: every text is encoded whole
         self.by_words = self._whole([probe])[0] == self._many([probe])[0]
 
+    def forget(self) -> None:
+        """Drop the words; the tokenizer stays."""
+        self.cache = WordCache()
+        self.chunks: dict[bytes, bytes] = {}
+
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tok.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
@@ -384,6 +390,8 @@ def write_tokens(
                         yield pa.RecordBatch.from_arrays([pa.array([part], pa.binary())], names=["part"])
         for part in parts.close():
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.binary())], names=["part"])
+        # workers live on, idle ones beside those at work, and each would hold words of its own
+        getattr(enc, "forget", lambda: None)()
 
     ranged.mapInArrow(tidy(encode), "part binary").select(F.col("part").cast("string").alias("value")).write.text(path)
 
