@@ -461,11 +461,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     bodies = stored(_bodies(docs, text, classes, apart.select("c").distinct()), "hmh-texts")
     sized = stored(classes.select("c", "n", "regs").join(_bitmaps(bodies), "c"), "hmh-bitmaps")
     partners = stored(_tile_pairs(apart, sized, best=True).join(_ordered(star), ["a", "b"], "left_anti"), "hmh-partners")
-    links = stored(links.unionByName(_verify(partners, bodies)), "hmh-links")
-    apart = _apart(apart, stored(components(links), "hmh-roots"))
+    # components that are known are stars, which are joined in fewer rounds than their links
+    roots = stored(components(_stars(roots).unionByName(_verify(partners, bodies))), "hmh-roots")
+    apart = _apart(apart, roots)
     done = _ordered(star).unionByName(partners)
     more = stored(_tile_pairs(apart, sized, best=False).join(done, ["a", "b"], "left_anti"), "hmh-pairs")
-    joined = components(links.unionByName(_verify(more, bodies)))
+    joined = components(_stars(roots).unionByName(_verify(more, bodies)))
     # names: the smallest key of each component
     sets = light.filter("n > 0").groupBy("hi", "lo").agg(F.min("k").alias("k"), F.count(F.lit(1)).alias("times"))
     sets = sets.join(classes.select("hi", "lo", "c"), ["hi", "lo"]).join(joined.withColumnRenamed("node", "c"), "c", "left")
@@ -488,5 +489,9 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
+def _stars(roots: DataFrame) -> DataFrame:
+    return roots.filter("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b"))
+
+
 def _ends(pairs: DataFrame) -> DataFrame:
     return reduce(DataFrame.union, [pairs.select(F.col(end).alias("c")) for end in ("a", "b")]).distinct()
