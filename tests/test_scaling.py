@@ -8,6 +8,8 @@ from labelgraph.operators import graph as G
 from labelgraph.operators import predictions as P
 from labelgraph.operators import reach as R
 from labelgraph.operators import sequence as Q
+from labelgraph.plans import fixtures as FX
+from labelgraph.plans.catalog import QUERIES
 from labelgraph.streaming import ingest as I
 
 
@@ -38,6 +40,40 @@ def test_pruning_shuffles_labels_once_and_keeps_samples(spark):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
+def test_labels_are_dealt_out_before_they_are_merged(spark):
+    got = P.dedupe(labels(spark))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "HashAggregate" not in plan.split("Exchange hashpartitioning")[1]  # no map of a whole split's labels
+    kept = [(1, "Area", "a", 0), (1, "Area", "b", 1), (2, "Area", "x", 0), (2, None, "a", 1), (3, "Scope", None, 0), (3, "Scope", "a", 1), (None, "Area", "a", 0)]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(kept, key=str)
+
+
+def test_dedupe_reads_its_labels_without_storing_them(spark, tmp_path, monkeypatch):
+    tables = {
+        "region": ("r_regionkey int, r_name string", [(0, "NORTH SIDE")]),
+        "nation": ("n_nationkey int, n_name string, n_regionkey int", [(0, "N0", 0)]),
+        "supplier": ("s_suppkey long, s_name string, s_nationkey int", [(1, "S#1", 0), (1, "S#1", 0), (2, None, None)]),
+        "customer": ("c_custkey long, c_mktsegment string", [(5, "SEG")]),
+        "part": ("p_partkey long, p_brand string, p_type string", [(7, "B#1", "T")]),
+        "orders": ("o_orderkey long, o_custkey long", [(10, 5), (31, 5)]),
+        "lineitem": (
+            "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int",
+            [(10, 7, 1, 2), (10, 7, 1, 1), (10, 7, 1, 2), (None, 7, 2, 3), (11, None, 1, 6)],
+        ),
+    }
+    for t, (schema, rows) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{t}.parquet")
+    monkeypatch.setattr(FX, "TABLES", tuple(tables))
+    monkeypatch.setattr("labelgraph.session.scratch_path", lambda *a: pytest.fail("stored to be read once"))
+    want = [
+        (10, "Area", "S_1", 1), (10, "Area", "N0", 102), (10, "Area", "NORTH_SIDE", 201), (10, "Scope", "B_1", 1), (10, "Ability", "SEG", 1),
+        (11, "Area", "S_1", 6), (11, "Area", "N0", 106), (31, "Ability", "ASIA", 1),
+        (None, "Area", None, 3), (None, "Scope", "B_1", 3), (None, "Scope", "T", 103),
+    ]
+    assert sorted(map(tuple, QUERIES["pred_dedupe"](spark, str(tmp_path)).collect()), key=str) == sorted(want, key=str)
+
+
 def test_ranges_follow_bytes(spark, monkeypatch):
     df = spark.createDataFrame([("g", i, "x" * 100) for i in range(200)], "g string, i int, text string")
     monkeypatch.setattr(Q, "BYTES_PER_PARTITION", 2000)
