@@ -135,3 +135,33 @@ def test_prune_equals_closure_version(spark, seed):
     strange = [r for r in got if "None" in r]
     assert [r for r in got if "None" not in r] == want
     assert "(7, None, 'n1', 0)" in strange and "(7, 'Area', None, 1)" in strange
+
+
+def test_leaves_of_the_same_parents_are_one_exception(spark):
+    """Every third of 300 leaves is below two hubs: one interval, not a row for each, so a label of a hub stays few rows."""
+    edges = [(f"x{i:03d}", "hub") for i in range(300)] + [(f"x{i:03d}", "second") for i in range(0, 300, 3)] + [("second", "top"), ("x001", "y"), ("x004", "y")]
+    index = R.reach_index(links(spark, edges))
+    assert below(index) == set(depths(edges))
+    assert index.extra.count() <= 4
+    labels = spark.createDataFrame([(s, "Area", t, i) for s in range(50) for i, t in enumerate(("top", "second", "hub", f"x{s:03d}"))], "sample_id int, dim string, term string, pos int")
+    named = R.ReachIndex(*(t.withColumn("node", F.concat(F.lit("Area|"), "node")) for t in index))
+    kept = sorted((r.sample_id, r.term) for r in R.prune_covered(labels, named).collect())
+    want = [(s, f"x{s:03d}") for s in range(50)] + [(s, "second") for s in range(50) if s % 3]
+    assert kept == sorted(want)
+
+
+def test_the_tour_visits_what_has_children(spark, monkeypatch):
+    arcs = []
+    keep = R._rank
+    monkeypatch.setattr(R, "_rank", lambda a, n: arcs.append(n) or keep(a, n))
+    R.reach_index(links(spark, [(f"leaf{i}", f"hub{i % 3}") for i in range(60)]))
+    assert arcs == [8]  # three hubs and the root, entered and left
+
+
+def test_pruning_deals_labels_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(R, "LABELS_PER_TASK", 100)
+    index = R.reach_index(links(spark, [("Area|b", "Area|a")]))
+    labels = spark.range(4000).select(F.col("id").alias("sample_id"), F.lit("Area").alias("dim"), F.lit("a").alias("term"), F.lit(0).alias("pos"))
+    got = R.prune_covered(labels, index)
+    assert "hashpartitioning(sample_id" in (plan := got._jdf.queryExecution().executedPlan().toString()) and ", 40)" in plan
+    assert got.count() == 4000
