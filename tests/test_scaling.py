@@ -1,7 +1,11 @@
 """Steps that must not grow with what a query does not use, or with one long group."""
 
+import os
+import time
+
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from labelgraph.operators import batch as B
 from labelgraph.operators import graph as G
@@ -104,3 +108,37 @@ def test_an_image_alone_gives_no_frame():
     both = pd.DataFrame([("m", 0, "i", "{}", None), ("n", None, None, None, "bad_json"), (None,) * 5], columns=cols)
     (out,) = I._match(None)(("k", 0), iter([both]), State())
     assert out.values.tolist() == [["n", None, None, None, "bad_json"], ["m", 0, "i", "{}", "accepted"]]
+
+
+def test_stored_steps_leave_no_shuffle_files(spark):
+    from labelgraph.session import SHUFFLE_CLEANUP_CONF, cut_lineage
+
+    files = spark._jsc.sc().env().blockManager().diskBlockManager()
+
+    def shuffles():
+        return sum(f.getName().startswith("shuffle_") for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(files.getAllFiles()))
+
+    before, conf = shuffles(), spark.conf.get(SHUFFLE_CLEANUP_CONF)
+    kept = cut_lineage(spark.range(5000).repartition(3, "id").groupBy((F.col("id") % 7).alias("k")).count(), "freed")
+    assert kept.count() == 7
+    for _ in range(50):  # files go in the background; those of the count stay until garbage is collected
+        if shuffles() <= before + 2:
+            break
+        time.sleep(0.2)
+    assert shuffles() <= before + 2
+    assert spark.conf.get(SHUFFLE_CLEANUP_CONF) == conf
+
+
+def test_vocabulary_and_hierarchy_do_not_store_the_texts(spark, tmp_path):
+    from labelgraph.plans import q_graph, q_predictions
+    from labelgraph.session import scratch_path
+
+    os.symlink("/root/testdata/sf0.001", sf := str(tmp_path / "sf"))  # a folder of its own: nothing of it is stored yet
+    root = os.path.dirname(scratch_path(spark, "x")).removeprefix("file:")
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    assert q_predictions.vocab(spark, sf).count() > 0 and q_graph._named_edges(spark, sf).count() > 0
+    new = (set(os.listdir(root)) if os.path.isdir(root) else set()) - before
+    assert not [f for f in new if f.startswith("fx_triples")]
+    # what a query before has stored is read
+    FX.fixture(spark, sf, "fx_triples")
+    assert FX.fixture(spark, sf, "fx_triples", store=False) is FX.fixture(spark, sf, "fx_triples")
