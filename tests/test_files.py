@@ -249,3 +249,44 @@ def test_prompt_of_any_size(spark):
     with open(path, "w", encoding="utf-8") as f:
         f.write("é" * (1 << 20))
     assert len(read_prompt(spark, path)) == 1 << 20
+
+
+def test_images_are_listed_by_tasks_as_binary_file_lists_them(spark, tmp_path, monkeypatch):
+    from labelgraph.sources import images as I
+
+    root = tmp_path / "img root"
+    for name, text in (("a/1.png", "x"), ("a/b/é 2+%20.jpg", "xyz"), ("0.png", "xx"), ("a/empty.png", ""), ("_hid/3.png", "x"), (".hid/4.png", "x"), ("a/.5.png", "x"), ("a/_6.png", "x"), ("d=_7/_k=8.png", "x"), ("_k=1/9.png", "x"), ("_metadata/10.png", "x"), ("a/_metadata", "x"), ("a/11.png._COPYING_", "x")):
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_text(text)
+    (tmp_path / "beside").mkdir()
+    (tmp_path / "beside" / "12.png").write_text("x")
+    (root / "link").symlink_to(tmp_path / "beside")
+
+    def listed(*pattern):
+        return sorted(tuple(r) for r in I.list_images(spark, str(root), *pattern).collect())
+
+    patterns = [(), ("*.png",), ("[0-2]*",), ("{1,12}.png",), ("?.png",)]
+    found = [listed(*p) for p in patterns]
+    assert "FileScan binaryFile" not in I.list_images(spark, str(root))._jdf.queryExecution().executedPlan().toString()
+    assert ("img root/link/12.png", 1) in found[0] and len(found[0]) == 7
+    monkeypatch.setattr(I, "listable", lambda *a: False)
+    assert found == [listed(*p) for p in patterns]
+
+
+def test_a_stream_reads_many_small_files_in_few_tasks(spark, tmp_path):
+    from labelgraph.session import OPEN_COST_CONF
+    from labelgraph.streaming.ingest import meta_stream
+
+    for i in range(400):
+        (tmp_path / "in" / str(i)).mkdir(parents=True)
+        (tmp_path / "in" / str(i) / "meta.json").write_text("[]")
+    before = spark.conf.get(OPEN_COST_CONF)
+    tasks = []
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16m")
+    try:
+        q = meta_stream(spark, str(tmp_path / "in")).writeStream.foreachBatch(lambda df, _: tasks.append((df.count(), df.rdd.getNumPartitions())))
+        q.trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "state")).start().awaitTermination()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(tasks) == 1 and tasks[0][0] == 400 and tasks[0][1] <= 8  # 100 before: 4 files a task
+    assert spark.conf.get(OPEN_COST_CONF) == before
